@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import chat, topk, url_filter
+from lociframe.llm import chat, packing, pii, quality_rules, shared, topk, url_filter, warc
 from lociframe.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -81,3 +83,39 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = topk.whole_numbers(table(spark, sf_dir, "embeddings"))
     return topk.top_k(vectors.where(F.col("vec_id") % 100 == 0), vectors, k=10)
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against a brute-force tokenization and the plan's invariants: SQL has no tokenizer."""
+    pieces = packing.tokenize_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces)
+
+
+OP7_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
+d AS (SELECT payload, max(page_id) AS largest, count(*) AS n FROM p WHERE strlen(payload) >= {warc.MIN_REVISIT} GROUP BY payload)
+SELECT p.page_id, strlen(p.payload) AS payload_bytes, sha1(p.payload) AS payload_digest,
+  CASE WHEN n > 1 AND largest IS NOT NULL AND (p.page_id IS NULL OR p.page_id < largest) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n > 1 AND largest IS NOT NULL AND (p.page_id IS NULL OR p.page_id < largest) THEN largest END AS refers_to
+FROM p LEFT JOIN d USING (payload)"""
+
+
+@query("op7_warc", OP7_SQL)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = f"{shared.shared_folder(spark)}/warc-{uuid.uuid4().hex}"
+    index = shared.cut(warc.write(warc.dedup_plan(table(spark, sf_dir, "pages")), folder), "warc-index")
+    return warc.read(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op9_quality_rules")
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts are tested against brute force, the field on held-out labels."""
+    documents = table(spark, sf_dir, "documents")
+    return quality_rules.judge(documents, quality_rules.train(documents, table(spark, sf_dir, "labels")))
+
+
+@query("op10_pii_surrogates")
+def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested for round properties: coreference, distinctness, format; SQL has no keyed permutation."""
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
