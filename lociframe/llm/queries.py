@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import chat, packing, pii, quality_rules, shared, topk, url_filter, warc
+from lociframe.llm import chat, near_dup, packing, pieces, pii, quality_rules, shared, topk, url_filter, warc
 from lociframe.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -92,6 +92,20 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces)
 
 
+@query("op5_sentencepiece")
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled ids of every document, decoded again; tested against enumerated paths and for exact round trips."""
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    both = pieces.decode(pieces.encode(table(spark, sf_dir, "documents"), model), model)
+    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
+
+
+@query("op6_near_dedup")
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against brute force over all pairs: the classes of SQL would need a recursive join."""
+    return near_dup.classes(table(spark, sf_dir, "documents"))
+
+
 OP7_SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS payload FROM pages),
 d AS (SELECT payload, max(page_id) AS largest, count(*) AS n FROM p WHERE strlen(payload) >= {warc.MIN_REVISIT} GROUP BY payload)

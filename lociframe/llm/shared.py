@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -37,3 +39,32 @@ def forget(df: DataFrame) -> None:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of DataFrames that nothing refers to any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Connected components of links (a, b): (id, label), label the least id of each component; for ids in links only.
+
+    Each round maps every node to its least neighbour, follows that map on to itself, and contracts the graph, which at
+    least halves; tables are cut in the shared folder each round, and nothing but a count comes to the driver.
+    """
+    both = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    edges = cut(both, "edges")
+    labels = cut(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().select("id", F.col("id").alias("label")), "labels")
+    while not edges.isEmpty():
+        turned = edges.union(edges.select("b", "a")).toDF("v", "w")
+        step = turned.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("to"))
+        for _ in range(2):
+            step = cut(step, "step")
+            onward = step.toDF("to", "on")
+            step = step.join(onward, "to").select("v", F.col("on").alias("to"))
+        step = cut(step, "step")
+        labels = cut(labels.join(step.toDF("label", "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
+        moved = edges.join(step.toDF("a", "a2"), "a").join(step.toDF("b", "b2"), "b")
+        edges = cut(moved.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
+    return labels
