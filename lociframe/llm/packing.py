@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 WINDOW = 2048
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-KEPT_WORDS = 400_000
+KEPT_WORDS = 1_200_000
 LONGEST_KEPT = 64
 SLICE_BYTES = 4 << 20
 
@@ -44,29 +44,32 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[str, bytes] = {"": b""}
+        self._learn({".", ","})
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = sorted(set().union(*split).difference(self.words))
-        found = self.words
-        if new:
-            coded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            fresh = {w: np.array(e.ids, dtype="<u4").tobytes() for w, e in zip(new, coded, strict=True)}
-            room = KEPT_WORDS - len(self.words)
-            self.words.update((w, fresh[w]) for w in [w for w in new if len(w) <= LONGEST_KEPT][: max(0, room)])
-            found = _Either(self.words, fresh)
-        return [b"".join(map(found.__getitem__, words)) for words in split]
-
-
-class _Either(dict):
-    """The kept words, then those of this batch alone."""
-
-    def __init__(self, kept: dict, fresh: dict):
-        super().__init__(fresh)
-        self.kept = kept
-
-    def __missing__(self, word: str) -> bytes:
-        return self.kept[word]
+        used = set().union(*split)
+        new = [w for w in used if w not in self.words]
+        # a word in ASCII letters has the ids of its lower case, and a comma or full stop after it stands alone
+        stems = {w: _stem(w) for w in new}
+        self._learn({s for s, _ in stems.values()} - self.words.keys())
+        self.words.update((w, self.words[s] + self.words[end]) for w, (s, end) in stems.items() if w != s)
+        out = [b"".join(map(self.words.__getitem__, words)) for words in split]
+        if len(self.words) > KEPT_WORDS:
+            self.words = {w: self.words[w] for w in used if len(w) <= LONGEST_KEPT} | {w: self.words[w] for w in ("", ".", ",")}
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        listed = list(words)
+        coded = self.tokenizer.encode_batch_fast(listed, add_special_tokens=False)
+        self.words.update((w, np.array(e.ids, dtype="<u4").tobytes()) for w, e in zip(listed, coded, strict=True))
+
+
+def _stem(word: str) -> tuple[str, str]:
+    """The word as it is looked up, and what follows it."""
+    if word[:-1].isascii() and word[:-1].isalpha() and word[-1] in ",.":
+        return word[:-1].lower(), word[-1]
+    return (word.lower() if word.isascii() and word.isalpha() else word), ""
 
 
 def encoder(path: str) -> Encoder:
