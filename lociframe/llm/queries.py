@@ -119,7 +119,7 @@ FROM p LEFT JOIN d USING (payload)"""
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared.shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     index = shared.cut(warc.write(warc.dedup_plan(table(spark, sf_dir, "pages")), folder), "warc-index")
-    return warc.read(spark, folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return warc.read(folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 @query("op9_quality_rules")

@@ -26,7 +26,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 FRAME_BYTES = 128 << 10
@@ -96,11 +96,21 @@ def parse(data: bytes, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     return head, data[start : start + n], start + n + 4
 
 
-def frames_of(content: bytes) -> Iterator[bytes]:
-    """Each frame of a bundle, decompressed on its own."""
-    unzip, at = zstandard.ZstdDecompressor(), 0
-    for small, large in read_seek_table(content):
-        yield unzip.decompress(content[at : at + small], max_output_size=large)
+def table_of(f: pa.NativeFile) -> list[tuple[int, int]]:
+    """The seek table of an open bundle."""
+    n = table_bytes(f.read_at(9, f.size() - 9))
+    return read_seek_table(f.read_at(n, f.size() - n))
+
+
+def frame_at(f: pa.NativeFile, at: int, small: int, large: int) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(f.read_at(small, at), max_output_size=large)
+
+
+def frames_of(f: pa.NativeFile) -> Iterator[bytes]:
+    """Each frame of an open bundle, decompressed on its own."""
+    at = 0
+    for small, large in table_of(f):
+        yield frame_at(f, at, small, large)
         at += small
 
 
@@ -141,7 +151,8 @@ def dedup_plan(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select("page_id", "url", payload.alias("payload")).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("length"), F.when(F.octet_length("payload") >= min_revisit, F.sha2("payload", 256)).alias("same"))
     repeated = rows.where(F.col("same").isNotNull()).groupBy("same").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1 and largest is not null").drop("n")
-    joined = rows.join(repeated, "same", "left")
+    # a merge join at every size: what repeats grows with the pages, so it is never broadcast
+    joined = rows.join(repeated.hint("merge"), "same", "left")
     revisit = F.coalesce(F.coalesce(F.col("page_id") < F.col("largest"), F.lit(True)) & F.col("largest").isNotNull(), F.lit(False))
     marked = joined.withColumn("revisit", revisit)
     return marked.select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "digest", "length", F.when(F.col("revisit"), F.col("largest")).alias("refers_to"), "revisit")
@@ -186,23 +197,23 @@ def _page(head: dict[str, str], block: bytes) -> tuple:
     return _page_id(head["WARC-Record-ID"]), int(head["X-Payload-Length"]) if revisit else len(block), digest, head["WARC-Type"], _page_id(head["WARC-Refers-To"]) if revisit else None
 
 
-def read(spark: SparkSession, folder: str, index: DataFrame) -> DataFrame:
-    """Every record of the bundles that the index names, parsed from the archives frame by frame."""
-    files = spark.read.format("binaryFile").load(folder).select(F.element_at(F.split("path", "/"), -1).alias("bundle"), "content")
-    files = files.join(index.select("bundle").distinct(), "bundle", "left_semi")
+def read(folder: str, index: DataFrame) -> DataFrame:
+    """Every record of the bundles that the index names, parsed from the archives frame by frame; one frame is in memory at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pafs.FileSystem.from_uri(folder)
+        kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32())
         for b in batches:
-            for name, content in zip(b.column("bundle").to_pylist(), b.column("content"), strict=True):
-                for k, data in enumerate(frames_of(content.as_py())):
-                    rows, at = [], 0
-                    while at < len(data):
-                        head, block, at = parse(data, at)
-                        rows.append((*_page(head, block), name, k))
-                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in PAGES.split(", ")])
+            for name in b.column("bundle").to_pylist():
+                with fs.open_input_file(f"{root}/{name}") as f:
+                    for k, data in enumerate(frames_of(f)):
+                        rows, at = [], 0
+                        while at < len(data):
+                            head, block, at = parse(data, at)
+                            rows.append((*_page(head, block), name, k))
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in PAGES.split(", ")])
 
-    return files.mapInArrow(run, PAGES)
+    return index.select("bundle").distinct().mapInArrow(run, PAGES)
 
 
 def fetch(index: DataFrame, folder: str, record_ids: DataFrame) -> DataFrame:
@@ -215,15 +226,12 @@ def fetch(index: DataFrame, folder: str, record_ids: DataFrame) -> DataFrame:
         for b in batches:
             for r in b.to_pylist():
                 if have is None or have[0] != r["bundle"]:
-                    path = f"{root}/{r['bundle']}"
-                    with fs.open_input_file(path) as f:
-                        n = table_bytes(f.read_at(9, f.size() - 9))
-                        frames = read_seek_table(f.read_at(n, f.size() - n))
+                    with fs.open_input_file(f"{root}/{r['bundle']}") as f:
+                        frames = table_of(f)
                     starts = [sum(x for x, _ in frames[:i]) for i in range(len(frames))]
                 if have != (r["bundle"], r["frame"]):
                     with fs.open_input_file(f"{root}/{r['bundle']}") as f:
-                        small, large = frames[r["frame"]]
-                        data = zstandard.ZstdDecompressor().decompress(f.read_at(small, starts[r["frame"]]), max_output_size=large)
+                        data = frame_at(f, starts[r["frame"]], *frames[r["frame"]])
                     have = (r["bundle"], r["frame"])
                 yield pa.RecordBatch.from_pydict({"record_id": [r["record_id"]], "record": pa.array([data[r["offset"] : r["offset"] + r["length"]]], pa.binary())})
 
