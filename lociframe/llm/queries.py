@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import chat, near_dup, packing, pieces, pii, quality_rules, shared, topk, url_filter, warc
+from lociframe.llm import chat, line_dedup, near_dup, packing, pieces, pii, quality_rules, shared, topk, url_filter, warc
 from lociframe.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -122,6 +122,12 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(folder, index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op8_line_dedup")
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against brute force over all pairs of lines: SQL has the distance but not the classes."""
+    return line_dedup.judge(table(spark, sf_dir, "documents"))
+
+
 @query("op9_quality_rules")
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts are tested against brute force, the field on held-out labels."""
