@@ -40,8 +40,8 @@ THRESHOLD = 0.8
 RARE = 0.2
 BANDS, ROWS = 40, 6
 BUCKET_SHINGLES = 1_000_000
-RUN_BYTES = 8 << 20
-CHUNK = 4 << 20
+RUN_BYTES = 4 << 20
+CHUNK = 1 << 20
 #: A shingle is hot in a run if that many of its documents, and this share of them, have it.
 HOT_DOCS, HOT_SHARE = 64, 0.05
 ENTRIES, DIRECTORY, PENDING, HOT = 0, 1, 2, 3
