@@ -39,6 +39,7 @@ WORDS = 5
 THRESHOLD = 0.8
 RARE = 0.2
 BANDS, ROWS = 40, 6
+PIVOT_ROUNDS = 2
 BUCKET_SHINGLES = 1_000_000
 RUN_BYTES = 4 << 20
 CHUNK = 1 << 20
@@ -372,6 +373,16 @@ def _cross(members: DataFrame, pivots: DataFrame) -> DataFrame:
     return joined.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
 
 
+def _across(members: DataFrame, state: DataFrame) -> DataFrame:
+    """Pairs of members of a bucket in different classes, each pair from the first band alone that holds both."""
+    bands = state.where("keys is not null").select("doc_id", F.transform("keys", lambda k: F.hash(k)).alias("marks"))
+    rows = members.join(bands, "doc_id").select("key", "band", "doc_id", "label", "marks")
+    other = rows.select("key", F.col("doc_id").alias("other"), F.col("label").alias("other_label"), F.col("marks").alias("other_marks"))
+    earlier = F.arrays_zip(F.slice("marks", F.lit(1), F.col("band")).alias("x"), F.slice("other_marks", F.lit(1), F.col("band")).alias("y"))
+    pairs = rows.join(other, "key").where((F.col("doc_id") < F.col("other")) & (F.col("label") != F.col("other_label")) & ~F.exists(earlier, lambda z: z["x"] == z["y"]))
+    return pairs.select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
+
+
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, text) -> one row per doc_id: doc_id, class_id, the least doc_id of its class."""
     spark = documents.sparkSession
@@ -392,25 +403,25 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     equal = state.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     full = state.where("digest is not null").select("doc_id", "digest")
     alike = shared.cut(full.join(full.groupBy("digest").agg(F.min("doc_id").alias("b")), "digest").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "alike")
-    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.explode("keys").alias("key"))
+    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.posexplode("keys").alias("band", "key"))
     # buckets of two members or more
     shared_keys = members.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot <> last").drop("last")
-    members = shared.cut(members.join(shared_keys, "key").select("key", "doc_id", "pivot"), "members")
+    members = shared.cut(members.join(shared_keys, "key").select("key", "band", "doc_id", "pivot"), "members")
     first = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
     links = shared.cut(verify(first, state, threshold), "links")
     tried = shared.cut(first, "tried")
 
-    for last in (False, True):
+    for turn in range(PIVOT_ROUNDS + 1):
         labels = shared.components(links)
-        named = members.select("key", "doc_id").join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        named = members.select("key", "band", "doc_id").join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         open_keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         named = shared.cut(named.join(open_keys, "key"), "open")
-        if last:
-            pivots = named.select("key", F.col("doc_id").alias("pivot"), F.col("label").alias("pivot_label"))
-            pairs = _cross(named, pivots)
+        if turn == PIVOT_ROUNDS:
+            pairs = _across(named, state)
         else:
-            by_class = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "key")).alias("pivot"))
-            pairs = _cross(named, by_class.groupBy("key").agg(F.max_by(F.struct("pivot", "label"), F.struct("n", "label")).alias("p")).select("key", F.col("p.pivot").alias("pivot"), F.col("p.label").alias("pivot_label")))
+            by_class = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "key", F.lit(turn))).alias("pivot"))
+            largest = by_class.groupBy("key").agg(F.max_by(F.struct("pivot", "label"), F.struct("n", "label")).alias("p"))
+            pairs = _cross(named, largest.select("key", F.col("p.pivot").alias("pivot"), F.col("p.label").alias("pivot_label")))
         pairs = shared.cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         links = shared.cut(links.unionAll(verify(pairs, state, threshold)), "links")
         tried = shared.cut(tried.unionAll(pairs), "tried")
