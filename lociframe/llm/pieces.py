@@ -30,7 +30,8 @@ from lociframe.llm.packing import slices
 
 THETA = 0.0005
 UNIT_BYTES = 4096
-KEPT_ARCS = 3_000_000
+KEPT_ARCS = 1_500_000
+SLICE_BYTES = 2 << 20
 _UNITS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 _SPACE = "▁"
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -213,22 +214,27 @@ def lattices(path: str, theta: float = THETA) -> Lattices:
     return _models[path, theta]
 
 
-def encode(rows: DataFrame, model: str, key: str = "doc_id", theta: float = THETA) -> DataFrame:
-    """(key, text) -> key, text, ids array<int>."""
+def encode(rows: DataFrame, model: str, key: str = "doc_id", theta: float = THETA, check: bool = False) -> DataFrame:
+    """(key, text) -> key, ids array<int>; with `check`, lossless: whether the ids decode to the text exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lat = lattices(model, theta)
         for whole in batches:
-            for b in slices(whole):
+            for b in slices(whole, most=SLICE_BYTES):
                 texts, keys = b.column("text").to_pylist(), b.column(key).to_pylist()
                 ids, n = lat.encode([t for t in texts if t is not None], [k or 0 for t, k in zip(texts, keys, strict=True) if t is not None])
                 sizes = np.zeros(len(texts), dtype=np.int64)
                 null = np.array([t is None for t in texts], dtype=bool)
                 sizes[~null] = n
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), pa.int32(), mask=np.append(null, False))
-                yield pa.RecordBatch.from_arrays([b.column(key), b.column("text"), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], names=[key, "text", "ids"])
-
-    return rows.select(key, "text").mapInArrow(run, f"{key} long, text string, ids array<int>")
+                columns, names = [b.column(key), pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))], [key, "ids"]
+                if check:
+                    bounds = np.concatenate([[0], np.cumsum(sizes)]).tolist()
+                    columns.append(pa.array([None if t is None else lat.decode(ids[i:j].tolist()) == t for t, i, j in zip(texts, bounds, bounds[1:], strict=False)], pa.bool_()))
+                    names.append("lossless")
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return rows.select(key, "text").mapInArrow(run, f"{key} long, ids array<int>" + ", lossless boolean" * check)
 
 
 def decode(rows: DataFrame, model: str) -> DataFrame:
