@@ -30,7 +30,7 @@ from lociframe.llm.packing import slices
 
 THETA = 0.0005
 UNIT_BYTES = 4096
-KEPT_ARCS = 1_500_000
+KEPT_ARCS = 6_000_000
 SLICE_BYTES = 2 << 20
 _UNITS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
 _SPACE = "▁"
@@ -52,6 +52,20 @@ class _Numbered(dict):
         return n
 
 
+class _Growing:
+    """An array that grows at its end."""
+
+    def __init__(self, kind: type, size: int = 1 << 16):
+        self.held, self.size = np.empty(size, dtype=kind), 0
+
+    def add(self, values: np.ndarray) -> None:
+        need = self.size + len(values)
+        if need > len(self.held):
+            self.held = np.concatenate([self.held[: self.size], np.empty(max(need, len(self.held) * 3 // 2) - self.size, dtype=self.held.dtype)])
+        self.held[self.size : need] = values
+        self.size = need
+
+
 class Lattices:
     """The filtered lattices of all units seen, in flat arrays, for one model and theta."""
 
@@ -94,9 +108,10 @@ class Lattices:
     def reset(self) -> None:
         self.units = _Numbered()
         self.done = 0
-        self.base = np.zeros(1, dtype=np.int64)  # first node of each unit; nodes of a unit lie side by side
-        self.first = np.empty(0, dtype=np.int64)  # first arc into each node
-        self.cum, self.came, self.ids = np.empty(0), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32)
+        self.base = _Growing(np.int64)  # first node of each unit; nodes of a unit lie side by side
+        self.base.add(np.zeros(1, dtype=np.int64))
+        self.first = _Growing(np.int32)  # first arc into each node
+        self.cum, self.came, self.ids = _Growing(np.float32), _Growing(np.int32), _Growing(np.int16)
 
     def _arcs(self, data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place, length and id of all pieces in the units' bytes; left: bytes from each place to its unit's end."""
@@ -156,17 +171,15 @@ class Lattices:
         cum -= np.repeat(cum[starts] - p[starts], size)
         cum[starts + size - 1] = np.inf
         first = np.full(base[-1], -1, dtype=np.int64)
-        first[at[starts]] = starts + len(self.cum)
-        nodes = self.base[-1]
-        self.base = np.concatenate([self.base, nodes + base[1:]])
-        self.first = np.concatenate([self.first, first])
-        self.cum, self.ids = np.concatenate([self.cum, cum]), np.concatenate([self.ids, ids])
-        self.came = np.concatenate([self.came, nodes + came])
+        first[at[starts]] = starts + self.cum.size
+        nodes = self.base.held[self.base.size - 1]
+        for kept, new in ((self.base, nodes + base[1:]), (self.first, first), (self.cum, cum), (self.ids, ids), (self.came, nodes + came)):
+            kept.add(new)
         self.done = len(self.units)
 
     def encode(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
-        if len(self.cum) > KEPT_ARCS:
+        if self.cum.size > KEPT_ARCS:
             self.reset()
         split = [_split(t) for t in texts]
         n_units = np.array([len(x) for x in split])
@@ -176,19 +189,20 @@ class Lattices:
             row = _mix(np.array([k & 0xFFFFFFFFFFFFFFFF for k in keys], dtype=np.uint64) + _A)
             place = np.arange(len(units)) - np.repeat(np.cumsum(n_units) - n_units, n_units)
             seed = _mix(np.repeat(row, n_units) + place.astype(np.uint64) * _A)
-            start, node = self.base[units], self.base[units + 1] - 1
+            base, first, cum, came, piece = (x.held for x in (self.base, self.first, self.cum, self.came, self.ids))
+            start, node = base[units], base[units + 1] - 1
             n_ids, active, steps = np.zeros(len(units), dtype=np.int64), np.arange(len(units)), []
             while len(active):
                 at = node[active]
                 u = (_mix(seed[active] + (at - start[active]).astype(np.uint64) * _B) >> np.uint64(11)) * 2.0**-53
-                arc = self.first[at]
-                more = np.flatnonzero(u >= self.cum[arc])
+                arc = first[at]
+                more = np.flatnonzero(u >= cum[arc])
                 while len(more):
                     arc[more] += 1
-                    more = more[u[more] >= self.cum[arc[more]]]
-                steps.append((active, self.ids[arc]))
+                    more = more[u[more] >= cum[arc[more]]]
+                steps.append((active, piece[arc]))
                 n_ids[active] += 1
-                node[active] = self.came[arc]
+                node[active] = came[arc]
                 active = active[node[active] != start[active]]
         ends = np.cumsum(n_ids)
         out = np.empty(ends[-1] if len(ends) else 0, dtype=np.int32)
