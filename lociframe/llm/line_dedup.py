@@ -2,8 +2,9 @@
 
 Two lines within MAX_EDITS edits share one of MAX_EDITS + 1 segments: each line files its own segments under (length, number
 of the segment, text), and probes the places where a segment of a line of equal or lesser length could lie
-in it, cut down to the multi-match-aware windows. Keys are 64-bit hashes; every candidate pair is verified on the texts
-by a banded bit-parallel edit distance, so a hash that two keys share costs time, never results.
+in it, cut down to the multi-match-aware windows. Keys are 64-bit hashes. Lines that meet stay a pair only if the parities
+of their letters allow so few edits; every such pair is verified on the texts by a banded bit-parallel edit distance, so
+a hash that two keys share costs time, never results.
 
 Lines under MIN_CHARS code points are compared exactly only: with so few characters, two edits join unlike lines.
 Classes are connected components of links; of each class, the occurrence with the least (doc_id, line number)
@@ -92,9 +93,14 @@ class Hashed:
         np.cumprod(self.back, out=self.back)
         self.sums = np.zeros(len(points) + 1, dtype=np.uint64)
         np.cumsum(_mix(points + np.uint64(1)) * np.cumprod(factors)[:-1], out=self.sums[1:])
+        self.points = points
         self.length = np.array([len(x) for x in lines])
         self.start = np.cumsum(self.length) - self.length
 
+    def bags(self) -> np.ndarray:
+        """Parity of the number of code points in each of 32 groups: an edit flips two bits at most."""
+        return np.bitwise_xor.reduceat(np.uint32(1) << (self.points % np.uint64(32)).astype(np.uint32), self.start).view(np.int32)
+
     def keys(self, at: np.ndarray, size: np.ndarray, length: np.ndarray, segment: int) -> np.ndarray:
         h = (self.sums[at + size] - self.sums[at]) * self.back[at]
         return _mix(_mix(h) + length.astype(np.uint64) * np.uint64(64) + np.uint64(segment)).astype(np.int64)
@@ -123,7 +129,7 @@ def probe_keys(h: Hashed, edits: int, min_chars: int) -> tuple[np.ndarray, np.nd
 
 
 def _keyed(lines: DataFrame, edits: int, min_chars: int, probes: bool) -> DataFrame:
-    """(id, line) -> distinct (key, id)."""
+    """(id, line) -> distinct (key, id, bag)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own: dict[int, str] = {}
@@ -133,7 +139,7 @@ def _keyed(lines: DataFrame, edits: int, min_chars: int, probes: bool) -> DataFr
             def out() -> pa.RecordBatch:
                 ids, h = np.fromiter(own, np.int64, len(own)), Hashed(list(own.values()))
                 who, keys = probe_keys(h, edits, min_chars) if probes else index_keys(h, edits)
-                return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[who])], names=["key", "id"])
+                return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[who]), pa.array(h.bags()[who])], names=["key", "id", "bag"])
 
             for b in batches:
                 for i, line in zip(b.column("id").to_pylist(), b.column("line"), strict=True):
@@ -146,7 +152,7 @@ def _keyed(lines: DataFrame, edits: int, min_chars: int, probes: bool) -> DataFr
             if own:
                 yield out()
 
-    return lines.mapInArrow(run, "key long, id long").repartition("key").dropDuplicates(["key", "id"])
+    return lines.mapInArrow(run, "key long, id long, bag int").repartition("key").dropDuplicates(["key", "id", "bag"])
 
 
 def occurrences(documents: DataFrame) -> DataFrame:
@@ -160,7 +166,7 @@ def links(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     spark = documents.sparkSession
     lines = occurrences(documents).where(F.length("line") >= min_chars).select(F.xxhash64("line").alias("id"), "line")
     filed, probes = (_keyed(lines, edits, min_chars, p) for p in (False, True))
-    met = filed.join(probes.withColumnRenamed("id", "other"), "key").where("id <> other")
+    met = filed.join(probes.toDF("key", "other", "other_bag"), "key").where((F.col("id") != F.col("other")) & (F.bit_count(F.col("bag").bitwiseXOR(F.col("other_bag"))) <= 2 * edits))
     pairs = shared.cut(met.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct(), "line-pairs")
     del filed, probes, met
     shared.free_shuffles(spark)
