@@ -171,7 +171,8 @@ def links(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     del filed, probes, met
     shared.free_shuffles(spark)
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    texts = shared.cut(lines.join(wanted, "id", "left_semi").distinct(), "line-texts")
+    # a merge join at every size: the pairs grow with the lines, so they are never broadcast
+    texts = shared.cut(lines.join(wanted.hint("merge"), "id", "left_semi").distinct(), "line-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
