@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.overlap import overlap_join
+
 
 def merge(df: DataFrame, gap: int = 1, keys: tuple[str, ...] = ("contig",)) -> DataFrame:
     """Sort and merge: intervals join while start <= running end + gap.
@@ -18,3 +20,74 @@ def merge(df: DataFrame, gap: int = 1, keys: tuple[str, ...] = ("contig",)) -> D
     marked = df.select(*keys, "start", "end", F.coalesce((F.col("start") > before + F.lit(gap)).cast("int"), F.lit(1)).alias("_new"))
     numbered = marked.withColumn("_island", F.sum("_new").over(by.rowsBetween(W.unboundedPreceding, 0)))
     return numbered.groupBy(*keys, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("_island")
+
+
+def pad_clamp(df: DataFrame, contigs: DataFrame, pad: int) -> DataFrame:
+    """Widen by `pad` on both sides, inside 1..length; contigs (contig, length) is the sequence dictionary."""
+    joined = df.join(contigs.select("contig", "length"), "contig")
+    return joined.withColumns({"start": F.greatest(F.lit(1), F.col("start") - pad), "end": F.least(F.col("length"), F.col("end") + pad)}).drop("length")
+
+
+def intersect(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Overlaps of two lists of merged intervals."""
+    pairs = overlap_join(left.select("contig", "start", "end"), right.select("contig", "start", "end"))
+    return pairs.select("contig", F.greatest("start", "r_start").alias("start"), F.least("end", "r_end").alias("end"))
+
+
+def with_prefix(df: DataFrame, order: str = "contig") -> DataFrame:
+    """Adds length and its running sum in genome order, from sums of each contig and a window inside it: no global sort."""
+    sized = df.withColumn("len", F.col("end") - F.col("start") + 1)
+    totals = sized.groupBy(order).agg(F.sum("len").alias("own"))
+    # one row for each contig: a table as small as the sequence dictionary
+    before = totals.withColumn("before", F.coalesce(F.sum("own").over(W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.sum("len").over(W.partitionBy(order).orderBy("start", "end").rowsBetween(W.unboundedPreceding, 0))
+    return sized.withColumn("_inside", inside).join(before.select(order, "before"), order).withColumn("prefix", F.col("before") + F.col("_inside")).drop("_inside", "before")
+
+
+def scatter(df: DataFrame, n: int) -> DataFrame:
+    """Adds shard 0..n-1: whole intervals in genome order, cut where the running length is nearest to total * i / n.
+
+    The i-th target is floor((total * i + n // 2) / n); of two cuts as near the earlier wins, and each shard gets an interval.
+    """
+    rows = with_prefix(df)
+    at = W.partitionBy("contig").orderBy("start", "end")
+    counts = df.groupBy("contig").agg(F.count("*").alias("c"))
+    first = counts.withColumn("skip", F.coalesce(F.sum("c").over(W.orderBy("contig").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.join(first.select("contig", "skip"), "contig").withColumn("rank", F.row_number().over(at) + F.col("skip")).drop("skip")
+    size = rows.agg(F.sum("len").alias("total"), F.count("*").alias("k")).first()
+    n = min(n, size["k"])
+    if n <= 1:
+        return rows.withColumn("shard", F.lit(0))
+    targets = [(size["total"] * i + n // 2) // n for i in range(1, n)]
+    # the candidates around each target: the last prefix below it and the first not below it, found in one pass
+    near = []
+    for i, t in enumerate(targets):
+        below, above = F.max(F.when(F.col("prefix") < t, F.struct("prefix", "rank"))), F.min(F.when(F.col("prefix") >= t, F.struct("prefix", "rank")))
+        near += [below.alias(f"b{i}"), above.alias(f"a{i}")]
+    found, cuts, last = rows.agg(*near).first(), [], 0
+    for i, t in enumerate(targets):
+        lo, hi = found[f"b{i}"], found[f"a{i}"]
+        best = lo if lo is not None and (hi is None or t - lo["prefix"] <= hi["prefix"] - t) else hi
+        last = min(max(best["rank"], last + 1), size["k"] - (n - 1 - i))
+        cuts.append(last)
+    shard = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("rank")))
+    return rows.withColumn("shard", shard)
+
+
+def chain(df: DataFrame, gap: int, keys: tuple[str, ...] = ("contig",)) -> DataFrame:
+    """Positions (keys, pos) -> regions: a position joins while it is at most `gap` beyond the one before. Adds n_loci."""
+    by = W.partitionBy(*keys).orderBy("pos")
+    new = (F.col("pos") > F.lag("pos").over(by) + gap).cast("int")
+    numbered = df.select(*keys, "pos", F.sum(F.coalesce(new, F.lit(1))).over(by.rowsBetween(W.unboundedPreceding, 0)).alias("_region"))
+    return numbered.groupBy(*keys, "_region").agg(F.min("pos").alias("start"), F.max("pos").alias("end"), F.count("*").alias("n_loci")).drop("_region")
+
+
+def coalesce_windows(windows: list[tuple[int, int]], gap: int = 1000, longest: int = 2_000_000) -> list[tuple[int, int]]:
+    """Fetch windows of one contig in order: joined while the gap is small and the whole no longer than `longest`."""
+    out: list[tuple[int, int]] = []
+    for s, e in windows:
+        if out and s <= out[-1][1] + gap + 1 and max(e, out[-1][1]) - out[-1][0] + 1 <= longest:
+            out[-1] = (out[-1][0], max(e, out[-1][1]))
+        else:
+            out.append((s, e))
+    return out

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.operators import intervals
+from lociframe.operators.overlap import positions_within
 from lociframe.plans.registry import query
 from lociframe.session import read_table
 
@@ -29,3 +30,74 @@ def merge_sql(gap: int, source: str = INTERVALS_SQL) -> str:
 @query("interval_merge_all", merge_sql(1))
 def interval_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.merge(order_intervals(spark, sf_dir), gap=1)
+
+
+@query("interval_merge_overlap_only", merge_sql(0))
+def interval_merge_overlap_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.merge(order_intervals(spark, sf_dir), gap=0)
+
+
+HALF_OPEN_SQL = INTERVALS_SQL.replace("AS \"end\"", "+ 1 AS \"end\"")
+
+
+@query("interval_merge_half_open", merge_sql(0, HALF_OPEN_SQL))
+def interval_merge_half_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = order_intervals(spark, sf_dir).withColumn("end", F.col("end") + 1)
+    return intervals.merge(rows, gap=0)
+
+
+def _with(name: str, sql: str) -> str:
+    return f"{name} AS ({sql})"
+
+
+SIDES_SQL = f"""
+WITH l AS ({merge_sql(1, INTERVALS_SQL + " WHERE o_orderstatus = 'F'")}), r AS ({merge_sql(1, INTERVALS_SQL + " WHERE o_orderstatus = 'O'")})"""
+
+
+@query("interval_intersect", SIDES_SQL + """
+SELECT l.contig, greatest(l.start, r.start) AS start, least(l."end", r."end") AS "end" FROM l JOIN r ON l.contig = r.contig AND l.start <= r."end" AND r.start <= l."end" """)
+def interval_intersect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = order_intervals(spark, sf_dir)
+    return intervals.intersect(intervals.merge(rows.where("status = 'F'")), intervals.merge(rows.where("status = 'O'")))
+
+
+CONTIG_LENGTH = 200_030
+
+
+@query("interval_pad_clamp", f"""
+WITH iv AS ({INTERVALS_SQL}) SELECT contig, greatest(1, start - 100) AS start, least({CONTIG_LENGTH}, "end" + 100) AS "end", status FROM iv""")
+def interval_pad_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    contigs = read_table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("contig"), F.lit(CONTIG_LENGTH).cast("long").alias("length"))
+    return intervals.pad_clamp(order_intervals(spark, sf_dir), contigs, 100)
+
+
+SHARDS = 7
+
+
+@query("interval_scatter", f"""
+WITH m AS ({merge_sql(1)}),
+p AS (SELECT *, sum("end" - start + 1) OVER (ORDER BY contig, start, "end" ROWS UNBOUNDED PRECEDING) AS prefix, row_number() OVER (ORDER BY contig, start, "end") AS rank FROM m),
+t AS (SELECT i, (max(prefix) * i + {SHARDS // 2}) // {SHARDS} AS target FROM p, range(1, {SHARDS}) r(i) GROUP BY i),
+c AS (SELECT t.i, arg_min(p.rank, abs(p.prefix - t.target) * 2 + CASE WHEN p.prefix >= t.target THEN 1 ELSE 0 END) AS cut FROM t, p GROUP BY t.i)
+SELECT contig, start, "end", CAST((SELECT count(*) FROM c WHERE c.cut < p.rank) AS INTEGER) AS shard FROM p""")
+def interval_scatter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    merged = intervals.merge(order_intervals(spark, sf_dir), gap=1)
+    return intervals.scatter(merged, SHARDS).select("contig", "start", "end", "shard")
+
+
+@query("requested_positions", f"""
+WITH iv AS ({INTERVALS_SQL} WHERE o_orderstatus = 'P')
+SELECT l_orderkey, l_linenumber, CAST(l_suppkey % 5 AS BIGINT) AS contig, 1 + (l_partkey * 97) % 200000 AS pos FROM lineitem
+WHERE EXISTS (SELECT 1 FROM iv WHERE iv.contig = l_suppkey % 5 AND 1 + (l_partkey * 97) % 200000 BETWEEN iv.start AND iv."end")""")
+def requested_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_suppkey") % 5).alias("contig"), (1 + (F.col("l_partkey") * 97) % 200000).alias("pos"))
+    return positions_within(rows, order_intervals(spark, sf_dir).where("status = 'P'"))
+
+
+@query("active_region_chain", """
+WITH p AS (SELECT DISTINCT CAST(l_suppkey % 5 AS BIGINT) AS contig, (l_partkey * 97) % 200000 AS pos FROM lineitem WHERE l_quantity > 40),
+g AS (SELECT *, sum(CASE WHEN pos <= before + 50 THEN 0 ELSE 1 END) OVER (PARTITION BY contig ORDER BY pos ROWS UNBOUNDED PRECEDING) AS k FROM (SELECT *, lag(pos) OVER (PARTITION BY contig ORDER BY pos) AS before FROM p))
+SELECT contig, min(pos) AS start, max(pos) AS "end", count(*) AS n_loci FROM g GROUP BY contig, k""")
+def active_region_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "lineitem").where("l_quantity > 40").select((F.col("l_suppkey") % 5).alias("contig"), ((F.col("l_partkey") * 97) % 200000).alias("pos")).distinct()
+    return intervals.chain(rows, 50)
