@@ -137,7 +137,8 @@ def bqsr_empirical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bqsr_apply")
 def bqsr_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recalibrated qualities of all reads, as a histogram; tested on golden values."""
-    out = bqsr.recalibrate(bqsr.reportable(line_reads(spark, sf_dir)), covariates(spark, sf_dir))
+    tables = covariates(spark, sf_dir).persist()  # small, and read by four joins
+    out = bqsr.recalibrate(bqsr.reportable(line_reads(spark, sf_dir)), tables)
     return out.select("rg", F.explode("qual").alias("quality")).groupBy("rg", "quality").agg(F.count("*").alias("bases"))
 
 
