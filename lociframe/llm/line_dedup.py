@@ -132,6 +132,7 @@ def _keyed(lines: DataFrame, edits: int, min_chars: int, probes: bool) -> DataFr
     """(id, line) -> distinct (key, id, bag)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("line_dedup")
         own: dict[int, str] = {}
         chars = 0
         with np.errstate(over="ignore"):

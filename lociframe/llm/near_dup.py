@@ -188,6 +188,7 @@ def home(doc_ids: np.ndarray, n_parts: int) -> np.ndarray:
 
 def _send(n_parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("near_dup")
         with np.errstate(over="ignore"):
             for whole in batches:
                 for b in slices(whole, most=RUN_BYTES):
@@ -210,6 +211,7 @@ def _count(n_parts: int):
     """A hash bucket: df of each hash; what is shared goes on to the documents' homes."""
 
     def run(t: pa.Table) -> pa.Table:
+        shared.claim("near_dup")
         with np.errstate(over="ignore"):
             out, parts = [], []
             for part, kind, h, block in zip(*(t.column(c).to_pylist() for c in ("part", "kind", "h", "block")), strict=True):
@@ -298,6 +300,7 @@ def _gather(n_docs: int, threshold: float):
     top = np.log(max(2, n_docs))
 
     def run(t: pa.Table) -> pa.Table:
+        shared.claim("near_dup")
         with np.errstate(over="ignore"):
             lists, feats = [], []
             for kind, block in zip(t.column("kind").to_pylist(), t.column("block").to_pylist(), strict=True):

@@ -25,6 +25,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociframe.llm import shared
+
 WINDOW = 2048
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -93,6 +95,7 @@ def tokenize_pieces(documents: DataFrame, tokenizer: str, window: int = WINDOW,
     """(doc_id, text) -> one row per piece: full windows from the start, then the remainder. with_ids adds the ids themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("packing", _encoders.clear)
         enc, end = encoder(tokenizer), np.array([end_id], dtype="<u4").tobytes()
         for whole in batches:
             for b in slices(whole):

@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from lociframe.llm import shared
 from lociframe.llm.packing import slices
 
 THETA = 0.0005
@@ -232,6 +233,7 @@ def encode(rows: DataFrame, model: str, key: str = "doc_id", theta: float = THET
     """(key, text) -> key, ids array<int>; with `check`, lossless: whether the ids decode to the text exactly."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("pieces", _models.clear)
         lat = lattices(model, theta)
         for whole in batches:
             for b in slices(whole, most=SLICE_BYTES):
@@ -256,6 +258,7 @@ def decode(rows: DataFrame, model: str) -> DataFrame:
     at = rows.columns.index("ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("pieces", _models.clear)
         lat = lattices(model)
         for b in batches:
             texts = [None if x.as_py() is None else lat.decode(x.values.to_numpy().tolist()) for x in b.column(at)]

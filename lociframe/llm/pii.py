@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lociframe.llm import shared
+
 DEFAULT_KEY = "surrogates-1"
 ROUNDS = 8
 
@@ -234,6 +236,7 @@ def pseudonymize(documents: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("surrogate", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("pii", surrogate.cache_clear)
         for b in batches:
             texts, spans = [], []
             for t in b.column(at):

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lociframe.llm import shared
+
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_CONTENT_SHARE = 0.5
@@ -204,6 +206,7 @@ def judge(documents: DataFrame, field: LineField) -> DataFrame:
     """doc_id and the columns of VERDICT."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("quality_rules")
         kinds = (pa.int64(),) * 5 + (pa.bool_(), pa.float64(), pa.bool_())
         for b in batches:
             rows = [verdict(t.as_py(), field) for t in b.column("text")]
@@ -218,6 +221,7 @@ def keep(documents: DataFrame, field: LineField) -> DataFrame:
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared.claim("quality_rules")
         for b in batches:
             yield b.filter(pa.array([verdict(t.as_py(), field)[-1] for t in b.column(at)], pa.bool_()))
 

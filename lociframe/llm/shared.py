@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,3 +69,14 @@ def components(links: DataFrame) -> DataFrame:
         moved = edges.join(step.toDF("a", "a2"), "a").join(step.toDF("b", "b2"), "b")
         edges = cut(moved.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
     return labels
+
+
+_tables: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
+    """Called in a worker when an operator's task starts: tables that other operators keep between tasks are cleared."""
+    for name in [n for n in _tables if n != owner]:
+        _tables.pop(name)()
+    if clear is not None:
+        _tables[owner] = clear
