@@ -10,7 +10,7 @@ def info(text: Column) -> Column:
     """'DP=3;DB' -> map(DP -> 3, DB -> true); '.' and empty give an empty map, and of equal keys the last wins."""
     items = F.filter(F.split(text, ";"), lambda x: (x != "") & (x != "."))
     value = lambda x: F.when(F.instr(x, "=") > 0, F.regexp_extract(x, "(?s)^[^=]*=(.*)$", 1)).otherwise("true")
-    pairs = F.transform(items, lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), value(x).alias("value")))
+    pairs = F.transform(items, lambda x: F.named_struct(F.lit("key"), F.substring_index(x, "=", 1), F.lit("value"), value(x)))
     unique = F.aggregate(pairs, F.array().cast("array<struct<key:string,value:string>>"), lambda s, p: F.array_append(F.filter(s, lambda q: q["key"] != p["key"]), p))
     return F.map_from_entries(unique)
 
