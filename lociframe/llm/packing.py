@@ -171,8 +171,9 @@ def pack(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 33
-        t = pa.Table.from_batches(batches)
-        if not t.num_rows:
+        held = list(batches)
+        t = pa.Table.from_batches(held) if held else None
+        if t is None or not t.num_rows:
             return
         t = t.sort_by([("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]).combine_chunks()
         sequence, offset = best_fit(t.column("length").to_numpy(), window)
