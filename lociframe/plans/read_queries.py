@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import cigar as C
 from lociframe.functions import sequence as Q
-from lociframe.operators import bqsr, reads
+from lociframe.operators import bqsr, pair_hmm, reads
 from lociframe.plans.registry import query
 from lociframe.session import read_table
 
@@ -170,3 +170,13 @@ def cigar_split_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, n, b = (x.cast("int").cast("string") for x in (5 + F.col("o_custkey") % 20, 10 + F.col("o_orderkey") % 90, 4 + F.col("o_custkey") % 7))
     rows = o.select(F.col("o_orderkey").alias("id"), ((F.col("o_orderkey") * 37) % 100000).alias("pos"), F.concat(a, F.lit("M"), n, F.lit("N"), b, F.lit("M")).alias("cigar"), F.lit(0).alias("flag"), F.lit(255).alias("mapq"))
     return reads.split_reads(rows).select("id", "pos", "cigar", "flag")
+
+
+@query("pair_hmm_scores")
+def pair_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct reads against the haplotypes of their contig, two for each; tested on golden values."""
+    rows = line_reads(spark, sf_dir).select("contig", "seq", "qual").distinct().withColumn("read_id", F.xxhash64("contig", "seq", "qual"))
+    # one haplotype as long as the reads' repeat, and one with a changed base
+    regions = read_table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("contig"), F.explode(F.array(F.struct(F.lit(0).alias("hap_id"), F.lit("ACGT" * 6).alias("hap")), F.struct(F.lit(1).alias("hap_id"), F.lit("ACGT" * 3 + "TCGT" + "ACGT" * 2).alias("hap")))).alias("h"))
+    pairs = rows.join(regions.select("contig", "h.hap_id", "h.hap"), "contig")
+    return pair_hmm.score(pairs).withColumn("score", F.round("score", 5))
