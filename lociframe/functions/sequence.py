@@ -25,6 +25,11 @@ def reverse_complement(bases: Column) -> Column:
     return F.reverse(F.translate(F.regexp_replace(F.upper(bases), "[^ACGT]", "N"), "ACGT", "TGCA"))
 
 
+def let(value: Column, f) -> Column:
+    """f of a value that is computed once, where lambdas inside f use it many times."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def cycle(offset: Column, length: Column, reverse: Column, second: Column) -> Column:
     """Sequencing cycle from 1, counted from the read's start; negative for second of pair."""
     n = F.when(reverse, length - offset).otherwise(offset + 1)
@@ -39,12 +44,19 @@ def contexts(bases: Column, quals: Column, reverse: Column, k: int = 2, low: int
     n = F.length(bases)
     at = F.sequence(F.lit(0), n - 1)
     good = F.filter(at, lambda i: F.get(quals, i) > low)
-    first, last = F.coalesce(F.array_min(good), n), F.coalesce(F.array_max(good), F.lit(-1))
-    masked = F.array_join(F.transform(at, lambda i: F.when((i >= first) & (i <= last), F.substr(F.upper(bases), i + 1, F.lit(1))).otherwise("N")), "")
-    strand = F.when(reverse, reverse_complement(masked)).otherwise(masked)
-    found = F.transform(at, lambda i: F.when(i >= k - 1, F.substr(strand, i - (k - 2), F.lit(k))))
-    kept = F.transform(found, lambda x: F.when(is_regular(x), x))
-    return F.when(n > 0, F.when(reverse, F.reverse(kept)).otherwise(kept)).otherwise(F.array().cast("array<string>"))
+    bounds = F.struct(F.coalesce(F.array_min(good), n).alias("first"), F.coalesce(F.array_max(good), n - 1).alias("last"))
+
+    def masked(x: Column) -> Column:
+        kept = F.substr(F.upper(bases), x["first"] + 1, x["last"] - x["first"] + 1)
+        return F.concat(F.repeat(F.lit("N"), x["first"]), F.when(x["first"] < n, kept).otherwise(""), F.repeat(F.lit("N"), n - 1 - x["last"]))
+
+    def found(strand: Column) -> Column:
+        words = F.transform(at, lambda i: F.when(i >= k - 1, F.substr(strand, i - (k - 2), F.lit(k))))
+        kept = F.transform(words, lambda x: F.when(is_regular(x), x))
+        return F.when(reverse, F.reverse(kept)).otherwise(kept)
+
+    strand = let(let(bounds, masked), lambda m: F.when(reverse, reverse_complement(m)).otherwise(m))
+    return F.when(n > 0, let(strand, found)).otherwise(F.array().cast("array<string>"))
 
 
 def original_qualities(oq: Column) -> Column:
