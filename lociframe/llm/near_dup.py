@@ -9,7 +9,7 @@
    intersection; they enter a document's total weight alone. A document whose shared weight is under the threshold
    times its total cannot reach the threshold with any other: it leaves here, exactly.
 3. The rest get signatures by improved consistent weighted sampling: r, c ~ Gamma(2, 1) and b ~ U(0, 1) for each hash
-   function and shingle, drawn by hash from a fixed pool. Bands of the signature form buckets.
+   function and shingle, drawn by hash from a fixed pool; the unshared weight counts as one private feature. Bands of the signature form buckets.
 4. Candidates are verified by exact weighted Jaccard. First each bucket's members are held against one member, its pivot;
    then, in buckets that still hold several classes, against a pivot of the largest class; last, members of
    different classes against each other, so each candidate pair that could join two classes is verified and none inside
@@ -292,6 +292,16 @@ def signatures(h: np.ndarray, w: np.ndarray, starts: np.ndarray, n_hashes: int)
     return out
 
 
+def _whole_signatures(h: np.ndarray, w: np.ndarray, at: np.ndarray, rest: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Signatures over shared shingles and one private feature that has the weight of all others, so collisions go by the whole similarity."""
+    own = np.unique(at)
+    own = own[rest[own] > 0]
+    h = np.concatenate([h, _mix(ids[own].astype(np.uint64) + np.uint64(_PRIME))])
+    w, at = np.concatenate([w, rest[own]]), np.concatenate([at, own])
+    order = np.lexsort((h, at))
+    return signatures(h[order], w[order], _runs(at[order]), BANDS * ROWS)
+
+
 STATE = "doc_id long, rep long, total double, hs binary, ws binary, digest long, keys array<long>"
 
 
@@ -331,7 +341,7 @@ def _gather(n_docs: int, threshold: float):
                 if len(h):
                     starts = _runs(at)
                     ends = np.append(starts[1:], len(h))
-                    sig = signatures(h, w, starts, BANDS * ROWS)
+                    sig = _whole_signatures(h, w, at, rest, ids)
                     band = np.zeros((len(starts), BANDS), dtype=np.uint64)
                     for k in range(ROWS):
                         band = _mix(band * np.uint64(_PRIME) + sig[:, k * BANDS : (k + 1) * BANDS])
