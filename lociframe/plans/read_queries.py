@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lociframe.functions import cigar as C
@@ -26,7 +27,7 @@ SELECT contig, rpos AS pos, CAST(sum(CASE WHEN is_del OR q >= 10 THEN 1 ELSE 0 E
 FROM ({BASES_SQL}) WHERE flag & 1796 = 0 AND mapq >= 20 GROUP BY contig, rpos"""
 
 
-def line_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_reads(spark: SparkSession, sf_dir: str, **more: Column) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     n = F.col("l_quantity").cast("int")
     a, d, c = 5 + n % 6, F.col("l_linenumber") % 3, (4 + F.col("l_suppkey") % 5).cast("int")
@@ -43,6 +44,23 @@ def line_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array_repeat(n, a + c).alias("qual"),
         F.col("l_returnflag").alias("rg"),
         F.col("l_returnflag").alias("library"),
+        *(c.alias(name) for name, c in more.items()),
+    )
+
+
+def paired_reads(rows: DataFrame) -> DataFrame:
+    """Reads with their place k of n in their order and a step of 0 to 3: named and flagged as pairs, the odd last one as a fragment; mates share contig and library."""
+    mates = W.partitionBy("qname", F.floor(F.col("k") / 2))
+    own = lambda c: F.min(F.when(F.col("k") % 2 == 0, F.col(c))).over(mates)
+    second = F.col("k") % 2 == 1
+    mate = F.when(F.floor(F.col("k") / 2) * 2 + 1 >= F.col("n"), 0).when(second, Q.PAIRED | Q.SECOND).otherwise(Q.PAIRED | Q.FIRST)
+    return rows.select(
+        F.concat_ws("/", "qname", F.floor(F.col("k") / 2).cast("string")).alias("qname"),
+        F.col("flag").bitwiseOR(mate).alias("flag"),
+        own("contig").alias("contig"),
+        own("contig_idx").alias("contig_idx"),
+        (own("pos") + F.when(second, 40 + F.col("step")).otherwise(0)).alias("pos"),
+        "mapq", "cigar", "seq", "qual", "rg", F.min("library").over(mates).alias("library"),
     )
 
 
@@ -155,6 +173,23 @@ def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.groupBy("library").agg(F.count("*").alias("templates"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
 
 
+@query("mark_duplicates_pairs", """
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_linestatus, l_returnflag) - 1 AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
+m AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '/' || CAST(k // 2 AS VARCHAR) AS qname, k // 2 * 2 + 1 < n AS paired, min(CASE WHEN k % 2 = 0 THEN l_suppkey % 3 END) OVER t AS contig, min(CASE WHEN k % 2 = 0 THEN (l_partkey * 13) % 2000 END) OVER t AS p,
+  min(l_returnflag) OVER t AS library FROM l WINDOW t AS (PARTITION BY l_orderkey, k // 2)),
+r AS (SELECT qname, paired, library, contig, l_linestatus = 'O' AS rev, CASE WHEN k % 2 = 1 THEN p + 40 + l_suppkey % 4 ELSE p END AS pos, 9 + CAST(l_quantity AS INTEGER) % 6 + l_suppkey % 5 AS bases, l_linenumber % 3 AS d, CAST(l_quantity AS INTEGER) AS q FROM m),
+e AS (SELECT qname, paired, library, {'contig': contig, 'five': CASE WHEN rev THEN pos + bases + d ELSE pos + 1 END, 'rev': rev} AS e, least(CASE WHEN q >= 15 THEN q * bases ELSE 0 END, 16383) AS score FROM r),
+t AS (SELECT qname, paired, library, list_sort(list(e)) AS ends, sum(score) AS score, count(*) AS n FROM e GROUP BY qname, paired, library),
+d AS (SELECT *, row_number() OVER (PARTITION BY paired, library, ends ORDER BY score DESC, qname) > 1 AS dup FROM t)
+SELECT library, paired, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(CASE WHEN dup THEN n ELSE 0 END) AS BIGINT) AS duplicates FROM d GROUP BY library, paired""")
+def mark_duplicates_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of lineitem takes part: each two consecutive rows of an order are a pair, the second read near the first; an odd last row is a fragment."""
+    order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_linestatus", "l_returnflag")
+    marked = reads.mark_duplicates(paired_reads(line_reads(spark, sf_dir, k=F.row_number().over(order) - 1, n=F.count("*").over(W.partitionBy("l_orderkey")), step=F.col("l_suppkey") % 4)))
+    paired = Q.flag_set(F.col("flag"), Q.PAIRED)
+    return marked.groupBy("library", paired.alias("paired")).agg(F.count("*").alias("reads"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
+
+
 @query("cigar_lengths", f"""SELECT CAST(a AS VARCHAR) || 'M' || CASE WHEN d > 0 THEN CAST(d AS VARCHAR) || 'D' ELSE '' END || CAST(c AS VARCHAR) || 'M' AS cigar, count(*) AS reads, CAST(sum(a + c) AS BIGINT) AS read_bases, CAST(sum(a + d + c) AS BIGINT) AS ref_bases FROM ({READS_SQL}) GROUP BY 1""")
 def cigar_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     ops = C.ops(F.col("cigar"))

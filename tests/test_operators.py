@@ -1,7 +1,9 @@
 """Operators on small tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from lociframe.operators import intervals, overlap, reads, variants
 
 IV = "contig long, start long, end long"
@@ -61,6 +63,17 @@ def test_duplicates(spark):
     assert (m["pairs_examined"], m["pair_duplicates"], m["unpaired_examined"], m["unpaired_duplicates"]) == (2, 1, 1, 0)
 
 
+def test_duplicates_of_all_lines(spark):
+    duckdb = pytest.importorskip("duckdb")
+    sf = "/root/testdata/sf0.01"
+    got = {(r["library"], r["paired"]): (r["reads"], r["duplicates"]) for r in entry.queries()["mark_duplicates_pairs"](spark, sf).collect()}
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{sf}/lineitem.parquet'")
+    assert got == {(x[0], x[1]): (x[2], x[3]) for x in con.sql(entry.oracle_sql()["mark_duplicates_pairs"]).fetchall()}
+    assert sum(n for n, _ in got.values()) == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    assert all(0 < sum(d for (_, p), (_, d) in got.items() if p == paired) for paired in (True, False))
+
+
 def test_split_reads(spark):
     df = spark.createDataFrame([("r", 0, 100, 255, "5M10N5M", {"NM": "1", "RG": "x"}), ("u", 4, 7, 255, "5M10N5M", {"NM": "1"})], "qname string, flag int, pos long, mapq int, cigar string, tags map<string,string>")
     got = rows(reads.split_reads(df), "qname", "flag", "pos", "mapq", "cigar")
