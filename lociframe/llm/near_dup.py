@@ -155,7 +155,8 @@ def send_run(ids: list[int], texts: list[bytes], n_parts: int, seed: int) -> lis
     number = np.array([len(x) for x in copies], dtype=np.int64)
     out = []
     # where each document's features will meet: copies, then number of shingles
-    flat = [(i, int(k), reps[j]) for j, (x, k) in enumerate(zip(copies, n.tolist(), strict=True)) for i in x]
+    # a text without words is nobody's copy
+    flat = [(i, int(k), reps[j] if k else i) for j, (x, k) in enumerate(zip(copies, n.tolist(), strict=True)) for i in x]
     who, shingle_count, rep = (np.array(x, dtype=np.int64) for x in zip(*flat, strict=True))
     at = home(who, n_parts)
     for part in np.unique(at).tolist():

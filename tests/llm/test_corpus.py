@@ -201,6 +201,15 @@ def test_near_dup_empty_and_null_ids(spark):
     assert near_dup.keep_one(df, near_dup.classes(df)).count() == 2
 
 
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_texts_without_words_are_classes_of_their_own(spark, parts):
+    texts = [None, None, "", "", " ", " ", " \n", " \n", "x", "x"] * 3
+    df = docs(spark, *texts).repartition(parts)
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(df).collect()}
+    assert [got[i] for i in range(len(texts))] == [8 if t == "x" else i for i, t in enumerate(texts)]
+    assert near_dup.keep_one(df, near_dup.classes(df)).count() == len(texts) - 5
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200), (200, 100), (7, 7)], "a long, b long")
     got = {r["id"]: r["label"] for r in shared.components(links).collect()}
