@@ -11,7 +11,8 @@ Classes are connected components of links; of each class, the occurrence with th
 stays. Lines are identified by MD5.
 
 Defined cases: a null text has no lines; blank lines (no character but white space) are no lines here and always stay; equal
-occurrences under one (doc_id, line number), from rows that repeat, stay or go together; rows with a null doc_id take no
+occurrences under one (doc_id, line number), from rows that repeat, stay or go together, and different texts
+under one doc_id lose their own lines only; rows with a null doc_id take no
 part and stay as they are; lines of any length are compared in full; an empty table gives no rows; clean() keeps all columns.
 """
 
@@ -186,7 +187,7 @@ def links(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
 
 
 def judge(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Every line that is not blank: doc_id, line_no, its class's first occurrence (class_doc, class_line), n_links to other texts, kept."""
+    """Every line that is not blank: doc_id, line_no, its class's first occurrence (class_doc, class_line), n_links to other texts, kept, digest."""
     near = links(documents, edits, min_chars)
     labels = shared.components(near).toDF("digest", "label")
     degree = near.select(F.col("a").alias("digest")).unionAll(near.select("b")).groupBy("digest").agg(F.count("*").alias("n_links"))
@@ -198,15 +199,15 @@ def judge(documents: DataFrame, edits: int = MAX_EDITS, min_chars: int = MIN_CHA
     known = labelled.join(classes, "label", "left").select("digest", F.coalesce("class_first", "first").alias("first"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     out = rows.join(known, "digest")
     kept = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("line_no") == F.col("first.line_no"))
-    return out.select("doc_id", "line_no", F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"), "n_links", kept.alias("kept"))
+    return out.select("doc_id", "line_no", F.col("first.doc_id").alias("class_doc"), F.col("first.line_no").alias("class_line"), "n_links", kept.alias("kept"), "digest")
 
 
 def clean(documents: DataFrame, judged: DataFrame) -> DataFrame:
     """The documents without the lines that judge() drops; documents that had lines and have none left go."""
-    gone = judged.where("not kept").groupBy("doc_id").agg(F.collect_set("line_no").alias("_gone"))
+    gone = judged.where("not kept").groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "digest")).alias("_gone"))
     lines = F.split("text", "\n")
-    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), i))
+    left = F.filter(lines, lambda x, i: ~F.array_contains(F.col("_gone"), F.struct(i.alias("line_no"), F.md5(x).alias("digest"))))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
     joined = documents.join(gone, "doc_id", "left").withColumn("_text", text)
-    kept = joined.where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\s]"))
+    kept = joined.where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\s]") | ~F.coalesce(F.col("text").rlike(r"[^\s]"), F.lit(False)))
     return kept.select(*[F.col("_text").alias("text") if c == "text" else F.col(c) for c in documents.columns])

@@ -124,7 +124,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_line_dedup")
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against brute force over all pairs of lines: SQL has the distance but not the classes."""
-    return line_dedup.judge(table(spark, sf_dir, "documents"))
+    return line_dedup.judge(table(spark, sf_dir, "documents")).drop("digest")
 
 
 @query("op9_quality_rules")

@@ -292,6 +292,13 @@ def test_line_join_against_all_pairs(spark):
     assert line_dedup.judge(docs(spark, "a").limit(0)).count() == 0
 
 
+def test_clean_of_different_texts_under_one_id(spark):
+    rows = [(1, "seen\nown line", "en"), (2, "other\nseen", "en"), (2, "first\nfound nowhere else", "en"), (3, "seen", "en"), (3, None, "en"), (3, " ", "en")]
+    df = spark.createDataFrame(rows, DOC)
+    got = [r["text"] for r in line_dedup.clean(df, line_dedup.judge(df)).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, ["seen\nown line", "other", "first\nfound nowhere else", None, " "]))
+
+
 # quality
 
 
