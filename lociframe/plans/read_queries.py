@@ -209,9 +209,11 @@ def cigar_split_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("pair_hmm_scores")
 def pair_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct reads against the haplotypes of their contig, two for each; tested on golden values."""
-    rows = line_reads(spark, sf_dir).select("contig", "seq", "qual").distinct().withColumn("read_id", F.xxhash64("contig", "seq", "qual"))
+    """Every read against the haplotypes of its contig, two for each; equal reads are scored once. Tested on golden values."""
+    every = line_reads(spark, sf_dir).select("qname", "pos", "contig", "seq", "qual")
+    rows = every.select("contig", "seq", "qual").distinct().withColumn("read_id", F.struct("contig", "seq", "qual"))
     # one haplotype as long as the reads' repeat, and one with a changed base
     regions = read_table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("contig"), F.explode(F.array(F.struct(F.lit(0).alias("hap_id"), F.lit("ACGT" * 6).alias("hap")), F.struct(F.lit(1).alias("hap_id"), F.lit("ACGT" * 3 + "TCGT" + "ACGT" * 2).alias("hap")))).alias("h"))
     pairs = rows.join(regions.select("contig", "h.hap_id", "h.hap"), "contig")
-    return pair_hmm.score(pairs).withColumn("score", F.round("score", 5))
+    scores = pair_hmm.score(pairs).select("read_id.*", "hap_id", F.round("score", 5).alias("score"))
+    return every.join(scores, ["contig", "seq", "qual"]).select("qname", "contig", "pos", F.xxhash64("contig", "seq", "qual").alias("read_id"), "hap_id", "score")

@@ -74,6 +74,15 @@ def test_duplicates_of_all_lines(spark):
     assert all(0 < sum(d for (_, p), (_, d) in got.items() if p == paired) for paired in (True, False))
 
 
+def test_every_read_is_scored(spark):
+    sf = "/root/testdata/sf0.001"
+    out = entry.queries()["pair_hmm_scores"](spark, sf).cache()
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    assert out.count() == 2 * lines.count() and out.where("score is null or score = -1000").count() == 0
+    want = lines.groupBy(F.col("l_orderkey").cast("string").alias("qname")).agg((2 * F.count("*")).alias("n"))
+    assert out.groupBy("qname").agg(F.count("*").alias("n")).exceptAll(want).count() == 0
+
+
 def test_split_reads(spark):
     df = spark.createDataFrame([("r", 0, 100, 255, "5M10N5M", {"NM": "1", "RG": "x"}), ("u", 4, 7, 255, "5M10N5M", {"NM": "1"})], "qname string, flag int, pos long, mapq int, cigar string, tags map<string,string>")
     got = rows(reads.split_reads(df), "qname", "flag", "pos", "mapq", "cigar")
