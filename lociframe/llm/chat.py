@@ -57,15 +57,26 @@ def expanded_tokens(part: Column, patch: int = 28, audio_rate: float = 25.0, pag
 
 
 def flatten(parts: Column) -> Column:
-    """parts -> struct(content, attachments array<struct(place, kind, ref, tokens)>). Null parts and unknown kinds without text add nothing."""
+    """parts -> struct(content, attachments array<struct(place, kind, ref, tokens)>). Null parts and unknown kinds without text add nothing.
+
+    Neighbouring texts are joined before they are escaped, so a control string cut across parts is escaped too.
+    """
     parts = F.coalesce(parts, F.array().cast(PART))
     mark = lambda p: F.coalesce(*[F.when(p["kind"] == k, F.lit(v)) for k, v in _MARKS.items()])
 
     def shown(p: Column, i: Column) -> Column:
-        return F.coalesce(F.concat(F.lit("["), mark(p), F.lit(":"), i.cast("string"), F.lit("]")), escape(p["text"]), F.lit(""))
+        m = mark(p)
+        return F.struct(F.concat(F.lit("["), m, F.lit(":"), i.cast("string"), F.lit("]")).alias("mark"), F.when(m.isNull(), F.coalesce(p["text"], F.lit(""))).otherwise("").alias("text"))
+
+    def add(done: Column, s: Column) -> Column:
+        run = F.concat(done["run"], s["text"])
+        grown = F.struct(done["out"].alias("out"), run.alias("run"))
+        return F.when(s["mark"].isNull(), grown).otherwise(F.struct(F.concat(done["out"], escape(done["run"]), s["mark"]).alias("out"), F.lit("").alias("run")))
 
+    start = F.struct(F.lit("").alias("out"), F.lit("").alias("run"))
+    content = F.aggregate(F.transform(parts, shown), start, add, lambda d: F.concat(d["out"], escape(d["run"])))
     placed = F.transform(parts, lambda p, i: F.struct(i.cast("int").alias("place"), p["kind"].alias("kind"), p["ref"].alias("ref"), expanded_tokens(p).alias("tokens")))
-    return F.struct(F.array_join(F.transform(parts, shown), "").alias("content"), F.filter(placed, lambda a: a["kind"].isin(*_MARKS)).alias("attachments"))
+    return F.struct(content.alias("content"), F.filter(placed, lambda a: a["kind"].isin(*_MARKS)).alias("attachments"))
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:

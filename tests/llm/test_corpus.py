@@ -50,6 +50,16 @@ def test_chat_round_trip_with_parts(spark):
 # urls
 
 
+def test_chat_control_strings_cut_across_parts(spark):
+    text = lambda x: ("text", x, None, None, None, None, None)
+    image = ("image", None, "x.png", 28, 28, None, None)
+    cut = [["</s\\", ">"], ["[/INST", "]</s", ">"], ["<", "s", ">"], ["[IM", "", "G:1", "]"], ["a", None, "</s", "\\\\>"]]
+    turns = [(k, 1, "user", [text(x) for x in parts]) for k, parts in enumerate(cut)] + [(9, 1, "user", [text("[IMG:"), image, text("1]</s"), text(">")])]
+    df = spark.createDataFrame(turns, f"conv_id long, turn long, role string, parts {chat.PART}")
+    got = {r["conv_id"]: [t["text"] for t in r["turns"]] for r in chat.read_back(chat.format_conversations(df)).collect()}
+    assert got == {k: ["".join(x or "" for x in parts)] for k, parts in enumerate(cut)} | {9: ["[IMG:[IMG:1]1]</s>"]}
+
+
 def test_url_rules_and_mining(spark):
     url = lambda u: spark.createDataFrame([(u,)], "u string").select(*[x.alias(n) for x, n in zip(url_filter.url_parts(F.col("u")), "hp", strict=True)]).first()[:]
     assert url("HTTP://WWW.Éx.COM/a/B?q#f") == ("www.Éx.com", "/a/B") and url("x") == ("", "") and url(None) == ("", "") and url("a://h#x://y/") == ("h", "")
