@@ -265,9 +265,13 @@ def test_banded_distance():
             assert line_dedup.edit_distance(a, b, most) == min(_distance(a, b), most + 1)
 
 
-def test_line_join_against_all_pairs(spark):
+@pytest.mark.parametrize(("hot", "depth"), [(32, 3), (2, 3), (1, 2), (32, 0)])
+def test_line_join_against_all_pairs(spark, monkeypatch, hot, depth):
+    monkeypatch.setattr(line_dedup, "HOT_LINES", hot)
+    monkeypatch.setattr(line_dedup, "DEPTH", depth)
     rng = random.Random(4)
-    base = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randint(40, 60))) for _ in range(30)]
+    base = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in (5, 12, 19, 20, 21, 25, 33, 39, 40, 41, 42, 48, 55, 60, 300, 5000)]
+    base += ["a" * 45, "ab" * 15, "x y" * 20]
     lines = []
     for _ in range(250):
         x = list(rng.choice(base))
@@ -281,7 +285,13 @@ def test_line_join_against_all_pairs(spark):
     own = {(d, k): x for d, t in enumerate(texts) if t for k, x in enumerate(t.split("\n")) if x.strip()}
     assert set(got) == set(own)
     distinct = sorted(set(own.values()))
-    near = {(a, b) for a in distinct for b in distinct if a != b and min(len(a), len(b)) >= 40 and _distance(a, b) <= 2}
+    near = set()
+    for i, a in enumerate(distinct):
+        for b in distinct[:i]:
+            most = min(2, min(len(a), len(b)) // 20)
+            if most and abs(len(a) - len(b)) <= most and (_distance(a, b) if len(a) < 100 else line_dedup.edit_distance(a, b, most)) <= most:
+                near |= {(a, b), (b, a)}
+    assert len({min(len(a), len(b)) for a, b in near}) > 10
     label = {x: x for x in distinct}
 
     def root(x):
@@ -297,9 +307,17 @@ def test_line_join_against_all_pairs(spark):
     for at, x in own.items():
         r = got[at]
         assert (r["class_doc"], r["class_line"]) == first[root(x)] and r["n_links"] == sum(a == x for a, _ in near) and r["kept"] == (at == first[root(x)])
-    clean = line_dedup.clean(docs(spark, *texts), line_dedup.judge(docs(spark, *texts)))
-    assert clean.columns == ["doc_id", "text", "lang"] and sum(len([y for y in (r["text"] or "").split("\n") if y.strip()]) for r in clean.collect()) == len(first)
-    assert line_dedup.judge(docs(spark, "a").limit(0)).count() == 0
+    if (hot, depth) == (32, 3):
+        clean = line_dedup.clean(docs(spark, *texts), line_dedup.judge(docs(spark, *texts)))
+        assert clean.columns == ["doc_id", "text", "lang"] and sum(len([y for y in (r["text"] or "").split("\n") if y.strip()]) for r in clean.collect()) == len(first)
+        assert line_dedup.judge(docs(spark, "a").limit(0)).count() == 0
+
+
+def test_clean_with_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "a\nb", 1, "x", 5), (1, "a\nb", 1, "x", 5), (2, "b\nc", None, None, 6), (None, "b", 3, "z", 7)], "doc_id long, text string, gone int, id string, `row.x` int")
+    out = line_dedup.clean(df, line_dedup.judge(df))
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([(1, "a\nb", 1, "x", 5), (1, "a\nb", 1, "x", 5), (2, "c", None, None, 6), (None, "b", 3, "z", 7)], key=str)
 
 
 def test_clean_of_different_texts_under_one_id(spark):
