@@ -205,8 +205,7 @@ def _keyed(lines: DataFrame, edits: int, probes: bool) -> DataFrame:
                 return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[who]), pa.array(h.bags()[who])], names=["key", "id", "bag"])
 
             for b in batches:
-                for i, line in zip(b.column("id").to_pylist(), b.column("line"), strict=True):
-                    line = line.as_py()
+                for i, line in zip(b.column("id").to_pylist(), b.column("line").to_pylist(), strict=True):
                     if line not in own:
                         own[line] = i
                         chars += len(line)
@@ -249,12 +248,12 @@ def _met(filed: DataFrame, probes: DataFrame, edits: int, last: bool) -> DataFra
     Of a hot key one row alone joins. Every line probes the keys that it files too, so a hot key's probing lines hold its filed ones.
     """
     by = W.partitionBy("key")
-    counted = filed.withColumns({"n": F.count("*").over(by), "k": F.row_number().over(by.orderBy("id"))})
+    counted = filed.withColumns({"n": F.count("*").over(by), "least": F.min("id").over(by)})
     hot = F.lit(False) if last else F.col("n") > HOT_LINES
     bags = probes.withColumnsRenamed({"id": "other", "bag": "other_bag", "chain": "other_chain"})
     near = (F.col("id") != F.col("other")) & (F.bit_count(F.col("bag").bitwiseXOR(F.col("other_bag"))) <= 2 * edits)
     longer = F.array_append("chain", F.col("key")) if "chain" in filed.columns else F.array("key")
-    both = counted.where(~hot | (F.col("k") == 1)).join(bags, "key").where(hot | near)
+    both = counted.where(~hot | (F.col("id") == F.col("least"))).join(bags, "key").where(hot | near)
     return both.select(F.when(hot, F.col("other")).otherwise(F.least("id", "other")).alias("a"), F.when(~hot, F.greatest("id", "other")).alias("b"), F.when(hot, longer).alias("chain"))
 
 

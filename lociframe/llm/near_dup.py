@@ -10,10 +10,13 @@
    times its total cannot reach the threshold with any other: it leaves here, exactly.
 3. The rest get signatures by improved consistent weighted sampling: r, c ~ Gamma(2, 1) and b ~ U(0, 1) for each hash
    function and shingle, drawn by hash from a fixed pool; the unshared weight counts as one private feature. Bands of the signature form buckets.
-4. Candidates are verified by exact weighted Jaccard. First each bucket's members are held against one member, its pivot;
-   then, in buckets that still hold several classes, against a pivot of the largest class; last, members of
-   different classes against each other, so each candidate pair that could join two classes is verified and none inside
-   a class is emitted.
+4. Candidates are verified by exact weighted Jaccard. First each bucket's members are held against one member, its pivot,
+   the one whose shingles the most documents have on average, which is the most typical of a group of copies; then, in buckets that still hold
+   several classes, against a pivot of the largest class. What is left are pairs of members in different classes. Of them only
+   those are tried whose shared weights could reach the threshold; and a bucket of more than SPLIT members is split first. Weighted Jaccard
+   is at least J exactly if the L1 distance is at most (1 - J) / (1 + J) of the two weights, so around the pivot, two
+   members of which one is not near the pivot have to differ from it in the same features: each member is filed under the features
+   in which it differs, as many as a prefix filter needs, and only members that meet there with enough left to share are tried.
 5. Classes are the connected components of the links, contracted in tables of the shared folder; nothing is collected.
 
 Defined cases: a null text, or one without words, is a class of its own; equal texts are one class; rows that repeat a doc_id
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociframe.llm import shared
@@ -39,7 +42,9 @@ WORDS = 5
 THRESHOLD = 0.8
 RARE = 0.2
 BANDS, ROWS = 40, 6
-PIVOT_ROUNDS = 2
+PIVOT_ROUNDS = 1
+#: Open buckets with more members are split by what their members differ in from the pivot.
+SPLIT = 128
 BUCKET_SHINGLES = 1_000_000
 RUN_BYTES = 4 << 20
 CHUNK = 1 << 20
@@ -172,14 +177,12 @@ def send_run(ids: list[int], texts: list[bytes], n_parts: int, seed: int) -> lis
         out.append((part, PENDING, int(h[s].astype(np.int64)), pack(reps[d], tf[s : s + k])))
     marks_h, marks_n = h[starts[hot]], np.array([number[doc[s : s + k]].sum() for s, k in zip(starts[hot], size[hot], strict=True)], dtype=np.int64)
     h, doc, tf = h[cold], doc[cold], tf[cold]
-    edges = np.searchsorted(_spread(h, n_parts), np.arange(n_parts + 1))
-    marked = np.searchsorted(_spread(marks_h, n_parts), np.arange(n_parts + 1))
-    for part in range(n_parts):
-        a, b, c, d = edges[part], edges[part + 1], marked[part], marked[part + 1]
-        if a < b or c < d:
-            local, at = np.unique(doc[a:b], return_inverse=True)
-            ids_ = reps[local]
-            out.append((part, ENTRIES, 0, pack(np.diff(h[a:b], prepend=np.uint64(0)), at, tf[a:b], ids_, number[local], marks_h[c:d], marks_n[c:d])))
+    of_entry, of_mark = _spread(h, n_parts), _spread(marks_h, n_parts)
+    present = np.union1d(of_entry, of_mark)
+    bounds = [np.searchsorted(x, present, side=side).tolist() for x in (of_entry, of_mark) for side in ("left", "right")]
+    for part, a, b, c, d in zip(present.tolist(), *bounds, strict=True):
+        local, at = np.unique(doc[a:b], return_inverse=True)
+        out.append((part, ENTRIES, 0, pack(np.diff(h[a:b], prepend=np.uint64(0)), at, tf[a:b], reps[local], number[local], marks_h[c:d], marks_n[c:d])))
     return out
 
 
@@ -204,8 +207,9 @@ def _send(n_parts: int):
 def _by_home(doc: np.ndarray, h: np.ndarray, tf: np.ndarray, df: np.ndarray, n_parts: int) -> list[tuple]:
     at = home(doc, n_parts)
     order = np.argsort(at, kind="stable")
-    edges = np.searchsorted(at[order], np.arange(n_parts + 1))
-    return [(p, ENTRIES, 0, pack(*(x[order[a:b]] for x in (doc, h, tf, df)))) for p, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if a < b]
+    starts = _runs(at[order])
+    ends = np.append(starts, len(order))[1:]
+    return [(int(at[order[a]]), ENTRIES, 0, pack(*(x[order[a:b]] for x in (doc, h, tf, df)))) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def _count(n_parts: int):
@@ -303,7 +307,7 @@ def _whole_signatures(h: np.ndarray, w: np.ndarray, at: np.ndarray, rest: np.nda
     return signatures(h[order], w[order], _runs(at[order]), BANDS * ROWS)
 
 
-STATE = "doc_id long, rep long, total double, hs binary, ws binary, digest long, keys array<long>"
+STATE = "doc_id long, rep long, total double, inside double, typical double, hs binary, ws binary, digest long, keys array<long>"
 
 
 def _gather(n_docs: int, threshold: float):
@@ -321,7 +325,7 @@ def _gather(n_docs: int, threshold: float):
             total_n, least = np.zeros(len(ids), dtype=np.int64), np.full(len(ids), np.iinfo(np.int64).max)
             np.maximum.at(total_n, at, n)
             np.minimum.at(least, at, rep)
-            rows = [ids, least, np.zeros(len(ids))]
+            rows = [ids, least, *np.zeros((3, len(ids)))]
             hs, ws, digest, keys = ([None] * len(ids) for _ in range(4))
             if feats:
                 doc, h, tf, df = (np.concatenate([x[k] for x in feats]) for k in range(4))
@@ -335,7 +339,7 @@ def _gather(n_docs: int, threshold: float):
                 w = (tf * (1 + RARE * np.log(np.maximum(1, n_docs / df)) / top)).astype(np.float32).astype(float)
                 inside, own_tf = np.bincount(at, w, len(ids)), np.bincount(at, tf, len(ids))
                 rest = np.maximum(0, total_n - own_tf) * (1 + RARE)
-                rows[2] = inside + rest
+                rows[2:] = inside + rest, inside, np.bincount(at, tf * np.log(df), len(ids)) / np.maximum(1, total_n)
                 chosen = (inside > 0) & (inside >= (threshold - 1e-9) * rows[2])
                 m = chosen[at]
                 h, w, at = h[m], w[m], at[m]
@@ -352,7 +356,7 @@ def _gather(n_docs: int, threshold: float):
                         if rest[d] == 0:
                             weights = w[a:b].astype(np.float32).view(np.uint32).astype(np.uint64)
                             digest[d] = int(np.bitwise_xor.reduce(_mix(h[a:b] + _mix(weights))).astype(np.int64))
-            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+            kinds = (pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.int64(), pa.list_(pa.int64()))
             return pa.Table.from_arrays([pa.array(x, k) for x, k in zip((*rows, hs, ws, digest, keys), kinds, strict=True)], names=[c.split()[0] for c in STATE.split(", ")])
 
     return run
@@ -387,14 +391,78 @@ def _cross(members: DataFrame, pivots: DataFrame) -> DataFrame:
     return joined.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
 
 
-def _across(members: DataFrame, state: DataFrame) -> DataFrame:
-    """Pairs of members of a bucket in different classes, each pair from the first band alone that holds both."""
-    bands = state.where("keys is not null").select("doc_id", F.transform("keys", lambda k: F.hash(k)).alias("marks"))
-    rows = members.join(bands, "doc_id").select("key", "band", "doc_id", "label", "marks")
-    other = rows.select("key", F.col("doc_id").alias("other"), F.col("label").alias("other_label"), F.col("marks").alias("other_marks"))
-    earlier = F.arrays_zip(F.slice("marks", F.lit(1), F.col("band")).alias("x"), F.slice("other_marks", F.lit(1), F.col("band")).alias("y"))
-    pairs = rows.join(other, "key").where((F.col("doc_id") < F.col("other")) & (F.col("label") != F.col("other_label")) & ~F.exists(earlier, lambda z: z["x"] == z["y"]))
-    return pairs.select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
+def _can_reach(threshold: float) -> Column:
+    """Whether the shared weight of both sides allows the threshold: what they have in common is part of either's."""
+    both = F.col("total") + F.col("other_total")
+    return F.least("inside", "other_inside") >= (threshold / (1 + threshold) - 1e-9) * both
+
+
+def _differences(threshold: float):
+    """Members of a bucket filed under the features in which they differ from its pivot.
+
+    With a = (1 - J) / (1 + J) and slack s = distance to the pivot - a * weight, two members reach J exactly if the differences that
+    they share weigh (s + s') / 2 at least. A member near the pivot has s <= a * pivot's weight, and no slack is under
+    -a * pivot's weight; as one of the two is not near, each has a least weight to share, and a feature is
+    filed while what follows in order, itself included, still weighs that much.
+    """
+    reach = (1 - threshold) / (1 + threshold)
+    lacks = np.uint64(0x5851F42D4C957F2D)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[] for _ in range(5)]
+            for r in batch.to_pylist():
+                (h, w), (ph, pw) = ((np.frombuffer(r[f"{x}hs"], np.uint64), np.frombuffer(r[f"{x}ws"], np.float32).astype(float)) for x in ("", "pivot_"))
+                _, i, j = np.intersect1d(h, ph, assume_unique=True, return_indices=True)
+                slack = r["total"] + r["pivot_total"] - 2 * np.minimum(w[i], pw[j]).sum() - reach * r["total"]
+                far = reach * r["pivot_total"]
+                least = (slack - far if slack > far else slack + far) / 2 - 1e-6 * r["total"]
+                more, less = w.copy(), pw.copy()
+                more[i] -= pw[j]
+                less[j] -= w[i]
+                # the pivot's unshared weight is lacking in all others, so it comes last
+                whole = max(0.0, r["pivot_total"] - pw.sum())
+                feature = np.concatenate([np.sort(_mix(h[more > 1e-9])), np.sort(_mix(ph[less > 1e-9] ^ lacks)), [lacks]])
+                weight = np.concatenate([more[more > 1e-9][np.argsort(_mix(h[more > 1e-9]))], less[less > 1e-9][np.argsort(_mix(ph[less > 1e-9] ^ lacks))], [whole]])
+                rest = np.cumsum(weight[::-1])[::-1]
+                kept = np.flatnonzero((rest >= least) & (weight > 0))
+                keys = _mix(feature[kept] + _mix(np.array([r["key"]], dtype=np.int64).view(np.uint64)))
+                for column, x in zip(out, (keys.view(np.int64), np.full(len(kept), r["doc_id"]), np.full(len(kept), r["label"]), np.full(len(kept), slack), rest[kept]), strict=True):
+                    column.append(x)
+            if out[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in out], names=["key", "doc_id", "label", "slack", "rest"])
+
+    return run
+
+
+def _other(rows: DataFrame) -> DataFrame:
+    return rows.select("key", *(F.col(c).alias("other" if c == "doc_id" else f"other_{c}") for c in rows.columns if c != "key"))
+
+
+def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of members of a bucket in different classes that may reach the threshold. pivots: (key, pivot), with which all members of a bucket were tried."""
+    sized = members.join(state.select("doc_id", "total", "inside", "keys"), "doc_id")
+    # a member that could not even reach the threshold with the lightest one has no partner here
+    lightest = sized.groupBy("key").agg(F.min("total").alias("other_total"))
+    able = shared.cut(sized.join(lightest, "key").withColumn("other_inside", F.col("inside")).where(_can_reach(threshold)).drop("other_total", "other_inside"), "able")
+    size = able.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key", (F.col("n") > SPLIT).alias("large"))
+    size = shared.cut(size, "sizes")
+    apart = (F.col("doc_id") < F.col("other")) & (F.col("label") != F.col("other_label"))
+    small = able.join(size.where("not large"), "key").select("key", "band", "doc_id", "label", "total", "inside", "keys")
+    # each pair from the first band alone that holds both
+    earlier = F.arrays_zip(F.slice("keys", F.lit(1), F.col("band")).alias("x"), F.slice("other_keys", F.lit(1), F.col("band")).alias("y"))
+    pairs = small.join(_other(small), "key").where(apart & _can_reach(threshold) & ~F.exists(earlier, lambda z: z["x"] == z["y"])).select("doc_id", "other")
+    if size.where("large").isEmpty():
+        out = pairs
+    else:
+        features = state.select("doc_id", "hs", "ws")
+        # large buckets around one pivot, as the bands of one group of copies give, are one: each member is filed once
+        large = able.join(size.where("large"), "key").join(pivots, "key").where("doc_id <> pivot").select(F.col("pivot").alias("key"), "doc_id", "label", "total", "pivot").distinct()
+        large = large.join(features, "doc_id").join(state.select(F.col("doc_id").alias("pivot"), *(F.col(c).alias(f"pivot_{c}") for c in ("total", "hs", "ws"))), "pivot")
+        filed = shared.cut(large.drop("pivot").mapInArrow(_differences(threshold), "key long, doc_id long, label long, slack double, rest double"), "filed")
+        met = filed.join(_other(filed), "key").where(apart & (F.least("rest", "other_rest") >= (F.col("slack") + F.col("other_slack")) / 2 - 1e-6 * F.greatest("rest", "other_rest")))
+        out = pairs.unionAll(met.select("doc_id", "other"))
+    return out.select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -417,11 +485,13 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     equal = state.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     full = state.where("digest is not null").select("doc_id", "digest")
     alike = shared.cut(full.join(full.groupBy("digest").agg(F.min("doc_id").alias("b")), "digest").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "alike")
-    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")), "doc_id", "left_anti").select("doc_id", F.posexplode("keys").alias("band", "key"))
+    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
+    members = members.select("doc_id", "typical", F.posexplode("keys").alias("band", "key"))
     # buckets of two members or more
-    shared_keys = members.groupBy("key").agg(F.min("doc_id").alias("pivot"), F.max("doc_id").alias("last")).where("pivot <> last").drop("last")
+    by_key = members.groupBy("key").agg(F.max(F.struct("typical", -F.col("doc_id"))).alias("top"), F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
+    shared_keys = by_key.where("least <> last").select("key", (-F.col("top.col2")).alias("pivot"))
     members = shared.cut(members.join(shared_keys, "key").select("key", "band", "doc_id", "pivot"), "members")
-    first = members.where("doc_id <> pivot").select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct()
+    first = members.where("doc_id <> pivot").select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")).distinct()
     links = shared.cut(verify(first, state, threshold), "links")
     tried = shared.cut(first, "tried")
 
@@ -431,7 +501,7 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         open_keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
         named = shared.cut(named.join(open_keys, "key"), "open")
         if turn == PIVOT_ROUNDS:
-            pairs = _across(named, state)
+            pairs = _across(named, members.where("doc_id = pivot").select("key", "pivot"), state, threshold)
         else:
             by_class = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "key", F.lit(turn))).alias("pivot"))
             largest = by_class.groupBy("key").agg(F.max_by(F.struct("pivot", "label"), F.struct("n", "label")).alias("p"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -12,11 +13,13 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (local tests)."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset and Spark runs on this machine alone."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
         found = spark.conf.get("lociframe.local.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='lociframe-')}"
         spark.conf.set("lociframe.local.checkpoint.dir", found)
     return found
@@ -59,15 +62,17 @@ def components(links: DataFrame) -> DataFrame:
     labels = cut(edges.select(F.col("a").alias("id")).union(edges.select("b")).distinct().select("id", F.col("id").alias("label")), "labels")
     while not edges.isEmpty():
         turned = edges.union(edges.select("b", "a")).toDF("v", "w")
-        step = turned.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("to"))
+        steps = [cut(turned.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("to")), "step")]
         for _ in range(2):
-            step = cut(step, "step")
-            onward = step.toDF("to", "on")
-            step = step.join(onward, "to").select("v", F.col("on").alias("to"))
-        step = cut(step, "step")
+            onward = steps[-1].toDF("to", "on")
+            steps.append(cut(steps[-1].join(onward, "to").select("v", F.col("on").alias("to")), "step"))
+        step, old = steps[-1], (labels, edges, *steps)
         labels = cut(labels.join(step.toDF("label", "to"), "label", "left").select("id", F.coalesce("to", "label").alias("label")), "labels")
         moved = edges.join(step.toDF("a", "a2"), "a").join(step.toDF("b", "b2"), "b")
         edges = cut(moved.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
+        for df in old:
+            forget(df)
+    forget(edges)
     return labels
 
 

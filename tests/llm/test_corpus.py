@@ -186,7 +186,9 @@ def _classes(texts, n, rare=near_dup.RARE):
     return [root(i) for i in range(len(texts))]
 
 
-def test_near_dup_against_all_pairs(spark):
+@pytest.mark.parametrize("split", [128, 2])
+def test_near_dup_against_all_pairs(spark, monkeypatch, split):
+    monkeypatch.setattr(near_dup, "SPLIT", split)
     rng = random.Random(9)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
     base = [[word() for _ in range(rng.randint(5, 120))] for _ in range(60)]
@@ -195,7 +197,7 @@ def test_near_dup_against_all_pairs(spark):
     for _ in range(150):
         b = list(rng.choice([*base[:20], hot]))
         for _ in range(rng.randint(0, 4)):
-            b[rng.randrange(len(b))] = word()
+            b[rng.randrange(len(b))] = rng.choice([word(), "aaaa", "bbbb"])
         texts.append(" ".join(b))
     texts += [texts[3]] * 20 + ["", None, " \n", "one two", "one two", "x"]
     got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs(spark, *texts).repartition(3)).collect()}
@@ -204,6 +206,22 @@ def test_near_dup_against_all_pairs(spark):
     assert kept.columns == ["doc_id", "text", "lang"] and kept.count() == len(set(got.values()))
 
 
+def test_near_dup_recall_on_long_texts(spark):
+    rng = random.Random(5)
+    texts = []
+    for k in range(24):
+        a = ["".join(rng.choice("abcdefghij") for _ in range(4)) for _ in range(20_000)]
+        b = list(a)
+        for i in rng.sample(range(0, 20_000, 5), 330 + 4 * k):  # 0.80 to 0.85 alike
+            b[i] = "x" + b[i]
+        texts += [" ".join(a), " ".join(b)]
+    texts += ["z"] * 3  # so that idf is near 1
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.classes(docs(spark, *texts)).collect()}
+    want = _classes(texts, len(texts))
+    near = [i for i in range(0, 48, 2) if want[i + 1] == i]
+    assert len(near) >= 20 and sum(got[i + 1] == i for i in near) >= 0.9 * len(near) and all(got[i] == i for i in range(0, 48, 2))
+
+
 def test_near_dup_empty_and_null_ids(spark):
     assert near_dup.classes(docs(spark, "a").limit(0)).count() == 0
     df = spark.createDataFrame([(None, "a b c d e f", "x"), (1, "a b c d e f", "x"), (1, "a b c d e f", "x")], DOC)
