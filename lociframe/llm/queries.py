@@ -137,4 +137,4 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_pii_surrogates")
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested for round properties: coreference, distinctness, format; SQL has no keyed permutation."""
-    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.query_key(spark))

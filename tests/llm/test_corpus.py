@@ -387,24 +387,45 @@ def test_viterbi_against_enumeration():
 
 def test_surrogates(spark):
     t = "mail bosbt.42@mail8.example.com, +1 (555) 123-4567, 4111 1111 1111 1111, 42.144.35.254. Frau Anna Smith, Mr. Ivan Petrov; bosbt.42@mail8.example.com"
-    new, spans = pii.replace(t)
+    new, spans = pii.replace(t, "k")
     assert [k for *_, k, _ in spans] == ["email", "phone", "card", "ip", "name_f", "name_m", "email"]
     assert spans[0][3] == spans[-1][3] and all(t[s:e] not in new for s, e, *_ in spans)
     assert spans[4][3].split()[0] in pii.GIVEN["f", "latin"] and len(new.split()) == len(t.split())
     card = "".join(c for c in spans[2][3] if c.isdigit())
     assert pii._luhn(card[:-1]) == card[-1]
-    assert pii.replace("Nothing here, 3.14 or 2024-01-02.")[1] == []
+    assert pii.replace("Nothing here, 3.14 or 2024-01-02.", "k")[1] == []
     for m in (2, 7, 100, 1000):
         p = pii.Permutation(m, "k", "t")
         assert sorted(map(p, range(m))) == list(range(m)) and all(p(x) != x for x in range(m))
     names = [n for g in pii.GIVEN.values() for n in g] + ["Zora", "Xnna", "Annu"]
-    assert len({pii.surrogate("name_f", n) for n in names}) == len(names)
-    out = pii.pseudonymize(spark.createDataFrame([(1, t, 1), (2, None, 2), (3, "", 3), (1, t, 1)], "doc_id long, text string, entities_ int"))
+    assert len({pii.surrogate("name_f", n, "k") for n in names}) == len(names)
+    df = spark.createDataFrame([(1, t, 1), (2, None, 2), (3, "", 3), (1, t, 1)], "doc_id long, text string, entities int")
+    out = pii.pseudonymize(df, "k")
     got = out.collect()
-    assert got[0]["text"] == new == got[3]["text"] and got[1]["text"] is None and got[2]["text"] == "" and len(got[0]["entities"]) == 7
+    assert out.columns == ["doc_id", "text", "entities", "entities_"] and [r["entities"] for r in got] == [1, 2, 3, 1]
+    assert got[0]["text"] == new == got[3]["text"] and got[1]["text"] is None and got[2]["text"] == "" and len(got[0]["entities_"]) == 7
     d = spark.read.parquet(f"{SF}/documents.parquet")
-    assert pii.collisions(d, pii.pseudonymize(d)).count() == 0
-    assert pii.pseudonymize(d.limit(0)).count() == 0
+    assert pii.collisions(d, pii.pseudonymize(d, "k")).count() == 0
+    assert pii.pseudonymize(d.limit(0), "k").count() == 0
+    with pytest.raises(ValueError, match="key"):
+        pii.pseudonymize(d, "")
+
+
+def test_spellings_of_one_entity():
+    digits = lambda x: "".join(c for c in x if c.isdigit())
+    phones = [pii.surrogate("phone", x, "k") for x in ("+1 (555) 123-4567", "+15551234567", "(555) 123-4567", "555-123-4567")]
+    assert {digits(x)[-10:] for x in phones} == {digits(phones[0])[-10:]} and digits(phones[0])[-10:] != "5551234567" and phones[1].startswith("+1")
+    assert len({digits(pii.surrogate("phone", x, "k")) for x in ("+49 30 1234567", "+49301234567")}) == 1
+    new, _ = pii.replace("Dr. Petrov met Mr. Ivan Petrov. Later Petrov left, and Ivan too. Petrovka stays.", "k")
+    words = new.replace(".", "").replace(",", "").split()
+    assert words[1] == words[5] == words[7] and words[4] == words[10] and "Petrov " not in new and "Ivan" not in new and words[-2] == "Petrovka"
+    new, spans = pii.replace("Ms. 王芳 spoke, 王芳 again; κύριος", "k")
+    assert "王芳" not in new and len(spans) == 2 and spans[0][3] == spans[1][3] and all(ord(c) in pii.HAN for c in spans[0][3])
+    local = "a1." * 160 + "x"
+    new, spans = pii.replace(f"to {local}@mail.example.com", "k")
+    assert len(spans) == 1 and spans[0][0] == 3 and local[:40] not in new
+    many = " ".join(f"u{i}@example.com" for i in range(12_000))
+    assert len(pii.replace(many, "k")[1]) == 12_000
 
 
 # pipeline
