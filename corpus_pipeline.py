@@ -34,7 +34,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: personal data is replaced by surrogates."""
     ship(spark)
-    return pii.pseudonymize(docs).select(*docs.columns)
+    return pii.pseudonymize(docs, pii.query_key(spark)).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
