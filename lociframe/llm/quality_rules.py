@@ -1,8 +1,10 @@
 """Quality rules: base rules on words and repeats, then a linear-chain conditional random field over lines.
 
 The field labels each line of a document as content or boilerplate by Viterbi decoding; the share of characters in
-content lines decides. It is trained here, by gradient ascent on the likelihood of line labels that come from
-document labels (quality 1: content, 0: boilerplate), on a bounded sample of labelled documents.
+content lines decides. It is trained here, by gradient ascent on the likelihood of line labels, on a bounded sample of
+labelled documents, of which every line counts. Line labels are latent: they start as their document's label (quality 1: content,
+0: boilerplate); then the field decodes each document, its path becomes the labels where its content share agrees
+with the document's label, and the field is fitted again. So documents that mix content and boilerplate teach changes of label.
 
 Base counts, on words `[^\\x20\\x09-\\x0D]+` of the whole text, are those of the query's contract; see base_counts().
 
@@ -26,9 +28,11 @@ from lociframe.llm import shared
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 MIN_CONTENT_SHARE = 0.5
-#: The bound on the training sample: documents of each label, by hash of doc_id, and lines of each.
+#: The bound on the training sample: documents of each label, by hash of doc_id.
 TRAIN_DOCS = 1000
-TRAIN_LINES = 500
+#: Training cuts a document's lines into chains of that length, all of which count.
+CHAIN_LINES = 48
+RELABELS = 2
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -130,65 +134,79 @@ class LineField:
             out.append(label)
         return np.array(out[::-1])
 
-    @classmethod
-    def fit(cls, docs: list[tuple[np.ndarray, int]], steps: int = 150, rate: float = 0.1, l2: float = 0.01) -> LineField:
-        """Gradient ascent (Adam) on the mean log-likelihood; docs: bins of the lines, and the label of all of them."""
-        if not docs or len({y for _, y in docs}) < 2:
-            return cls()
-        docs = sorted(docs, key=lambda d: -len(d[0]))
-        longest, n = len(docs[0][0]), len(docs)
-        bins = np.zeros((n, longest, len(_EDGES)), dtype=np.int64)
-        alive = np.zeros((n, longest), dtype=bool)
-        y = np.array([d[1] for d in docs])
-        for i, (b, _) in enumerate(docs):
-            bins[i, : len(b)], alive[i, : len(b)] = b + _OFFSETS, True
+    def content_share(self, bins: np.ndarray, points: np.ndarray) -> float:
+        return float(points[self.viterbi(bins) == 1].sum() / points.sum()) if len(bins) else 0.0
+
+    def fit(self, chains: list[tuple[np.ndarray, np.ndarray]], steps: int = 80, rate: float = 0.1, l2: float = 0.01) -> LineField:
+        """Gradient ascent (Adam) on the mean log-likelihood, from this field on; chains: bins and labels of consecutive lines."""
+        chains = sorted(chains, key=lambda c: -len(c[0]))
+        longest, n = len(chains[0][0]), len(chains)
+        bins, alive, y = np.zeros((n, longest, len(_EDGES)), dtype=np.int16), np.zeros((n, longest), dtype=bool), np.zeros((n, longest), dtype=np.int64)
+        for i, (b, labels) in enumerate(chains):
+            bins[i, : len(b)], alive[i, : len(b)], y[i, : len(b)] = b + _OFFSETS, True, labels
+        flat, last = bins[alive].astype(np.int64), alive.sum(axis=1) - 1
         gold_w, gold_t = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
         for v in (0, 1):
-            np.add.at(gold_w[:, v], bins[y == v][alive[y == v]].ravel(), 1)
-            gold_t[v, v] = np.maximum(alive[y == v].sum(axis=1) - 1, 0).sum()
-        total, theta = alive.sum(), np.zeros(2 * N_FEATURES + 4)
+            np.add.at(gold_w[:, v], flat[y[alive] == v].ravel(), 1)
+        np.add.at(gold_t, (y[:, :-1][alive[:, 1:]], y[:, 1:][alive[:, 1:]]), 1)
+        theta = np.concatenate([self.weights.ravel(), self.transitions.ravel()])
         m, v2 = np.zeros_like(theta), np.zeros_like(theta)
-        rows = [int(alive[:, t].sum()) for t in range(longest)]
+        rows = alive.sum(axis=0)
         for step in range(1, steps + 1):
             w, tr = theta[: 2 * N_FEATURES].reshape(-1, 2), theta[2 * N_FEATURES :].reshape(2, 2)
-            e = w[bins].sum(axis=2)
+            e = np.zeros((n, longest, 2))
+            e[alive] = w[flat].sum(axis=1)
             alpha, beta = np.zeros((n, longest, 2)), np.zeros((n, longest, 2))
             alpha[:, 0] = e[:, 0]
             for t in range(1, longest):
                 k = rows[t]
-                alpha[:k, t] = np.logaddexp.reduce(alpha[:k, t - 1, :, None] + tr, axis=1) + e[:k, t]
+                alpha[:k, t] = np.logaddexp(alpha[:k, t - 1, :1] + tr[0], alpha[:k, t - 1, 1:] + tr[1]) + e[:k, t]
             for t in range(longest - 2, -1, -1):
                 k = rows[t + 1]
-                beta[:k, t] = np.logaddexp.reduce(tr + (e[:k, t + 1] + beta[:k, t + 1])[:, None, :], axis=2)
-            last = alive.sum(axis=1) - 1
+                on = e[:k, t + 1] + beta[:k, t + 1]
+                beta[:k, t] = np.logaddexp(tr[:, 0] + on[:, :1], tr[:, 1] + on[:, 1:])
             z = np.logaddexp.reduce(alpha[np.arange(n), last], axis=1)
             node = np.exp(alpha + beta - z[:, None, None])[alive]
-            want_w, want_t = np.zeros((N_FEATURES, 2)), np.zeros((2, 2))
-            for v in (0, 1):
-                want_w[:, v] = np.bincount(bins[alive].ravel(), np.repeat(node[:, v], len(_EDGES)), minlength=N_FEATURES)
-            for t in range(1, longest):
-                k = rows[t]
-                want_t += np.exp(alpha[:k, t - 1, :, None] + tr + (e[:k, t] + beta[:k, t])[:, None, :] - z[:k, None, None]).sum(axis=0)
-            g = np.concatenate([(gold_w - want_w).ravel(), (gold_t - want_t).ravel()]) / total - l2 * theta / N_FEATURES
+            want_w = np.stack([np.bincount(flat.ravel(), np.repeat(node[:, v], len(_EDGES)), minlength=N_FEATURES) for v in (0, 1)], axis=1)
+            pair = np.exp(alpha[:, :-1, :, None] + tr + (e + beta)[:, 1:, None, :] - z[:, None, None, None])
+            want_t = pair[alive[:, 1:]].sum(axis=0)
+            g = np.concatenate([(gold_w - want_w).ravel(), (gold_t - want_t).ravel()]) / len(flat) - l2 * theta / N_FEATURES
             m, v2 = 0.9 * m + 0.1 * g, 0.999 * v2 + 0.001 * g * g
             theta = theta + rate * (m / (1 - 0.9**step)) / (np.sqrt(v2 / (1 - 0.999**step)) + 1e-8)
-        return cls(theta[: 2 * N_FEATURES].reshape(-1, 2), theta[2 * N_FEATURES :].reshape(2, 2))
+        return LineField(theta[: 2 * N_FEATURES].reshape(-1, 2), theta[2 * N_FEATURES :].reshape(2, 2))
+
+
+def learn(docs: list[tuple[np.ndarray, np.ndarray, int]], relabels: int = RELABELS) -> LineField:
+    """A field from bins and code points of documents' lines and the documents' labels."""
+    docs = [d for d in docs if len(d[0])]
+    field = LineField()
+    if len({y for *_, y in docs}) < 2:
+        return field
+    labels = [np.full(len(bins), y) for bins, _, y in docs]
+    for turn in range(relabels + 1):
+        chains = [(bins[k : k + CHAIN_LINES], own[k : k + CHAIN_LINES]) for (bins, *_), own in zip(docs, labels, strict=True) for k in range(0, len(bins), CHAIN_LINES)]
+        field = field.fit(chains)
+        if turn < relabels:
+            paths = [field.viterbi(bins) for bins, *_ in docs]
+            agrees = [(points[path == 1].sum() >= MIN_CONTENT_SHARE * points.sum()) == y for path, (_, points, y) in zip(paths, docs, strict=True)]
+            labels = [path if ok else np.full(len(path), d[2]) for path, ok, d in zip(paths, agrees, docs, strict=True)]
+    return field
 
 
 def train(documents: DataFrame, labels: DataFrame, most: int = TRAIN_DOCS) -> LineField:
-    """A field from at most `most` labelled documents of either label, chosen by hash; the first TRAIN_LINES lines of each train it."""
+    """A field from at most `most` labelled documents of either label, chosen by hash; all of their lines train it."""
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = [known.where(F.col("quality") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
     sample = documents.select("doc_id", "text").join(F.broadcast(chosen[0].unionAll(chosen[1])), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            bins = [line_features(t)[0][:TRAIN_LINES].astype(np.uint8) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), pa.array([x.tobytes() for x in bins], pa.binary())], names=["doc_id", "quality", "bins"])
+            got = [line_features(t) for t in b.column("text").to_pylist()]
+            columns = [pa.array([x.astype(kind).tobytes() for x in column], pa.binary()) for kind, column in zip((np.uint8, np.int32), zip(*got, strict=True), strict=True)] if got else [pa.array([], pa.binary())] * 2
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("quality"), *columns], names=["doc_id", "quality", "bins", "points"])
 
-    rows = sample.mapInArrow(run, "doc_id long, quality int, bins binary").collect()
-    docs = [(np.frombuffer(r["bins"], np.uint8).reshape(-1, len(_EDGES)).astype(np.int64), r["quality"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["bins"])) if r["bins"]]
-    return LineField.fit(docs)
+    rows = sample.mapInArrow(run, "doc_id long, quality int, bins binary, points binary").dropDuplicates(["doc_id", "bins"]).collect()
+    return learn([(np.frombuffer(r["bins"], np.uint8).reshape(-1, len(_EDGES)).astype(np.int64), np.frombuffer(r["points"], np.int32), r["quality"]) for r in sorted(rows, key=lambda r: (r["doc_id"], r["bins"]))])
 
 
 VERDICT = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
@@ -198,7 +216,7 @@ def verdict(text: str | None, field: LineField, min_share: float = MIN_CONTENT_S
     n_words, word_chars, n_symbols, n_dup, n_repeat = base_counts(text)
     failed = n_words < MIN_WORDS or 100 * n_repeat > MAX_REPEAT_PERCENT * n_words
     bins, points = line_features(text)
-    share = float(points[field.viterbi(bins) == 1].sum() / points.sum()) if len(bins) else 0.0
+    share = field.content_share(bins, points)
     return n_words, word_chars, n_symbols, n_dup, n_repeat, failed, share, not failed and share >= min_share
 
 

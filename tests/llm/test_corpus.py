@@ -368,6 +368,10 @@ def test_field_on_held_out_labels(spark):
     good = [r["kept"] or r["base_failed"] for r in rows if r["quality"] == 1]
     bad = [not r["kept"] for r in rows if r["quality"] == 0]
     assert sum(good) / len(good) > 0.98 and sum(bad) / len(bad) > 0.9
+    texts = {r["doc_id"]: r["text"] for r in d.collect()}
+    ends = {v: [texts[r["doc_id"]] for r in rows if r["kept"] == bool(v) and len((texts[r["doc_id"]] or "").split("\n")) > 5][:40] for v in (0, 1)}
+    mixed = [quality_rules.verdict(a + "\n" + b, field)[-2] for a, b in zip(ends[1], ends[0], strict=False)]
+    assert len(mixed) >= 5 and sum(0 < x < 1 for x in mixed) >= 0.8 * len(mixed)
     untrained = quality_rules.train(d, lab.limit(0))
     assert quality_rules.judge(docs(spark, "one two three four five six seven eight nine ten", None, ""), untrained).select("kept").collect() == [(True,), (False,), (False,)]
 
