@@ -7,7 +7,9 @@ are a hash of the row's key and the place in the text: a row gets the same segme
 partition or batch, and theta above 1 nears the best path.
 
 No piece reaches over the start of a run of spaces or over a line break, so the lattice falls apart into units; units that
-repeat are filtered once and drawn together, column-wise. A unit of over UNIT_BYTES bytes is cut there.
+repeat are filtered once and drawn together, column-wise. A unit of over UNIT_BYTES bytes is walked on its own: the forward pass keeps
+one sum for each place, and sampling finds the arcs again, WALK_BYTES at a time from the end, so no text is cut. A model
+with pieces that do reach over has whole texts as units.
 
 A text gets the model's leading space; characters outside the vocabulary, and U+2581 itself, which the model uses for the
 space, become byte pieces. So decode(encode(text)) == text for every text.
@@ -31,6 +33,7 @@ from lociframe.llm.packing import slices
 
 THETA = 0.0005
 UNIT_BYTES = 4096
+WALK_BYTES = 1 << 16
 KEPT_ARCS = 6_000_000
 SLICE_BYTES = 2 << 20
 _UNITS = re.compile(r" +[^ \n]*|\n|[^ \n]+")
@@ -89,6 +92,8 @@ class Lattices:
                 text = piece.replace(_SPACE, " ").encode()
                 self.pieces[text] = i
                 self.bytes_of.append(text)
+        self.whole = any(not re.fullmatch(r" *[^ \n]*|\n", t.decode()) for t in self.pieces)
+        self.id_type = np.uint16 if len(scores) <= 1 << 16 else np.int32
         self.scores = np.array(scores)
         self.scores[self.byte_ids] = self.scores.min()
         self.byte_ids = np.array(self.byte_ids)
@@ -112,7 +117,7 @@ class Lattices:
         self.base = _Growing(np.int64)  # first node of each unit; nodes of a unit lie side by side
         self.base.add(np.zeros(1, dtype=np.int64))
         self.first = _Growing(np.int32)  # first arc into each node
-        self.cum, self.came, self.ids = _Growing(np.float32), _Growing(np.int32), _Growing(np.int16)
+        self.cum, self.came, self.ids = _Growing(np.float32), _Growing(np.int32), _Growing(self.id_type)
 
     def _arcs(self, data: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Place, length and id of all pieces in the units' bytes; left: bytes from each place to its unit's end."""
@@ -182,8 +187,14 @@ class Lattices:
         """Ids of all texts one after another, and how many each has."""
         if self.cum.size > KEPT_ARCS:
             self.reset()
-        split = [_split(t) for t in texts]
+        split = [[" " + t] if self.whole else _UNITS.findall(" " + t) for t in texts]
         n_units = np.array([len(x) for x in split])
+        long = {}  # units that are walked on their own stand in the tables as one byte
+        for x, k in zip(split, (np.cumsum(n_units) - n_units).tolist(), strict=True):
+            if max(map(len, x)) * 4 > UNIT_BYTES:
+                for j, u in enumerate(x):
+                    if len(u) * 4 > UNIT_BYTES:
+                        long[k + j], x[j] = u.encode(), " "
         units = np.fromiter((k for x in split for k in map(self.units.__getitem__, x)), np.int64, n_units.sum())
         self.filter()
         with np.errstate(over="ignore"):
@@ -205,24 +216,64 @@ class Lattices:
                 n_ids[active] += 1
                 node[active] = came[arc]
                 active = active[node[active] != start[active]]
+            walked = {k: self.walk(data, seed[k]) for k, data in long.items()}
+            for k, ids in walked.items():
+                n_ids[k] = len(ids)
         ends = np.cumsum(n_ids)
         out = np.empty(ends[-1] if len(ends) else 0, dtype=np.int32)
         for k, (who, ids) in enumerate(steps):
             out[ends[who] - 1 - k] = ids
+        for k, ids in walked.items():
+            out[ends[k] - len(ids) : ends[k]] = ids
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(n_units)])]
         return out, np.diff(bounds)
 
+    def _window(self, data: np.ndarray, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The arcs that end in (a, b], in order of their ends: where each place's arcs start in the list, starts, ids, weights; a and b are between characters."""
+        from_ = max(0, a - self.longest)
+        while from_ and data[from_] & 0xC0 == 0x80:
+            from_ -= 1
+        place, n, ids = self._arcs(data[from_:b], b - from_ - np.arange(b - from_))
+        place, end = place + from_, place + from_ + n
+        order = np.argsort(end, kind="stable")
+        order = order[end[order] > a]
+        return np.searchsorted(end[order], np.arange(a + 1, b + 2)), place[order], ids[order], self.theta * self.scores[ids[order]]
+
+    def walk(self, unit: bytes, seed: np.uint64) -> np.ndarray:
+        """Ids of one long unit: the same draws as in encode(), with arcs in memory for one window at a time."""
+        data, edges = np.frombuffer(unit, np.uint8), [0]
+        while edges[-1] < len(data):
+            to = min(len(data), edges[-1] + WALK_BYTES)
+            while to < len(data) and data[to] & 0xC0 == 0x80:
+                to += 1
+            edges.append(to)
+        alpha = np.full(len(data) + 1, -np.inf)
+        alpha[0] = 0.0
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            bounds, came, _, s = self._window(data, a, b)
+            bounds = bounds.tolist()
+            for j, (i, k) in enumerate(zip(bounds[:-1], bounds[1:], strict=True), a + 1):
+                if i < k:
+                    v = alpha[came[i:k]] + s[i:k]
+                    top = v.max()
+                    if top > -np.inf:
+                        alpha[j] = top + np.log(np.exp(v - top).sum())
+        out, at = [], len(data)
+        draws = (_mix(seed + np.arange(len(data) + 1, dtype=np.uint64) * _B) >> np.uint64(11)) * 2.0**-53
+        for a, b in zip(edges[-2::-1], edges[:0:-1], strict=True):
+            bounds, came, ids, s = self._window(data, a, b)
+            while at > a:
+                i, k = bounds[at - a - 1], bounds[at - a]
+                cum = np.cumsum(np.exp(alpha[came[i:k]] + s[i:k] - alpha[at]))
+                arc = i + min(int(np.searchsorted(cum, draws[at], side="right")), k - i - 1)
+                out.append(ids[arc])
+                at = int(came[arc])
+        return np.array(out[::-1], dtype=np.int32)
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids))[1:].decode()
 
 
-def _split(text: str) -> list[str]:
-    units = _UNITS.findall(" " + text)
-    if max(map(len, units)) * 4 <= UNIT_BYTES:
-        return units
-    return [u[i : i + UNIT_BYTES // 4] for u in units for i in range(0, len(u), UNIT_BYTES // 4)]
-
-
 def lattices(path: str, theta: float = THETA) -> Lattices:
     if (path, theta) not in _models:
         _models[path, theta] = Lattices(path, theta)

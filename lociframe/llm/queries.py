@@ -88,8 +88,9 @@ def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_packing")
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against a brute-force tokenization and the plan's invariants: SQL has no tokenizer."""
-    pieces = packing.tokenize_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
-    return packing.pack(pieces)
+    documents = table(spark, sf_dir, "documents")
+    pieces = packing.tokenize_pieces(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(pieces, partitions=packing.partitions_for(documents))
 
 
 @query("op5_sentencepiece")

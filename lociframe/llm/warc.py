@@ -18,6 +18,7 @@ other than page_id, url, html are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import struct
 from collections.abc import Iterator
 from urllib.parse import quote
@@ -29,9 +30,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lociframe.llm import shared
+
 FRAME_BYTES = 128 << 10
 BUNDLE_BYTES = 16 << 20
 MIN_REVISIT = 1000
+BUNDLES_A_TASK = 8
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # Fixed values of the public seekable format.
@@ -152,7 +156,9 @@ def dedup_plan(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     rows = pages.select("page_id", "url", payload.alias("payload")).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("length"), F.when(F.octet_length("payload") >= min_revisit, F.sha2("payload", 256)).alias("same"))
     repeated = rows.where(F.col("same").isNotNull()).groupBy("same").agg(F.max("page_id").alias("largest"), F.count("*").alias("n")).where("n > 1 and largest is not null").drop("n")
     # a merge join at every size: what repeats grows with the pages, so it is never broadcast
-    joined = rows.join(repeated.hint("merge"), "same", "left")
+    # pages too small to revisit get a key of their own, so they spread over all tasks; Spark splits the key of a hot payload
+    own = F.concat(F.lit("-"), F.xxhash64("page_id", "url").cast("string"))
+    joined = rows.withColumn("same", F.coalesce("same", own)).join(repeated.hint("merge"), "same", "left")
     revisit = F.coalesce(F.coalesce(F.col("page_id") < F.col("largest"), F.lit(True)) & F.col("largest").isNotNull(), F.lit(False))
     marked = joined.withColumn("revisit", revisit)
     return marked.select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "digest", "length", F.when(F.col("revisit"), F.col("largest")).alias("refers_to"), "revisit")
@@ -197,6 +203,11 @@ def _page(head: dict[str, str], block: bytes) -> tuple:
     return _page_id(head["WARC-Record-ID"]), int(head["X-Payload-Length"]) if revisit else len(block), digest, head["WARC-Type"], _page_id(head["WARC-Refers-To"]) if revisit else None
 
 
+def _dealt(rows: DataFrame, n_bundles: int) -> int:
+    """Tasks for that many bundles: BUNDLES_A_TASK each at most, and as many tasks as the session has partitions where there are bundles for them."""
+    return max(1, -(-n_bundles // BUNDLES_A_TASK), min(n_bundles, shared.partitions(rows.sparkSession)))
+
+
 def read(folder: str, index: DataFrame) -> DataFrame:
     """Every record of the bundles that the index names, parsed from the archives frame by frame; one frame is in memory at a time."""
 
@@ -213,26 +224,38 @@ def read(folder: str, index: DataFrame) -> DataFrame:
                             rows.append((*_page(head, block), name, k))
                         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=[c.split()[0] for c in PAGES.split(", ")])
 
-    return index.select("bundle").distinct().mapInArrow(run, PAGES)
+    names = index.select("bundle").distinct()
+    return names.repartition(_dealt(names, names.count())).mapInArrow(run, PAGES)
 
 
 def fetch(index: DataFrame, folder: str, record_ids: DataFrame) -> DataFrame:
     """Single records by identifier: only the seek table and the frames that are asked for are read. record_ids: (record_id)."""
-    wanted = index.join(record_ids.select("record_id").distinct(), "record_id").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    n_bundles = index.select("bundle").distinct().count()
+    wanted = index.join(record_ids.select("record_id").distinct(), "record_id").repartition(_dealt(index, n_bundles), "bundle").sortWithinPartitions("bundle", "frame", "offset")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pafs.FileSystem.from_uri(folder)
         have, frames, starts, data = None, [], [], b""
         for b in batches:
+            found: list[tuple[str, bytes]] = []
             for r in b.to_pylist():
-                if have is None or have[0] != r["bundle"]:
-                    with fs.open_input_file(f"{root}/{r['bundle']}") as f:
-                        frames = table_of(f)
-                    starts = [sum(x for x, _ in frames[:i]) for i in range(len(frames))]
                 if have != (r["bundle"], r["frame"]):
                     with fs.open_input_file(f"{root}/{r['bundle']}") as f:
+                        if have is None or have[0] != r["bundle"]:
+                            frames = table_of(f)
+                            starts = list(itertools.accumulate((x for x, _ in frames), initial=0))
                         data = frame_at(f, starts[r["frame"]], *frames[r["frame"]])
                     have = (r["bundle"], r["frame"])
-                yield pa.RecordBatch.from_pydict({"record_id": [r["record_id"]], "record": pa.array([data[r["offset"] : r["offset"] + r["length"]]], pa.binary())})
+                found.append((r["record_id"], data[r["offset"] : r["offset"] + r["length"]]))
+                if sum(len(x) for _, x in found[-64:]) > FRAME_BYTES * 8 or len(found) >= 1024:
+                    yield _found(found)
+                    found = []
+            if found:
+                yield _found(found)
 
     return wanted.select("record_id", "bundle", "frame", "offset", "length").mapInArrow(run, "record_id string, record binary")
+
+
+def _found(rows: list[tuple[str, bytes]]) -> pa.RecordBatch:
+    names, blocks = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(blocks, pa.binary())], names=["record_id", "record"])

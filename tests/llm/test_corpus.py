@@ -97,6 +97,8 @@ def test_packing(spark):
     for x in by.values():
         x.sort()
         assert all(a + n == b for (a, n), (b, _) in zip(x, x[1:], strict=False)) and x[0][0] == 0 and sum(x[-1]) <= 2048
+    wide = packing.pack(pieces_.withColumn("extra", F.lit("x")).withColumn("offset", F.lit(7)), partitions=3).collect()
+    assert len(wide) == len(plan) and set(wide[0].asDict()) == set(plan[0].asDict())
     whole = packing.sequences(pieces_, packing.pack(pieces_)).agg(F.sum(F.size("ids"))).first()[0]
     assert whole >= sum(map(len, want.values()))
     assert packing.pack(packing.tokenize_pieces(docs(spark, "a").limit(0), WORDS)).count() == 0
@@ -159,6 +161,21 @@ def test_pieces_are_lossless_and_follow_the_lattice(spark):
         assert abs(seen[p] / 8000 - x / sum(weight.values())) < 0.025
 
 
+def test_long_units_are_sampled_whole(monkeypatch):
+    lat = pieces.Lattices(PIECES, 1e-5)
+    assert not lat.whole
+    plain = lat.encode(["antidisestablishmentarianism"] * 3000, list(range(3000)))
+    monkeypatch.setattr(pieces, "UNIT_BYTES", 8)
+    for window in (3, 7, 1 << 16):
+        monkeypatch.setattr(pieces, "WALK_BYTES", window)
+        walked = pieces.Lattices(PIECES, 1e-5).encode(["antidisestablishmentarianism"] * 3000, list(range(3000)))
+        assert (walked[1] == plain[1]).mean() > 0.999 and len(walked[0]) - len(plain[0]) < 10  # the same draws, but for rounding
+    monkeypatch.setattr(pieces, "UNIT_BYTES", 4096)
+    text = "".join(random.Random(3).choice(["cat", "é", "😀", "\t", "xyz"]) for _ in range(6000))
+    ids, n = pieces.Lattices(PIECES, 1e-5).encode([f"a {text} b", "x"], [5, 6])
+    assert lat.decode(ids[: n[0]].tolist()) == f"a {text} b" and lat.decode(ids[n[0] :].tolist()) == "x"
+
+
 # near-duplicates
 
 
