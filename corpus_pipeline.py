@@ -40,7 +40,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: the pieces of training sequences."""
     ship(spark)
-    return packing.pack(packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json")))
+    return packing.pack(packing.tokenize_pieces(docs, public_tokenizers.path("word_bpe_49k.json")), partitions=packing.partitions_for(docs))
 
 
 STAGES = [("quality_rules", quality), ("line_dedup", lines), ("near_dedup", near), ("pii_surrogates", private), ("packing", pack)]
