@@ -5,13 +5,17 @@ Reads are rows of (qname, flag, contig, pos 0-based, mapq, cigar, seq, qual arra
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociframe.functions import cigar as C
+from lociframe.functions import likelihood as L
 from lociframe.functions import sequence as Q
+from lociframe.operators.overlap import overlap_join
 
 MIN_SCORED, MAX_SCORE, QC_PENALTY = 15, 16383, -16384
 
@@ -41,26 +45,40 @@ def without_skips(reads: DataFrame) -> DataFrame:
 # pileup
 
 
+def has_reference_base(cigar: Column) -> Column:
+    """The read consumes reference at all: with pileup_usable() the filter of calling."""
+    return C.has_op(C.ops(cigar), "MDN=X")
+
+
 def aligned(reads: DataFrame, *keep: str) -> DataFrame:
-    """One row per reference column that a read covers: keep columns, pos 1-based, qpos, base, qual, is_del, indel (+n, -n or 0).
+    """One row per reference column that a read covers: keep columns, pos 1-based, qpos, base, qual, is_del, indel (+n, -n or 0), inserted bases.
 
-    Skipped regions give no row; an indel hangs on the last aligned base before it.
+    Skipped regions give no row; an indel hangs on the last aligned base before it. The columns of a read are built in
+    one array, so only the kept columns are repeated for each base, not the sequence and qualities.
     """
-    seg = reads.select(*keep, "pos", "seq", "qual", F.explode(C.segments(C.ops(F.col("cigar")))).alias("s")).where(F.col("s.op").isin("M", "=", "X", "D"))
-    step = seg.select("*", F.explode(F.sequence(F.lit(0), F.col("s.len") - 1)).alias("i"))
-    is_del = F.col("s.op") == "D"
-    qpos = F.col("s.q0") + F.when(is_del, 0).otherwise(F.col("i"))
-    last = ~is_del & (F.col("i") == F.col("s.len") - 1)
-    indel = F.when(last & (F.col("s.next_op") == "I"), F.col("s.next_len")).when(last & (F.col("s.next_op") == "D"), -F.col("s.next_len")).otherwise(0)
-    return step.select(
-        *keep,
-        (F.col("pos") + F.col("s.r0") + F.col("i") + 1).alias("pos"),
-        qpos.alias("qpos"),
-        F.when(~is_del, F.upper(F.substring("seq", qpos + 1, F.lit(1)))).alias("base"),
-        F.when(~is_del, F.get("qual", qpos)).alias("qual"),
-        is_del.alias("is_del"),
-        indel.alias("indel"),
-    )
+    parts = F.filter(C.segments(C.ops(F.col("cigar"))), lambda s: s["op"].isin("M", "=", "X", "D"))
+    rows = reads.select(*keep, F.col("pos").alias("_pos"), F.col("qual").alias("_qual"), F.split(F.upper("seq"), "").alias("_letters"), parts.alias("_parts"))
+
+    def columns(s: Column) -> Column:
+        is_del = s["op"] == "D"
+
+        def cell(i: Column) -> Column:
+            qpos = s["q0"] + F.when(is_del, 0).otherwise(i)
+            last = ~is_del & (i == s["len"] - 1)
+            inserts = last & (s["next_op"] == "I")
+            return F.struct(
+                (F.col("_pos") + s["r0"] + i + 1).alias("pos"),
+                qpos.alias("qpos"),
+                F.when(~is_del, F.get("_letters", qpos)).alias("base"),
+                F.when(~is_del, F.get("_qual", qpos)).alias("qual"),
+                is_del.alias("is_del"),
+                F.when(inserts, s["next_len"]).when(last & (s["next_op"] == "D"), -s["next_len"]).otherwise(0).alias("indel"),
+                F.when(inserts, F.array_join(F.slice("_letters", qpos + 2, s["next_len"]), "")).alias("inserted"),
+            )
+
+        return F.transform(F.sequence(F.lit(0), s["len"] - 1), cell)
+
+    return rows.select(*keep, F.inline(F.flatten(F.transform("_parts", columns))))
 
 
 def evidence(bases: DataFrame, min_base_quality: int = 10) -> DataFrame:
@@ -88,6 +106,65 @@ def best_alternative(counts: dict[str, Column], ref: Column) -> Column:
     return F.array_max(F.array(*options))
 
 
+def indel_observations(bases: DataFrame, min_base_quality: int = 10, longest: int = 200, cap: int = 30) -> DataFrame:
+    """Aligned bases as observations of an indel or of none: kind (0 none, 1 insertion, 2 deletion), size, inserted, quality capped."""
+    kind = F.when(F.col("indel") == 0, 0).when(F.col("indel") > 0, 1).otherwise(2)
+    good = ~F.col("is_del") & (F.col("qual") >= min_base_quality) & (F.abs("indel") <= longest) & ((F.col("indel") <= 0) | (F.col("inserted") != ""))
+    return bases.where(good).withColumns({"kind": kind, "size": F.abs("indel"), "inserted": F.coalesce("inserted", F.lit("")), "quality": F.least("qual", F.lit(cap))})
+
+
+def indel_evidence(observations: DataFrame) -> DataFrame:
+    """Per (contig, pos): depth, ref_count and the best indel: most reads, ties to deletions, then to the longer, then to the greater bases."""
+    by_allele = observations.groupBy("contig", "pos", "kind", "size", "inserted").agg(F.count("*").alias("n"))
+    best = F.max(F.when(F.col("kind") > 0, F.struct("n", "kind", "size", "inserted")))
+    out = by_allele.groupBy("contig", "pos").agg(F.sum("n").alias("depth"), F.coalesce(F.sum(F.when(F.col("kind") == 0, F.col("n"))), F.lit(0)).alias("ref_count"), best.alias("best"))
+    label = F.when(F.col("best.kind") == 1, F.concat(F.lit("INS:"), "best.inserted")).when(F.col("best.kind") == 2, F.concat(F.lit("DEL:"), F.col("best.size").cast("string")))
+    return out.select("contig", "pos", "depth", "ref_count", label.alias("best_indel"), F.coalesce("best.n", F.lit(0)).alias("alt_count"))
+
+
+def activity(observations: DataFrame, is_ref: Column, quality: Column) -> DataFrame:
+    """Per (contig, pos): n observations and qual, the phred posterior of no variation under a flat prior; under 2 observations qual is 0."""
+    err = L.error(quality)
+    ref, alt = L.observation(is_ref, err), L.observation(~is_ref, err)
+    sums = [F.sum(F.log10(x)).alias(f"_x{i}") for i, x in enumerate((ref, 0.5 * ref + 0.5 * alt, alt))]
+    out = observations.groupBy("contig", "pos").agg(F.count("*").alias("n"), *sums)
+    post = F.col("_x0") - L.log10_sum_exp(F.array("_x0", "_x1", "_x2"))
+    return out.select("contig", "pos", "n", F.when(F.col("n") >= 2, L.quality_of(post)).otherwise(0).alias("qual"))
+
+
+def active_loci(snp: DataFrame, indel: DataFrame, least: int = 4) -> DataFrame:
+    """Positions that either activity() table calls active: contig, pos, qual."""
+    both = snp.select("contig", "pos", "qual").unionByName(indel.select("contig", "pos", "qual"))
+    return both.groupBy("contig", "pos").agg(F.max("qual").alias("qual")).where(F.col("qual") >= least)
+
+
+def split_regions(regions: DataFrame, loci: DataFrame, longest: int = 300, margin: int = 50) -> DataFrame:
+    """Regions (contig, start, end) cut while longer than `longest`, at the least active place between start + margin and start + longest or end - margin.
+
+    Of places as active the nearest to the middle is cut at, the first on ties; regions up to `longest` stay in the JVM, of longer ones each is a group.
+    """
+    length = F.col("end") - F.col("start") + 1
+    long = regions.where(length > longest).select("contig", "start", "end")
+    scored = overlap_join(loci.select("contig", F.col("pos").alias("start"), F.col("pos").alias("end"), "qual"), long).select("contig", F.col("r_start").alias("start"), F.col("r_end").alias("end"), F.col("start").alias("pos"), "qual")
+
+    def cut(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        contig, start, end = key
+        score = np.zeros(end - start + 1, dtype=np.int64)
+        np.maximum.at(score, rows["pos"].to_numpy() - start, rows["qual"].to_numpy())
+        at, out = start, []
+        while end - at + 1 > longest:
+            lo, hi = at + margin, min(at + longest, end - margin)
+            part = score[lo - start : hi - start + 1]
+            best = np.flatnonzero(part == part.min()) + lo
+            place = int(best[np.argmin(np.abs(best - (lo + hi) // 2))])
+            out.append((contig, at, place - 1))
+            at = place
+        return pd.DataFrame([*out, (contig, at, end)], columns=["contig", "start", "end"])
+
+    kinds = ", ".join(f"{c} {t}" for c, t in regions.select("contig", "start", "end").dtypes)
+    return regions.where(length <= longest).select("contig", "start", "end").unionByName(scored.groupBy("contig", "start", "end").applyInPandas(cut, kinds))
+
+
 # duplicates
 
 
@@ -107,7 +184,8 @@ def templates(reads: DataFrame) -> DataFrame:
         read_score(F.col("qual"), F.col("flag")).alias("score"),
         (Q.flag_set(F.col("flag"), Q.PAIRED) & Q.flag_clear(F.col("flag"), 0x8)).alias("paired"),
     )
-    t = ends.groupBy("qname").agg(F.array_sort(F.collect_list("end")).alias("ends"), F.min("library").alias("library"), F.sum("score").alias("score"), F.max("paired").alias("paired"), F.count("*").alias("n"))
+    # an order of two ends, without lists that a hot name could fill
+    t = ends.groupBy("qname").agg(F.array(F.min("end"), F.max("end")).alias("ends"), F.min("library").alias("library"), F.sum("score").alias("score"), F.max("paired").alias("paired"), F.count("*").alias("n"))
     t = t.withColumn("n", F.when(F.col("n") > 2, F.raise_error(F.concat(F.lit("more than two primary records: "), F.col("qname")))).otherwise(F.col("n")))
     kind = F.when((F.col("n") == 2) & F.col("paired"), "pair").when(~F.col("paired"), "fragment")
     return t.select("qname", "library", "score", kind.alias("kind"), F.col("ends")[0].alias("end1"), F.when(kind == "pair", F.get("ends", F.lit(1))).alias("end2"))

@@ -103,16 +103,38 @@ def annotate_known(calls: DataFrame, known: DataFrame) -> DataFrame:
     return out.withColumns({"id": F.when(F.col("known_id") != ".", F.col("known_id")), "db": F.col("known_id").isNotNull()}).drop("known_id")
 
 
-def hard_filter(calls: DataFrame, window: int = 35, cluster: int = 3, max_fs: float = 30.0, min_qd: float = 2.0) -> DataFrame:
-    """Sets filter: FS, QD and SnpCluster (at least `cluster` variants within `window` bases), or PASS."""
-    by = W.partitionBy("chrom").orderBy("pos", "ref", "alt")
+def hard_filter(calls: DataFrame, window: int = 35, cluster: int = 3, max_fs: float = 30.0, min_qd: float = 2.0, size: int = 1 << 16) -> DataFrame:
+    """Sets filter: FS, QD and SnpCluster (at least `cluster` variants within `window` bases), or PASS.
+
+    Windows run inside bins of `size` bases; calls less than `window` from a bin's edge are seen by the bin beyond it too.
+    """
+    at = F.floor(F.col("pos") / size)
+    seen = F.array_distinct(F.array(at, F.floor((F.col("pos") - window) / size), F.floor((F.col("pos") + window) / size)))
+    by = W.partitionBy("chrom", "_bin").orderBy("pos", "ref", "alt")
+    rows = calls.withColumn("_own", at).withColumn("_bin", F.explode(seen))
     near = [F.lead("pos", cluster - 1 - k).over(by) - F.lag("pos", k).over(by) if k else F.lead("pos", cluster - 1).over(by) - F.col("pos") for k in range(cluster - 1)]
     near.append(F.col("pos") - F.lag("pos", cluster - 1).over(by))
     clustered = F.lit(False)
     for d in near:
         clustered = clustered | F.coalesce(d < window, F.lit(False))
-    labels = F.array_compact(F.array(F.when(F.col("fs") > max_fs, "FS"), F.when(F.col("qd") < min_qd, "QD"), F.when(clustered, "SnpCluster")))
-    return calls.withColumn("filter", F.when(F.size(labels) == 0, "PASS").otherwise(F.array_join(labels, ";")))
+    rows = rows.withColumn("_clustered", clustered).where("_own = _bin")
+    labels = F.array_compact(F.array(F.when(F.col("fs") > max_fs, "FS"), F.when(F.col("qd") < min_qd, "QD"), F.when(F.col("_clustered"), "SnpCluster")))
+    return rows.withColumn("filter", F.when(F.size(labels) == 0, "PASS").otherwise(F.array_join(labels, ";"))).drop("_own", "_bin", "_clustered")
+
+
+def good_set(genotypes: DataFrame, min_depth: int = 10, min_alt: int = 3) -> DataFrame:
+    """Rows (filter, dp, ad_alt) that pass with enough reads in all and for the alternative."""
+    return genotypes.where((F.col("filter") == "PASS") & (F.col("dp").cast("int") >= min_depth) & (F.col("ad_alt").cast("int") >= min_alt))
+
+
+def stage_summary(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 0.0) -> DataFrame:
+    """One row over stage_diff(): rows of either side, shared keys, keys of one side, shared keys that differ, fields that differ."""
+    diff = stage_diff(a, b, keys, tolerance)
+    n = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0))
+    by_key = diff.groupBy(*keys).agg(F.min("status").alias("status"), F.sum((F.col("status") == "diff").cast("long")).alias("fields"))
+    out = by_key.agg(n(F.col("status") == "a_only").alias("a_private"), n(F.col("status") == "b_only").alias("b_private"), n(F.col("status") == "diff").alias("shared_with_diffs"), F.coalesce(F.sum("fields"), F.lit(0)).alias("field_diffs"))
+    counts = a.agg(F.count("*").alias("a_rows")).join(b.agg(F.count("*").alias("b_rows")), how="full_outer")  # one row each
+    return out.join(counts, how="full_outer").select("a_rows", "b_rows", (F.col("a_rows") - F.col("a_private")).alias("shared"), "a_private", "b_private", "shared_with_diffs", "field_diffs")
 
 
 def sort_dedup(calls: DataFrame, order: str) -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import cigar as C
 from lociframe.functions import sequence as Q
-from lociframe.operators import bqsr, pair_hmm, reads
+from lociframe.operators import bqsr, intervals, pair_hmm, reads
+from lociframe.plans.interval_queries import merge_sql
 from lociframe.plans.registry import query
 from lociframe.session import read_table
 
@@ -87,6 +88,73 @@ def pileup_prefilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_evidence(spark, sf_dir).where(reads.is_candidate(F.col("depth"), F.col("alt_count"), F.col("indel_count"), 2, 40, 0.8))
 
 
+REQUESTED_SQL = "SELECT CAST(o_custkey % 3 AS BIGINT) AS contig, 1 + (o_orderkey * 37) % 1900 AS start, 1 + (o_orderkey * 37) % 1900 + o_custkey % 60 AS \"end\" FROM orders WHERE o_orderkey % 5 = 0"
+
+
+@query("candidate_intervals", f"""
+WITH c AS (SELECT contig, greatest(1, pos - 3) AS start, least(2100, pos + 3) AS "end" FROM ({EVIDENCE_SQL}) WHERE depth > 0 AND alt_count >= 2 AND alt_count >= depth * 0.78),
+l AS ({merge_sql(1, "SELECT * FROM c")}), r AS ({merge_sql(1, REQUESTED_SQL)}),
+x AS (SELECT l.contig, greatest(l.start, r.start) AS start, least(l."end", r."end") AS "end" FROM l JOIN r ON l.contig = r.contig AND l.start <= r."end" AND r.start <= l."end")
+SELECT * FROM ({merge_sql(1, "SELECT * FROM x")})""")
+def candidate_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate sites of all lines, padded, merged, and cut to requested intervals."""
+    e = line_evidence(spark, sf_dir)
+    sites = e.where(reads.is_candidate(F.col("depth"), F.col("alt_count"), F.lit(0), 2, 1, 0.78))
+    o = read_table(spark, sf_dir, "orders").where("o_orderkey % 5 = 0")
+    start = 1 + (F.col("o_orderkey") * 37) % 1900
+    requested = o.select((F.col("o_custkey") % 3).alias("contig"), start.alias("start"), (start + F.col("o_custkey") % 60).alias("end"))
+    contigs = read_table(spark, sf_dir, "region").where("r_regionkey < 3").select(F.col("r_regionkey").cast("long").alias("contig"), F.lit(2100).cast("long").alias("length"))
+    return intervals.candidate_intervals(sites, requested, contigs, pad=3)
+
+
+ACTIVITY_SQL = """
+SELECT contig, rpos AS pos, count(*) AS n, sum(log10({ref})) AS x0, sum(log10(0.5 * {ref} + 0.5 * {alt})) AS x1, sum(log10({alt})) AS x2 FROM b GROUP BY contig, rpos"""
+_E = "pow(10.0, -q / 10.0)"
+ACTIVITY_SQL = ACTIVITY_SQL.replace("{ref}", f"CASE WHEN is_ref THEN 1 - {_E} ELSE {_E} / 3 END").replace("{alt}", f"CASE WHEN is_ref THEN {_E} / 3 ELSE 1 - {_E} END")
+
+
+def _active_sql(source: str) -> str:
+    return f"""
+WITH b AS ({source}), s AS ({ACTIVITY_SQL}), m AS (SELECT *, greatest(x0, x1, x2) AS top FROM s),
+p AS (SELECT *, x0 - (top + log10(pow(10, x0 - top) + pow(10, x1 - top) + pow(10, x2 - top))) AS post FROM m)
+SELECT contig, pos, n, CAST(CASE WHEN n < 2 THEN 0 WHEN post <= -999.9 THEN 9999 ELSE greatest(0, least(9999, round(-10 * post))) END AS INTEGER) AS qual FROM p"""
+
+
+def line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_reads(spark, sf_dir).where(reads.pileup_usable(F.col("flag"), F.col("mapq")) & reads.has_reference_base(F.col("cigar")))
+    return line_bases(rows, "contig").where(~F.col("is_del") & (F.col("qual") >= 10))
+
+
+@query("active_snp_loci", _active_sql(f"SELECT contig, rpos, base = ref_base AS is_ref, q FROM ({BASES_SQL}) WHERE NOT is_del AND q >= 10 AND flag & 1796 = 0 AND mapq >= 20"))
+def active_snp_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads.activity(line_observations(spark, sf_dir), F.col("base") == F.col("ref_base"), F.col("qual"))
+
+
+@query("active_indel_loci", _active_sql(f"SELECT contig, rpos, indel = 0 AS is_ref, least(q, 30) AS q FROM ({BASES_SQL}) WHERE NOT is_del AND q >= 10 AND flag & 1796 = 0 AND mapq >= 20"))
+def active_indel_loci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seen = reads.indel_observations(line_observations(spark, sf_dir))
+    return reads.activity(seen, F.col("kind") == 0, F.col("quality"))
+
+
+@query("indel_evidence", f"""
+WITH o AS (SELECT contig, rpos AS pos, -indel AS size, count(*) AS n FROM ({BASES_SQL}) WHERE NOT is_del AND q >= 10 AND flag & 1796 = 0 AND mapq >= 20 GROUP BY contig, rpos, indel),
+g AS (SELECT contig, pos, CAST(sum(n) AS BIGINT) AS depth, CAST(coalesce(sum(n) FILTER (size = 0), 0) AS BIGINT) AS ref_count, max(n * 1000 + size) FILTER (size > 0) AS best FROM o GROUP BY contig, pos)
+SELECT contig, pos, depth, ref_count, 'DEL:' || CAST(best % 1000 AS VARCHAR) AS best_indel, CAST(coalesce(best // 1000, 0) AS BIGINT) AS alt_count FROM g""")
+def indel_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads.indel_evidence(reads.indel_observations(line_observations(spark, sf_dir)))
+
+
+@query("active_regions")
+def active_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Active loci chained, split and padded; splitting is tested against a plain loop."""
+    bases = line_observations(spark, sf_dir)
+    snp = reads.activity(bases, F.col("base") == F.col("ref_base"), F.col("qual"))
+    indel = reads.activity(reads.indel_observations(bases), F.col("kind") == 0, F.col("quality"))
+    loci = reads.active_loci(snp, indel)
+    split = reads.split_regions(intervals.chain(loci, 50), loci)
+    return split.select("contig", "start", "end", F.greatest(F.lit(1), F.col("start") - 100).alias("padded_start"), F.least(F.lit(2100), F.col("end") + 100).alias("padded_end"))
+
+
 @query("pileup_summary", f"""
 SELECT count(*) AS sites, CAST(sum(CASE WHEN depth > 0 THEN 1 ELSE 0 END) AS BIGINT) AS covered, CAST(sum(depth) AS BIGINT) AS total_depth, max(depth) AS max_depth,
   CAST(sum(CASE WHEN indel_count >= 40 OR alt_count >= depth * 0.8 THEN 1 ELSE 0 END) AS BIGINT) AS candidates FROM ({EVIDENCE_SQL})""")
@@ -155,25 +223,11 @@ def bqsr_empirical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("bqsr_apply")
 def bqsr_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recalibrated qualities of all reads, as a histogram; tested on golden values."""
-    tables = covariates(spark, sf_dir).persist()  # small, and read by four joins
-    out = bqsr.recalibrate(bqsr.reportable(line_reads(spark, sf_dir)), tables)
+    out = bqsr.recalibrate(bqsr.reportable(line_reads(spark, sf_dir)), covariates(spark, sf_dir))
     return out.select("rg", F.explode("qual").alias("quality")).groupBy("rg", "quality").agg(F.count("*").alias("bases"))
 
 
-@query("mark_duplicates", f"""
-WITH r AS (SELECT *, row_number() OVER () AS k FROM ({READS_SQL})),
-t AS (SELECT qname, min(library) AS library, count(*) AS n, min(contig) AS contig, min(CASE WHEN flag & 16 <> 0 THEN pos + a + d + c ELSE pos + 1 END) AS five, bool_or(flag & 16 <> 0) AS rev,
-  sum(least(CASE WHEN q >= 15 THEN q * (a + c) ELSE 0 END, 16383)) AS score FROM r GROUP BY qname),
-d AS (SELECT qname, row_number() OVER (PARTITION BY library, contig, five, rev ORDER BY score DESC, qname) > 1 AS dup FROM t WHERE n = 1)
-SELECT library, count(*) AS templates, CAST(sum(dup::INT) AS BIGINT) AS duplicates FROM d JOIN t USING (qname) GROUP BY library""")
-def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = line_reads(spark, sf_dir)
-    alone = rows.groupBy("qname").agg(F.count("*").alias("k")).where("k = 1").select("qname")
-    marked = reads.mark_duplicates(rows.join(alone, "qname", "left_semi"))
-    return marked.groupBy("library").agg(F.count("*").alias("templates"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
-
-
-@query("mark_duplicates_pairs", """
+PAIRS_SQL = """
 WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_linestatus, l_returnflag) - 1 AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
 m AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '/' || CAST(k // 2 AS VARCHAR) AS qname, k // 2 * 2 + 1 < n AS paired, min(CASE WHEN k % 2 = 0 THEN l_suppkey % 3 END) OVER t AS contig, min(CASE WHEN k % 2 = 0 THEN (l_partkey * 13) % 2000 END) OVER t AS p,
   min(l_returnflag) OVER t AS library FROM l WINDOW t AS (PARTITION BY l_orderkey, k // 2)),
@@ -181,8 +235,11 @@ r AS (SELECT qname, paired, library, contig, l_linestatus = 'O' AS rev, CASE WHE
 e AS (SELECT qname, paired, library, {'contig': contig, 'five': CASE WHEN rev THEN pos + bases + d ELSE pos + 1 END, 'rev': rev} AS e, least(CASE WHEN q >= 15 THEN q * bases ELSE 0 END, 16383) AS score FROM r),
 t AS (SELECT qname, paired, library, list_sort(list(e)) AS ends, sum(score) AS score, count(*) AS n FROM e GROUP BY qname, paired, library),
 d AS (SELECT *, row_number() OVER (PARTITION BY paired, library, ends ORDER BY score DESC, qname) > 1 AS dup FROM t)
-SELECT library, paired, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(CASE WHEN dup THEN n ELSE 0 END) AS BIGINT) AS duplicates FROM d GROUP BY library, paired""")
-def mark_duplicates_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+SELECT library, paired, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(CASE WHEN dup THEN n ELSE 0 END) AS BIGINT) AS duplicates FROM d GROUP BY library, paired"""
+
+
+@query("mark_duplicates", PAIRS_SQL)
+def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of lineitem takes part: each two consecutive rows of an order are a pair, the second read near the first; an odd last row is a fragment."""
     order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_linestatus", "l_returnflag")
     marked = reads.mark_duplicates(paired_reads(line_reads(spark, sf_dir, k=F.row_number().over(order) - 1, n=F.count("*").over(W.partitionBy("l_orderkey")), step=F.col("l_suppkey") % 4)))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import likelihood as L
 from lociframe.functions import vcf as V
-from lociframe.operators import variants
+from lociframe.operators import kmers, variants
 from lociframe.plans.registry import query
 from lociframe.session import read_table
 
@@ -154,9 +154,21 @@ def allele_log10_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "embeddings").select("vec_id", "label", F.round(F.array_max(v), 6).alias("best"), F.round(L.log10_sum_exp(v), 6).alias("total"))
 
 
-@query("fisher_strand")
+FISHER_SQL = """
+WITH t AS (SELECT l_partkey, CAST(sum(CASE WHEN l_linestatus = 'F' AND l_linenumber % 2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS rf, CAST(sum(CASE WHEN l_linestatus = 'F' AND l_linenumber % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS rr,
+  CAST(sum(CASE WHEN l_linestatus = 'O' AND l_linenumber % 2 = 1 THEN 1 ELSE 0 END) AS BIGINT) AS af, CAST(sum(CASE WHEN l_linestatus = 'O' AND l_linenumber % 2 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS ar FROM lineitem GROUP BY l_partkey),
+f AS (SELECT *, rf + rr + af + ar AS total FROM t),
+s AS (SELECT l_partkey, rf, rr, af, ar, CASE WHEN total > 400 THEN round(rf * 200.0 / total) ELSE rf END AS a, CASE WHEN total > 400 THEN round(rr * 200.0 / total) ELSE rr END AS b, CASE WHEN total > 400 THEN round(af * 200.0 / total) ELSE af END AS c, CASE WHEN total > 400 THEN round(ar * 200.0 / total) ELSE ar END AS d FROM f),
+x AS (SELECT *, unnest(range(CAST(greatest(0, a - d) AS BIGINT), CAST(least(a + b, a + c) AS BIGINT) + 1)) AS k, a + b + c + d AS n FROM s),
+p AS (SELECT *, lgamma(a + b + 1) + lgamma(c + d + 1) + lgamma(a + c + 1) + lgamma(b + d + 1) - lgamma(n + 1) AS fixed FROM x),
+h AS (SELECT *, fixed - lgamma(k + 1) - lgamma(a + b - k + 1) - lgamma(a + c - k + 1) - lgamma(d - a + k + 1) AS logp, fixed - lgamma(a + 1) - lgamma(b + 1) - lgamma(c + 1) - lgamma(d + 1) AS seen FROM p),
+v AS (SELECT l_partkey, any_value(rf) AS rf, any_value(rr) AS rr, any_value(af) AS af, any_value(ar) AS ar, least(1.0, sum(CASE WHEN logp <= seen + 1e-9 THEN exp(logp) ELSE 0 END)) AS p, any_value(a + b = 0 OR c + d = 0 OR a + c = 0 OR b + d = 0) AS flat FROM h GROUP BY l_partkey)
+SELECT l_partkey, rf, rr, af, ar, round(abs(-10 * log10(CASE WHEN flat THEN 1.0 ELSE greatest(p, 1e-320) END)), 4) AS fs FROM v"""
+
+
+@query("fisher_strand", FISHER_SQL)
 def fisher_strand(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strand tables of each part; tested on golden values."""
+    """Strand tables of each part."""
     n = lambda s, r: F.sum(((F.col("l_linestatus") == s) & ((F.col("l_linenumber") % 2 == 0) == F.lit(r))).cast("int"))
     t = read_table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(n("F", False).alias("rf"), n("F", True).alias("rr"), n("O", False).alias("af"), n("O", True).alias("ar"))
     return t.withColumn("fs", F.round(L.fisher_strand(F.col("rf"), F.col("rr"), F.col("af"), F.col("ar")), 4))
@@ -169,6 +181,4 @@ SELECT src, dst, count(*) AS multiplicity FROM k GROUP BY src, dst HAVING count(
 def kmer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.regexp_replace(F.translate(F.upper("text"), "EIOU", "ACGT"), "[^ACGT]", "")
     rows = read_table(spark, sf_dir, "documents").select(seq.alias("seq")).where(F.length("seq") >= 11)
-    at = rows.select("seq", F.explode(F.sequence(F.lit(1), F.length("seq") - 10)).alias("i"))
-    pairs = at.select(F.substr("seq", F.col("i"), F.lit(10)).alias("src"), F.substr("seq", F.col("i") + 1, F.lit(10)).alias("dst"))
-    return pairs.groupBy("src", "dst").agg(F.count("*").alias("multiplicity")).where("multiplicity >= 2")
+    return kmers.edges(rows, 10).where("multiplicity >= 2")

@@ -96,5 +96,8 @@ def test_apply_qualities(spark):
     assert got[2] == 5 and got[0] == got[1] and got[0] in (34, 35)
 
 
-def test_windows():
-    assert intervals.coalesce_windows([(1, 10), (500, 600), (5000, 5100)]) == [(1, 600), (5000, 5100)]
+def test_windows(spark):
+    df = spark.createDataFrame([(1, 1, 10), (1, 500, 600), (1, 5000, 5100), (2, 1, 40), (2, 50, 90), (2, 95, 130), (2, 131, 140)], "contig long, start long, end long")
+    windows = lambda *x: sorted(map(tuple, intervals.coalesce_windows(df, *x).collect()))
+    assert windows() == [(1, 1, 600), (1, 5000, 5100), (2, 1, 140)]
+    assert windows(1000, 100)[-2:] == [(2, 1, 90), (2, 95, 140)] and windows(1000, 101)[1:3] == [(1, 500, 600), (1, 5000, 5100)]

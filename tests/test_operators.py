@@ -66,10 +66,10 @@ def test_duplicates(spark):
 def test_duplicates_of_all_lines(spark):
     duckdb = pytest.importorskip("duckdb")
     sf = "/root/testdata/sf0.01"
-    got = {(r["library"], r["paired"]): (r["reads"], r["duplicates"]) for r in entry.queries()["mark_duplicates_pairs"](spark, sf).collect()}
+    got = {(r["library"], r["paired"]): (r["reads"], r["duplicates"]) for r in entry.queries()["mark_duplicates"](spark, sf).collect()}
     con = duckdb.connect()
     con.sql(f"CREATE VIEW lineitem AS SELECT * FROM '{sf}/lineitem.parquet'")
-    assert got == {(x[0], x[1]): (x[2], x[3]) for x in con.sql(entry.oracle_sql()["mark_duplicates_pairs"]).fetchall()}
+    assert got == {(x[0], x[1]): (x[2], x[3]) for x in con.sql(entry.oracle_sql()["mark_duplicates"]).fetchall()}
     assert sum(n for n, _ in got.values()) == spark.read.parquet(f"{sf}/lineitem.parquet").count()
     assert all(0 < sum(d for (_, p), (_, d) in got.items() if p == paired) for paired in (True, False))
 
@@ -115,3 +115,62 @@ def test_stage_diff_and_known_sites(spark):
     known = lambda alt: spark.createDataFrame([("1", 5, "rs1", "A", alt, 0)], "chrom string, pos long, id string, ref string, alt string, ordinal long")
     assert variants.annotate_known(calls, known("C,ATG")).first()["id"] == "rs1"
     assert variants.annotate_known(calls, known("C,G")).first()["db"] is False
+
+
+def test_split_regions_against_a_loop(spark):
+    import random
+
+    rng = random.Random(2)
+    loci = {p: rng.randint(4, 9) for p in rng.sample(range(1, 4000), 900)}
+    spans = [(1, 1, 4000), (1, 5000, 5100), (1, 6000, 6400)]
+    want = []
+    for c, start, end in spans:
+        while end - start + 1 > 300:
+            places = range(start + 50, min(start + 300, end - 50) + 1)
+            middle = (places[0] + places[-1]) // 2
+            cut = min(places, key=lambda p: (loci.get(p, 0), abs(p - middle)))
+            want.append((c, start, cut - 1))
+            start = cut
+        want.append((c, start, end))
+    table = spark.createDataFrame([(1, p, q) for p, q in loci.items()] + [(1, 6000, 5), (1, 6399, 5)], "contig long, pos long, qual int")
+    assert rows(reads.split_regions(spark.createDataFrame(spans, IV), table), "contig", "start", "end") == sorted(want)
+
+
+def test_running_windows_over_bins(spark, monkeypatch):
+    import random
+
+    monkeypatch.setattr(intervals, "BIN", 16)
+    rng = random.Random(1)
+    iv = [(rng.randint(1, 2), s, s + rng.randint(0, 40)) for s in (rng.randint(1, 900) for _ in range(120))]
+    want = []
+    for c, s, e in sorted(iv):
+        if want and want[-1][0] == c and s <= want[-1][2] + 1:
+            want[-1] = (c, want[-1][1], max(e, want[-1][2]))
+        else:
+            want.append((c, s, e))
+    assert rows(intervals.merge(spark.createDataFrame(iv, IV), 1), "contig", "start", "end") == want
+    regions = []
+    for c, p in sorted({(c, s) for c, s, _ in iv}):
+        if regions and regions[-1][0] == c and p <= regions[-1][2] + 10:
+            regions[-1] = (c, regions[-1][1], p, regions[-1][3] + 1)
+        else:
+            regions.append((c, p, p, 1))
+    points = spark.createDataFrame([(c, s) for c, s, _ in iv], "contig long, pos long")
+    assert rows(intervals.chain(points, 10), "contig", "start", "end", "n_loci") == regions
+
+
+def test_indels_of_all_operations(spark):
+    df = spark.createDataFrame([("1", 9, "2H1S3M2I2M4N3M1D2M1S", "TACGGGTTAAACCG", [30] * 14)], "contig string, pos long, cigar string, seq string, qual array<int>")
+    bases = reads.aligned(df, "contig")
+    assert rows(bases.where("not is_del"), "pos", "qpos", "base", "indel") == [(10, 1, "A", 0), (11, 2, "C", 0), (12, 3, "G", 2), (13, 6, "T", 0), (14, 7, "T", 0), (19, 8, "A", 0), (20, 9, "A", 0), (21, 10, "A", -1), (23, 11, "C", 0), (24, 12, "C", 0)]
+    found = reads.indel_evidence(reads.indel_observations(bases)).where("alt_count > 0")
+    assert rows(found, "pos", "best_indel", "alt_count") == [(12, "INS:GG", 1), (21, "DEL:1", 1)]
+
+
+def test_candidate_intervals_when_empty(spark):
+    wanted, contigs = spark.createDataFrame([(1, 5, 30)], IV), spark.createDataFrame([(1, 100)], "contig long, length long")
+    sites = spark.createDataFrame([(1, 8), (1, 60)], "contig long, pos long")
+    assert rows(intervals.candidate_intervals(sites, wanted, contigs, 4), "contig", "start", "end") == [(1, 5, 12)]
+    assert rows(intervals.candidate_intervals(sites.limit(0), wanted, contigs, 4, "input"), "contig", "start", "end") == [(1, 5, 30)]
+    with pytest.raises(Exception, match="no candidate interval"):
+        intervals.candidate_intervals(sites.where("pos = 60"), wanted, contigs, 4).collect()
