@@ -135,8 +135,8 @@ def candidate_intervals(sites: DataFrame, requested: DataFrame, contigs: DataFra
     found = merge(intersect(merge(pad_clamp(points, contigs, pad)), wanted))
     if when_empty not in ("input", "error"):
         raise ValueError("when_empty: input or error")
+    none = found.agg(F.count("*").alias("_n")).where("_n = 0").drop("_n")
     if when_empty == "input":
-        none = found.agg(F.count("*").alias("_n")).where("_n = 0").drop("_n")
         return found.unionByName(wanted.join(none, how="left_semi"))
-    checked = found.agg(F.count("*").alias("_n")).where(F.when(F.col("_n") > 0, True).otherwise(F.raise_error(F.lit("no candidate interval is left")).cast("boolean"))).select(F.lit(1).alias("_ok"))
-    return found.withColumn("_ok", F.lit(1)).join(F.broadcast(checked), "_ok").drop("_ok")
+    kinds = dict(found.dtypes)
+    return found.unionByName(none.select(*[F.raise_error(F.lit("no candidate interval is left")).cast(kinds[c]).alias(c) for c in found.columns]))
