@@ -47,7 +47,7 @@ HOT_LINES = 32
 DEPTH = 3
 #: So many ids of lines at most go to all tasks to fetch their texts; beyond that the texts are joined by merging.
 SENT_IDS = 1_000_000
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 1 << 20
 
 _PRIME = 0x9E3779B97F4A7C15
 _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

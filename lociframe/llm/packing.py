@@ -31,9 +31,9 @@ from lociframe.llm import shared
 WINDOW = 2048
 END_ID = 1
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
-KEPT_WORDS = 1_200_000
+KEPT_WORDS = 900_000
 LONGEST_KEPT = 64
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 DOCS_A_TASK, PACKED_AT_ONCE = 500_000, 500_000
 
 _encoders: dict[str, Encoder] = {}

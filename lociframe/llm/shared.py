@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
 import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,11 +79,16 @@ def components(links: DataFrame) -> DataFrame:
 
 
 _tables: dict[str, Callable[[], None]] = {}
+#: glibc's call that returns free memory; other C libraries have none.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
 def claim(owner: str, clear: Callable[[], None] | None = None) -> None:
-    """Called in a worker when an operator's task starts: tables that other operators keep between tasks are cleared."""
+    """Called in a worker when an operator's task starts: tables that other operators keep between tasks are cleared, and free memory goes back to the system."""
     for name in [n for n in _tables if n != owner]:
         _tables.pop(name)()
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
     if clear is not None:
         _tables[owner] = clear

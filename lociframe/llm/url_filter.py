@@ -6,7 +6,7 @@ probes only the rules filed under its own tokens, and a rule holds if the url ha
 Rules written by hand (host and path prefix, longest wins) stand above the mined ones.
 
 Defined cases: a null url, or one without `://`, has empty host and path and no tokens, so no mined rule
-fits it; equal urls get equal verdicts and keep their rows; labels without a row among the urls are ignored, null
+fits it; labels go by doc_id = page_id; equal urls get equal verdicts and keep their rows; labels without a row among the urls are ignored, null
 labels count as good; with no labelled url at all nothing is mined and every url is allowed; other columns pass unread.
 """
 
@@ -55,13 +55,16 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.5) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.5, min_rows: int = 5) -> DataFrame:
     """(items array, blocked boolean) -> rules (antecedent array, index_token, confidence, support), minimal ones only.
 
+    A combination counts from min_rows rows on, however few rows there are, so a single long url does not bring all subsets of its tokens.
+
     A rule is dropped if a rule on a subset of its tokens is there already: whatever it fits, the shorter one fits.
     """
     items = F.when(F.col("blocked"), F.array_append("items", BLOCK_ITEM)).otherwise(F.col("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
+    support = min(1.0, max(min_support, min_rows / max(1, labelled.count())))
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
     rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK_ITEM))).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
     shorter = rules.select(F.col("antecedent").alias("less"), F.explode("antecedent").alias("t"))
     longer = rules.select("antecedent", F.explode("antecedent").alias("t"))

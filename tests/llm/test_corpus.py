@@ -73,6 +73,8 @@ def test_url_rules_and_mining(spark):
     assert got[9001]["verdict"] == "allow" and got[9003]["rule"] == "www.example.com/en/" and got[9004]["verdict"] == "block" and got[9005]["rule"] == "net/es/"
     assert {r["verdict"] for r in url_filter.judge(pages, labels.limit(0), rules=()).collect()} == {"allow"}
     assert url_filter.judge(pages.limit(0), labels).count() == 0
+    long = spark.createDataFrame([(1, "http://a.b.c/?" + "&".join(f"n{i}=1" for i in range(60))), (2, "http://x.y/")], "page_id long, url string")
+    assert url_filter.judge(long, spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")).count() == 2
 
 
 # packing
