@@ -81,6 +81,51 @@ def text(cigar_ops: Column) -> Column:
     return F.array_join(F.transform(cigar_ops, lambda x: F.concat(x["len"].cast("string"), x["op"])), "")
 
 
+def clipped_left(cigar_ops: Column, bases: Column) -> Column:
+    """struct(ops, moved): the first `bases` read bases as a soft clip, behind hard clips; moved is how far the position goes right.
+
+    Deletions and skips inside or right behind the clip go.
+    """
+    kind = "array<struct<len:int,op:string>>"
+    hard = F.filter(F.slice(cigar_ops, 1, 1), lambda x: x["op"] == "H")
+    body = F.slice(cigar_ops, F.size(hard) + 1, F.greatest(F.size(cigar_ops), F.lit(1)))
+
+    def step(s: Column, x: Column) -> Column:
+        reads, refs = x["op"].isin(*"MIS=X"), x["op"].isin(*"MDN=X")
+        taken = F.when(reads, F.least(s["left"], x["len"])).when(refs & ~s["on"], x["len"]).otherwise(0)
+        rest = F.struct((x["len"] - taken).alias("len"), x["op"].alias("op"))
+        return F.struct(
+            F.when(x["len"] > taken, F.array_append(s["ops"], rest)).otherwise(s["ops"]).alias("ops"),
+            (s["left"] - F.when(reads, taken).otherwise(0)).alias("left"),
+            (s["moved"] + F.when(refs, taken).otherwise(0)).alias("moved"),
+            (s["on"] | (reads & (x["len"] > taken))).alias("on"),
+        )
+
+    start = F.struct(F.array().cast(kind).alias("ops"), bases.cast("int").alias("left"), F.lit(0).alias("moved"), F.lit(False).alias("on"))
+    clip = F.array(F.struct(bases.cast("int").alias("len"), F.lit("S").alias("op")))
+    return F.aggregate(body, start, step, lambda s: F.struct(F.concat(hard, clip, s["ops"]).cast(kind).alias("ops"), s["moved"].alias("moved")))
+
+
+def skips(cigar_ops: Column) -> Column:
+    """array<struct<start,end>>: the reference offsets between the last aligned base before a skip and the first behind it."""
+    walk = F.aggregate(
+        segments(cigar_ops),
+        F.struct(F.array().cast("array<struct<start:int,end:int>>").alias("out"), F.lit(None).cast("int").alias("stop"), F.lit(False).alias("gap")),
+        lambda s, x: F.when(x["op"] == "N", F.struct(s["out"].alias("out"), s["stop"].alias("stop"), s["stop"].isNotNull().alias("gap")))
+        .when(
+            x["op"].isin(*"M=X"),
+            F.struct(
+                F.when(s["gap"], F.array_append(s["out"], F.struct(s["stop"].alias("start"), (x["r0"] - 1).alias("end")))).otherwise(s["out"]).alias("out"),
+                (x["r0"] + x["len"]).alias("stop"),
+                F.lit(False).alias("gap"),
+            ),
+        )
+        .otherwise(s),
+        lambda s: s["out"],
+    )
+    return walk
+
+
 def merged(parts: list[tuple[int, str]]) -> str:
     """Adjacent equal operations joined, empty ones dropped."""
     out: list[list] = []

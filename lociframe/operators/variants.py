@@ -6,16 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.functions import likelihood as L
 from lociframe.functions import vcf as V
+from lociframe.operators.overlap import overlap_join
 
 KEY = ("chrom", "pos", "ref", "alt")
 
 
+def _records(lines: DataFrame) -> DataFrame:
+    """Body lines (value) with their columns f; a line of fewer than 8 columns is an error."""
+    body = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", F.split(F.rtrim("value"), "\t"))
+    return body.withColumn("f", F.when(F.size("f") >= 8, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("fewer than 8 columns: "), "value"))))
+
+
 def parse_vcf(lines: DataFrame) -> DataFrame:
     """Text lines (value) -> one row per ALT: chrom, pos, id, ref, alt, qual, filter, info map, gt, format, sample. Header and blank lines go."""
-    f = F.split("value", "\t")
-    body = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumn("f", f)
-    checked = body.withColumn("f", F.when(F.size("f") >= 8, F.col("f")).otherwise(F.raise_error(F.concat(F.lit("fewer than 8 columns: "), "value"))))
+    checked = _records(lines)
     fmt, sample = F.coalesce(F.get("f", F.lit(8)), F.lit("")), F.coalesce(F.get("f", F.lit(9)), F.lit(""))
     return checked.select(
         F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("pos"), F.col("f")[2].alias("id"), F.col("f")[3].alias("ref"), F.explode(F.split(F.col("f")[4], ",")).alias("alt"),
@@ -23,6 +29,23 @@ def parse_vcf(lines: DataFrame) -> DataFrame:
     )
 
 
+def genotype_table(lines: DataFrame) -> DataFrame:
+    """Text lines (value) -> one row per record, all text but pos and db: chrom, pos, ref, alt, qual, filter, gt, gq, dp, ad_ref, ad_alt, fs, qd, pl, db.
+
+    The sample's depth comes before that of INFO; a missing field is ''.
+    """
+    fmt, sample = F.coalesce(F.get("f", F.lit(8)), F.lit("")), F.coalesce(F.get("f", F.lit(9)), F.lit(""))
+    rows = _records(lines).select("f", V.info(F.col("f")[7]).alias("info"), fmt.alias("fmt"), sample.alias("sample"))
+    of = lambda key: V.sample_value(F.col("fmt"), F.col("sample"), key)
+    inf = lambda key: F.coalesce(F.try_element_at("info", F.lit(key)), F.lit(""))
+    ref, alt = V.split_depths(of("AD"))
+    told = F.array_contains(F.split("fmt", ":"), "DP") & (F.col("sample") != "")
+    return rows.select(
+        F.col("f")[0].alias("chrom"), F.col("f")[1].cast("long").alias("pos"), *[F.col("f")[i].alias(n) for i, n in ((3, "ref"), (4, "alt"), (5, "qual"), (6, "filter"))], of("GT").alias("gt"), of("GQ").alias("gq"),
+        F.when(told, of("DP")).otherwise(inf("DP")).alias("dp"), ref.alias("ad_ref"), alt.alias("ad_alt"), inf("FS").alias("fs"), inf("QD").alias("qd"), of("PL").alias("pl"), F.map_contains_key("info", F.lit("DB")).alias("db"),
+    )
+
+
 def last_per_key(df: DataFrame, order: str, keys: tuple[str, ...] = KEY) -> DataFrame:
     """Of rows with equal keys the last in `order`."""
     w = W.partitionBy(*keys).orderBy(F.desc(order))
@@ -137,6 +160,69 @@ def stage_summary(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float
     return out.join(counts, how="full_outer").select("a_rows", "b_rows", (F.col("a_rows") - F.col("a_private")).alias("shared"), "a_private", "b_private", "shared_with_diffs", "field_diffs")
 
 
+def pileup_fallback(loci: DataFrame, min_qual: float = 0.0, least_depth: int = 10, least_alt: int = 3, quality: int = 30) -> DataFrame:
+    """Calls straight from counts at active loci, every observation taken at one quality: the best SNP and the best insertion, never a deletion.
+
+    loci: contig, pos, ref_base, depth, snp_alt_count, snp_best_alt, indel_alt_count, indel_best_alt ('INS:<bases>' or 'DEL:<n>').
+    Returns contig, pos, ref, alt, depth, ref_count, alt_count, genotype, qual, pl; of repeated alleles one row.
+    """
+    err = F.lit(10.0 ** (-quality / 10))
+
+    def call(alt: Column, n: Column, prior: tuple[float, float, float]) -> Column:
+        rest = F.greatest(F.col("depth") - n, F.lit(0)).cast("long")
+        return F.struct(alt.alias("alt"), rest.alias("ref_count"), n.cast("long").alias("alt_count"), L.genotype(L.diploid(rest, n, err), prior).alias("g"))
+
+    bases = F.col("ref_base").isin(*"ACGT") & F.col("snp_best_alt").isin(*"ACGT")
+    inserted = F.col("indel_best_alt").startswith("INS:")
+    found = F.array(
+        F.when((F.col("snp_alt_count") >= least_alt) & bases, call(F.col("snp_best_alt"), F.col("snp_alt_count"), L.SNP_PRIOR)),
+        F.when((F.col("indel_alt_count") >= least_alt) & inserted, call(F.concat("ref_base", F.expr("substr(indel_best_alt, 5)")), F.col("indel_alt_count"), L.INDEL_PRIOR)),
+    )
+    rows = loci.where(F.col("depth") >= least_depth).select("contig", "pos", F.col("ref_base").alias("ref"), "depth", F.explode(F.array_compact(found)).alias("c"))
+    out = rows.select("contig", "pos", "ref", "c.alt", F.col("depth").cast("long").alias("depth"), "c.ref_count", "c.alt_count", "c.g.genotype", "c.g.qual", "c.g.pl").where(F.col("qual") >= min_qual)
+    return out.dropDuplicates(["contig", "pos", "ref", "alt"])
+
+
+def zero_candidate_seeds(loci: DataFrame) -> DataFrame:
+    """SNPs that the fallback model calls homozygous reference, at loci without indel evidence: what a region without candidates starts from."""
+    return pileup_fallback(loci.where(F.coalesce("indel_alt_count", F.lit(0)) == 0)).where((F.length("ref") == 1) & (F.length("alt") == 1) & (F.col("genotype") == 0))
+
+
+def _simple(ref: str = "ref", alt: str = "alt") -> Column:
+    return (F.length(ref) == 1) & (F.length(alt) == 1)
+
+
+def _crowd(calls: DataFrame, others: DataFrame, window: int) -> DataFrame:
+    """Rows of calls with crowd: the distinct positions of SNPs among others within the window, and own: the SNPs of others at the call's position.
+
+    Others are one row a position before the join, so that a call meets at most 2 * window + 1 of them.
+    """
+    at = others.where(_simple()).select("contig", "pos", "ref", "alt").distinct().groupBy("contig", "pos").agg(F.count("*").alias("snps"))
+    spots = at.select("contig", F.col("pos").alias("start"), F.col("pos").alias("end"), "snps")
+    asked = calls.where(_simple()).select("contig", "pos").distinct().select("contig", (F.col("pos") - window).alias("start"), (F.col("pos") + window).alias("end"), "pos")
+    met = overlap_join(asked, spots)
+    own = F.col("r_start") == F.col("pos")
+    near = met.groupBy("contig", "pos").agg(F.count("*").alias("crowd"), F.coalesce(F.max(F.when(own, F.col("r_snps"))), F.lit(0)).alias("own"))
+    return calls.join(near, ["contig", "pos"], "left").fillna(0, ["crowd", "own"])
+
+
+def without_weak_snps(calls: DataFrame, kept: DataFrame, window: int = 35, weak: int = 4) -> DataFrame:
+    """Supplementary calls (contig, pos, ref, alt, alt_count) but SNPs of at most `weak` alternative reads with two or more SNP positions of kept calls within the window."""
+    rows = _crowd(calls, kept, window)
+    return rows.where(~(_simple() & (F.col("alt_count") <= weak) & (F.col("crowd") >= 2))).select(*calls.columns)
+
+
+def without_unsupported_snps(calls: DataFrame, supported: DataFrame, window: int = 35) -> DataFrame:
+    """Calls but SNPs that no active locus supports (contig, pos, ref, alt) and that have two or more positions of other SNPs within the window.
+
+    A different SNP at the call's own position counts as a position.
+    """
+    key = ["contig", "pos", "ref", "alt"]
+    rows = _crowd(calls, calls, window).join(supported.select(*key).distinct().withColumn("_held", F.lit(True)), key, "left")
+    others = F.col("crowd") - F.when(F.col("own") == 1, 1).otherwise(0)
+    return rows.where(~(_simple() & F.col("_held").isNull() & (others >= 2))).select(*calls.columns)
+
+
 def sort_dedup(calls: DataFrame, order: str) -> DataFrame:
     """Of calls with equal keys the one of the earliest region."""
     w = W.partitionBy(*KEY).orderBy(order)

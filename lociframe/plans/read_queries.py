@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import cigar as C
 from lociframe.functions import sequence as Q
-from lociframe.operators import bqsr, intervals, pair_hmm, reads
+from lociframe.operators import bqsr, intervals, overhangs, pair_hmm, reads
 from lociframe.plans.interval_queries import merge_sql
 from lociframe.plans.registry import query
 from lociframe.session import read_table
@@ -274,3 +274,55 @@ def pair_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = rows.join(regions.select("contig", "h.hap_id", "h.hap"), "contig")
     scores = pair_hmm.score(pairs).select("read_id.*", "hap_id", F.round("score", 5).alias("score"))
     return every.join(scores, ["contig", "seq", "qual"]).select("qname", "contig", "pos", F.xxhash64("contig", "seq", "qual").alias("read_id"), "hap_id", "score")
+
+
+SPLICED_SQL = """
+SELECT o_orderkey AS id, o_custkey % 5 AS contig, o_orderkey * 37 AS pos, CAST(5 + o_custkey % 20 AS INTEGER) AS a, CAST(10 + o_orderkey % 90 AS INTEGER) AS n, CAST(4 + o_custkey % 7 AS INTEGER) AS b, CAST(o_custkey % 3 AS INTEGER) AS d FROM orders"""
+SPLICES_SQL = f'SELECT contig, pos + a AS start, pos + a + n + d - 1 AS "end", count(*) AS reads FROM ({SPLICED_SQL}) GROUP BY 1, 2, 3'
+
+
+def spliced_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = read_table(spark, sf_dir, "orders")
+    a, n, b, d = (x.cast("int") for x in (5 + F.col("o_custkey") % 20, 10 + F.col("o_orderkey") % 90, 4 + F.col("o_custkey") % 7, F.col("o_custkey") % 3))
+    part = lambda k, op: F.when(k > 0, F.concat(k.cast("string"), F.lit(op))).otherwise("")
+    return o.select(F.col("o_orderkey").alias("id"), F.lit(0).alias("flag"), (F.col("o_custkey") % 5).alias("contig"), (F.col("o_orderkey") * 37).alias("pos"), F.concat(part(a, "M"), part(n, "N"), part(d, "D"), part(b, "M")).alias("cigar"))
+
+
+@query("splice_positions", SPLICES_SQL)
+def splice_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overhangs.splices(spliced_reads(spark, sf_dir))
+
+
+# the reference of a contig runs A, T, G, C backwards from (pos + 8 - contig) % 4
+OVERHANG_SQL = f"""
+WITH s AS (SELECT contig, start, "end", substr(repeat('ATGC', 11), CAST(1 + (start + 8 - contig) % 4 AS INTEGER), CAST(least(40, "end" - start + 1) AS INTEGER)) AS head,
+  substr(repeat('ATGC', 11), CAST(1 + (greatest(start, "end" - 39) + 8 - contig) % 4 AS INTEGER), CAST(least(40, "end" - start + 1) AS INTEGER)) AS tail FROM ({SPLICES_SQL})),
+r AS (SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_partkey % 5 AS contig, l_orderkey * 37 + (l_partkey * 13) % 200 + 4 AS pos, CAST(l_suppkey % 4 AS INTEGER) AS x, CAST(12 + l_orderkey % 60 AS INTEGER) AS m, CAST(l_partkey % 3 AS INTEGER) AS y, l_linenumber % 3 AS kind FROM lineitem),
+q AS (SELECT *, pos - x AS ss, pos + m + y - 1 AS se, substr(repeat('ATGC', 22), CAST(1 + (pos - x + 8 - contig + CASE WHEN kind = 0 THEN 1 ELSE 0 END) % 4 AS INTEGER), x + m + y) AS seq FROM r),
+w AS (SELECT *, CASE WHEN kind = 1 THEN substr(seq, 1, x) || 'N' || substr(seq, x + 2, m - 2) || 'N' || substr(seq, x + m + 1) ELSE seq END AS bases FROM q),
+l AS (SELECT w.id, max(s."end" - ss + 1) AS cut FROM w JOIN s ON w.contig = s.contig AND ss <= s."end" AND ss > s.start AND se > s."end" WHERE s."end" - pos + 1 BETWEEN 1 AND 40 AND s."end" - pos + 1 <= m // 2
+  AND (len(list_filter(range(s."end" - pos + 1), lambda i: substr(bases, CAST(x + 1 + i AS INTEGER), 1) <> substr(tail, CAST(length(tail) - (s."end" - pos + 1) + 1 + i AS INTEGER), 1))) > 1
+    OR 2 * len(list_filter(range(s."end" - pos + 1), lambda i: substr(bases, CAST(x + 1 + i AS INTEGER), 1) <> substr(tail, CAST(length(tail) - (s."end" - pos + 1) + 1 + i AS INTEGER), 1))) >= s."end" - pos + 1) GROUP BY w.id),
+g AS (SELECT w.id, max(se - s.start + 1) AS cut FROM w LEFT JOIN l USING (id) JOIN s ON w.contig = s.contig AND se >= s.start AND se < s."end" AND ss < s.start WHERE pos + m - s.start BETWEEN 1 AND 40 AND pos + m - s.start <= (m - (coalesce(l.cut, x) - x)) // 2
+  AND (len(list_filter(range(pos + m - s.start), lambda i: substr(bases, CAST(x + m - (pos + m - s.start) + 1 + i AS INTEGER), 1) <> substr(head, CAST(1 + i AS INTEGER), 1))) > 1
+    OR 2 * len(list_filter(range(pos + m - s.start), lambda i: substr(bases, CAST(x + m - (pos + m - s.start) + 1 + i AS INTEGER), 1) <> substr(head, CAST(1 + i AS INTEGER), 1))) >= pos + m - s.start) GROUP BY w.id),
+z AS (SELECT w.*, coalesce(l.cut, x) AS lc, coalesce(g.cut, y) AS rc, l.cut IS NOT NULL OR g.cut IS NOT NULL AS clipped FROM w LEFT JOIN l USING (id) LEFT JOIN g USING (id))
+SELECT id, pos + lc - x AS pos, CASE WHEN lc > 0 THEN CAST(lc AS VARCHAR) || 'S' ELSE '' END || CAST(x + m + y - lc - rc AS VARCHAR) || 'M' || CASE WHEN rc > 0 THEN CAST(rc AS VARCHAR) || 'S' ELSE '' END AS cigar, clipped FROM z"""
+
+
+@query("overhang_clips", OVERHANG_SQL)
+def overhang_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as a read over the splices of all orders."""
+    unit = lambda at, n, k: F.substr(F.repeat(F.lit("ATGC"), k), (1 + (at + 8 - F.col("contig")) % 4).cast("int"), n.cast("int"))
+    spl = splice_positions(spark, sf_dir)
+    size = F.least(F.lit(40), F.col("end") - F.col("start") + 1)
+    spl = spl.select("contig", "start", "end", unit(F.col("start"), size, 11).alias("head"), unit(F.greatest(F.col("start"), F.col("end") - 39), size, 11).alias("tail"))
+    li = read_table(spark, sf_dir, "lineitem")
+    x, m, y = (c.cast("int") for c in (F.col("l_suppkey") % 4, 12 + F.col("l_orderkey") % 60, F.col("l_partkey") % 3))
+    rows = li.select(F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")]).alias("id"), (F.col("l_partkey") % 5).alias("contig"), (F.col("l_orderkey") * 37 + (F.col("l_partkey") * 13) % 200 + 4).alias("pos"), x.alias("x"), m.alias("m"), y.alias("y"), (F.col("l_linenumber") % 3).alias("kind"))
+    seq = unit(F.col("pos") - F.col("x") + F.when(F.col("kind") == 0, 1).otherwise(0), F.col("x") + F.col("m") + F.col("y"), 22)
+    one = F.expr("concat(substr(seq, 1, x), 'N', substr(seq, x + 2, m - 2), 'N', substr(seq, x + m + 1))")
+    part = lambda c, op: F.when(F.col(c) > 0, F.concat(F.col(c).cast("string"), F.lit(op))).otherwise("")
+    placed = rows.withColumn("seq", seq).withColumn("seq", F.when(F.col("kind") == 1, one).otherwise(F.col("seq")))
+    told = placed.select("id", F.lit(0).alias("flag"), "contig", "pos", F.concat(part("x", "S"), part("m", "M"), part("y", "S")).alias("cigar"), "seq")
+    return overhangs.clip_overhangs(told, spl).select("id", "pos", "cigar", "clipped")

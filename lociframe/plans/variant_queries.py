@@ -182,3 +182,95 @@ def kmer_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     seq = F.regexp_replace(F.translate(F.upper("text"), "EIOU", "ACGT"), "[^ACGT]", "")
     rows = read_table(spark, sf_dir, "documents").select(seq.alias("seq")).where(F.length("seq") >= 11)
     return kmers.edges(rows, 10).where("multiplicity >= 2")
+
+
+@query("vcf_compare_pass", SIDES_SQL.replace("WHERE k % 3 <> 0", "WHERE k % 3 <> 0 AND filter = 'PASS'").replace("WHERE k % 4 <> 0", "WHERE k % 4 <> 0 AND filter = 'PASS'") + " SELECT * FROM x")
+def vcf_compare_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = calls(spark, sf_dir).where("filter = 'PASS'")
+    b = c.where("k % 4 <> 0").withColumn("gt", F.when(F.col("k") % 7 == 0, "1/1").otherwise(F.col("gt")))
+    return variants.compare(variants.last_per_key(c.where("k % 3 <> 0"), "k"), variants.last_per_key(b, "k"))
+
+
+TABLE_SQL = """
+SELECT 'chr' || CAST(l_suppkey % 5 AS VARCHAR) AS chrom, l_partkey AS pos, 'A' AS ref, CASE WHEN l_linenumber = 2 THEN 'C,G' ELSE 'T' END AS alt, CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS qual, CASE WHEN l_returnflag = 'A' THEN 'FS' ELSE 'PASS' END AS filter,
+  '0/1' AS gt, CASE WHEN l_linenumber = 3 THEN '' ELSE '40' END AS gq, CAST(CASE WHEN l_linenumber = 3 THEN CAST(l_quantity AS INTEGER) + 1 ELSE CAST(l_quantity AS INTEGER) END AS VARCHAR) AS dp,
+  CAST(CAST(l_quantity AS INTEGER) % 7 AS VARCHAR) AS ad_ref, CAST(l_linenumber AS VARCHAR) AS ad_alt, '1.5' AS fs, CASE WHEN l_returnflag = 'R' THEN '2.5' ELSE '' END AS qd, CASE WHEN l_linenumber = 3 THEN '' ELSE '9,0,9' END AS pl, l_returnflag = 'R' AS db FROM lineitem"""
+
+
+def vcf_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    q, n, r = F.col("l_quantity").cast("int"), F.col("l_linenumber"), F.col("l_returnflag")
+    text = lambda c: c.cast("string")
+    info = F.concat(F.lit("DP="), text(q + 1), F.lit(";FS=1.5"), F.when(r == "R", ";QD=2.5;DB").otherwise(""))
+    depths = F.concat(text(q % 7), F.lit(","), text(n))
+    sample = F.when(n == 3, F.concat_ws(":", F.lit("0/1"), depths)).otherwise(F.concat_ws(":", F.lit("0/1"), depths, text(q), F.lit("40"), F.lit("9,0,9")))
+    cells = [F.concat(F.lit("chr"), text(F.col("l_suppkey") % 5)), text(F.col("l_partkey")), F.lit("."), F.lit("A"), F.when(n == 2, "C,G").otherwise("T"), text(q), F.when(r == "A", "FS").otherwise("PASS"), info, F.when(n == 3, "GT:AD").otherwise("GT:AD:DP:GQ:PL"), sample]
+    return read_table(spark, sf_dir, "lineitem").select(F.concat_ws("\t", *cells).alias("value"))
+
+
+@query("vcf_genotype_table", TABLE_SQL)
+def vcf_genotype_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.genotype_table(vcf_text(spark, sf_dir))
+
+
+@query("vcf_good_set", f"SELECT * FROM ({TABLE_SQL}) WHERE filter = 'PASS' AND CAST(dp AS INTEGER) >= 10 AND CAST(ad_alt AS INTEGER) >= 3")
+def vcf_good_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.good_set(variants.genotype_table(vcf_text(spark, sf_dir)))
+
+
+LOCI_SQL = """
+SELECT l_suppkey % 3 AS contig, l_partkey AS pos, substr('ACGT', CAST(1 + l_partkey % 4 AS INTEGER), 1) AS ref_base, count(*) AS depth, CAST(sum(CASE WHEN l_linestatus = 'O' AND l_linenumber < 6 THEN 1 ELSE 0 END) AS BIGINT) AS snp_n, substr('CGTA', CAST(1 + l_partkey % 4 AS INTEGER), 1) AS snp_alt,
+  CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS BIGINT) AS indel_n, CASE WHEN l_partkey % 3 = 0 THEN 'DEL:2' ELSE 'INS:GG' END AS indel_alt FROM lineitem GROUP BY l_suppkey % 3, l_partkey"""
+
+
+def _fallback_sql(prior: str) -> str:
+    return f"""
+  p AS (SELECT *, rest * log10(0.999) + n * log10(0.001 / 3) AS x0, depth * log10(0.5 * 0.999 + 0.5 * 0.001 / 3) + ({prior}) AS x1, rest * log10(0.001 / 3) + n * log10(0.999) + 2 * ({prior}) AS x2 FROM c)"""
+
+
+def _fallback_side(alt: str, n: str, where: str, prior: str) -> str:
+    return f"""SELECT contig, pos, ref_base AS ref, alt, depth, rest AS ref_count, n AS alt_count, CASE WHEN x2 > x0 AND x2 > x1 THEN 2 WHEN x1 > x0 THEN 1 ELSE 0 END AS genotype,
+  CAST(CASE WHEN x0 - s <= -999.9 THEN 9999 ELSE greatest(0, least(9999, round(-10 * (x0 - s)))) END AS INTEGER) AS qual FROM (
+  SELECT *, m + log10(pow(10, x0 - m) + pow(10, x1 - m) + pow(10, x2 - m)) AS s FROM (SELECT *, greatest(x0, x1, x2) AS m FROM (
+  WITH c AS (SELECT contig, pos, ref_base, depth, {n} AS n, depth - {n} AS rest, {alt} AS alt FROM ({LOCI_SQL}) WHERE depth >= 10 AND {n} >= 3 AND {where}), {_fallback_sql(prior)} SELECT * FROM p)))"""
+
+
+FALLBACK_SQL = _fallback_side("snp_alt", "snp_n", "true", "log10(0.001) - log10(3)") + " UNION ALL " + _fallback_side("ref_base || substr(indel_alt, 5)", "indel_n", "indel_alt LIKE 'INS:%'", "log10(1.0 / 8000)")
+
+
+def loci(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part, n = F.col("l_partkey"), lambda c: F.sum(c.cast("long"))
+    at = (1 + part % 4).cast("int")
+    counts = read_table(spark, sf_dir, "lineitem").groupBy((F.col("l_suppkey") % 3).alias("contig"), part).agg(F.count("*").alias("depth"), n((F.col("l_linestatus") == "O") & (F.col("l_linenumber") < 6)).alias("snp_alt_count"), n(F.col("l_returnflag") == "R").alias("indel_alt_count"))
+    letter = lambda word: F.substr(F.lit(word), at, F.lit(1))
+    return counts.select("contig", part.alias("pos"), letter("ACGT").alias("ref_base"), "depth", "snp_alt_count", letter("CGTA").alias("snp_best_alt"), "indel_alt_count", F.when(part % 3 == 0, "DEL:2").otherwise("INS:GG").alias("indel_best_alt"))
+
+
+@query("pileup_fallback_calls", FALLBACK_SQL)
+def pileup_fallback_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.pileup_fallback(loci(spark, sf_dir)).drop("pl")
+
+
+DENSE_SQL = f"WITH c AS (SELECT CAST(right(chrom, 1) AS BIGINT) AS contig, pos, ref, alt, min(k) AS k, CAST(min(k) % 9 AS BIGINT) AS alt_count FROM ({CALLS_SQL}) GROUP BY chrom, pos, ref, alt)"
+
+
+def dense_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = variants.sort_dedup(calls(spark, sf_dir), "k")
+    return c.select(F.right("chrom", F.lit(1)).cast("long").alias("contig"), "pos", "ref", "alt", "k", (F.col("k") % 9).alias("alt_count"))
+
+
+@query("weak_cluster_snps", DENSE_SQL + """,
+e AS (SELECT DISTINCT contig, pos FROM c WHERE k % 3 = 0 AND length(ref) = 1 AND length(alt) = 1),
+n AS (SELECT c.contig, c.pos, c.ref, c.alt, count(e.pos) AS crowd FROM c LEFT JOIN e ON c.contig = e.contig AND e.pos BETWEEN c.pos - 35 AND c.pos + 35 WHERE k % 3 <> 0 GROUP BY ALL)
+SELECT c.* FROM c JOIN n USING (contig, pos, ref, alt) WHERE NOT (length(ref) = 1 AND length(alt) = 1 AND alt_count <= 4 AND crowd >= 2)""")
+def weak_cluster_snps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = dense_calls(spark, sf_dir)
+    return variants.without_weak_snps(c.where("k % 3 <> 0"), c.where("k % 3 = 0"))
+
+
+@query("unsupported_cluster_snps", DENSE_SQL + """,
+s AS (SELECT DISTINCT contig, pos, ref, alt FROM c WHERE length(ref) = 1 AND length(alt) = 1),
+n AS (SELECT a.contig, a.pos, a.ref, a.alt, count(DISTINCT b.pos) AS crowd FROM s a JOIN s b ON a.contig = b.contig AND b.pos BETWEEN a.pos - 35 AND a.pos + 35 AND (a.pos, a.ref, a.alt) <> (b.pos, b.ref, b.alt) GROUP BY ALL)
+SELECT c.* FROM c LEFT JOIN n USING (contig, pos, ref, alt) WHERE NOT (length(ref) = 1 AND length(alt) = 1 AND k % 4 <> 0 AND coalesce(crowd, 0) >= 2)""")
+def unsupported_cluster_snps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = dense_calls(spark, sf_dir)
+    return variants.without_unsupported_snps(c, c.where("k % 4 = 0"))

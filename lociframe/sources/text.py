@@ -70,6 +70,36 @@ def sam(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_groups(spark: SparkSession, path: str) -> DataFrame:
+    """@RG lines: rg, unit (PU, else rg), unit_idx by first appearance, library (LB, else 'Unknown Library'), sample; of repeated ids the last. No group or no id is an error.
+
+    As many rows as the header has lines, whatever the reads.
+    """
+    rows = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("_n")).where(F.col("value").startswith("@RG\t"))
+    tag = lambda t: F.regexp_extract("value", rf"\t{t}:([^\t]*)", 1)
+    has = lambda t: F.col("value").rlike(rf"\t{t}:")
+    good = _checked(rows, has("ID"), "@RG line without ID", True)
+    each = good.select("_n", tag("ID").alias("rg"), F.when(has("PU"), tag("PU")).otherwise(tag("ID")).alias("unit"), F.when(has("LB"), tag("LB")).otherwise("Unknown Library").alias("library"), F.when(tag("SM") != "", tag("SM")).alias("sample"))
+    first = each.withColumn("_first", F.min("_n").over(W.partitionBy("unit"))).withColumn("unit_idx", F.dense_rank().over(W.orderBy("_first")) - 1)
+    last = first.withColumn("_r", F.row_number().over(W.partitionBy("rg").orderBy(F.desc("_n")))).where("_r = 1")
+    return last.select("rg", "unit", "unit_idx", "library", "sample", F.col("_n").alias("ordinal"))
+
+
+def sample_name(groups: DataFrame) -> str:
+    """The first sample that a read group names, else SAMPLE."""
+    first = groups.where("sample is not null").orderBy("ordinal").select("sample").first()
+    return first[0] if first else "SAMPLE"
+
+
+def with_read_group(reads: DataFrame, groups: DataFrame, strict: bool = True) -> DataFrame:
+    """Adds unit and library by the RG tag. An unknown or missing group is an error, or 'Unknown Library' where strict is off."""
+    rg = F.try_element_at("tags", F.lit("RG"))
+    rows = reads.withColumn("_rg", rg).join(groups.select(F.col("rg").alias("_rg"), "unit", "library"), "_rg", "left")
+    if strict:
+        rows = rows.withColumn("unit", F.when(F.col("unit").isNotNull(), F.col("unit")).otherwise(F.raise_error(F.concat(F.lit("unknown read group: "), F.coalesce("_rg", F.lit("none"))))))
+    return rows.withColumn("library", F.coalesce("library", F.lit("Unknown Library"))).drop("_rg")
+
+
 def stage_table(spark: SparkSession, path: str) -> DataFrame:
     """TSV with a header, all text, null as ''."""
     return spark.read.csv(path, sep="\t", header=True, inferSchema=False).fillna("")
@@ -79,6 +109,43 @@ def write_bed(df: DataFrame, path: str) -> None:
     df.select("contig", (F.col("start") - 1).cast("string"), F.col("end").cast("string")).write.csv(path, sep="\t")
 
 
+def interval_list_lines(intervals: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Lines (value) of an interval list in order: the dictionary's header, then intervals sorted by its contigs. An unknown contig is an error.
+
+    The order is a range partitioning, so part files written from it follow one another.
+    """
+    head = dictionary.select(F.lit(1).alias("_k"), F.col("contig_idx").cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"), F.lit(0).cast("long").alias("_c"), F.concat(F.lit("@SQ\tSN:"), "contig", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
+    top = dictionary.sparkSession.range(1).select(F.lit(0).alias("_k"), F.lit(0).cast("long").alias("_a"), F.lit(0).cast("long").alias("_b"), F.lit(0).cast("long").alias("_c"), F.lit("@HD\tVN:1.6").alias("value"))
+    line = F.concat_ws("\t", "contig", F.col("start").cast("string"), F.col("end").cast("string"), F.lit("+"), F.lit("."))
+    body = within_dictionary(intervals.select("contig", "start", "end"), dictionary).select(F.lit(2).alias("_k"), F.col("contig_idx").cast("long").alias("_a"), F.col("start").cast("long").alias("_b"), F.col("end").cast("long").alias("_c"), line.alias("value"))
+    return top.unionByName(head).unionByName(body).orderBy("_k", "_a", "_b", "_c").select("value")
+
+
+def write_scattered(shards: DataFrame, dictionary: DataFrame, path: str) -> None:
+    """Shards (shard, contig, start, end) as interval lists, one folder each (scatter=0000, ...), in place of what the path held. The header leads each.
+
+    Rows go to tasks by shard and are sorted there, so a shard is one file.
+    """
+    rows = within_dictionary(shards.select("shard", "contig", "start", "end"), dictionary)
+    name = F.format_string("%04d", F.col("shard"))
+    line = F.concat_ws("\t", "contig", F.col("start").cast("string"), F.col("end").cast("string"), F.lit("+"), F.lit("."))
+    body = rows.select(name.alias("scatter"), (F.col("contig_idx") + 1).cast("long").alias("_a"), F.col("start").cast("long").alias("_b"), F.col("end").cast("long").alias("_c"), line.alias("value"))
+    head = dictionary.select(F.lit(0).cast("long").alias("_a"), F.col("contig_idx").cast("long").alias("_b"), F.lit(0).cast("long").alias("_c"), F.concat(F.lit("@SQ\tSN:"), "contig", F.lit("\tLN:"), F.col("length").cast("string")).alias("value"))
+    # contigs times shards: neither grows with the intervals
+    every = rows.select(name.alias("scatter")).distinct().join(F.broadcast(head.agg(F.collect_list(F.struct("_a", "_b", "_c", "value")).alias("_h"))), how="left").select("scatter", F.inline("_h"))
+    both = body.unionByName(every).repartition("scatter").sortWithinPartitions("scatter", "_a", "_b", "_c")
+    both.select("scatter", "value").write.partitionBy("scatter").mode("overwrite").text(path)
+
+
+def metrics_lines(metrics: DataFrame) -> DataFrame:
+    """duplication_metrics() as the lines (value) of a metrics file, libraries in order of their names; optical duplicates are not told apart."""
+    names = "LIBRARY UNPAIRED_READS_EXAMINED READ_PAIRS_EXAMINED SECONDARY_OR_SUPPLEMENTARY_RDS UNMAPPED_READS UNPAIRED_READ_DUPLICATES READ_PAIR_DUPLICATES READ_PAIR_OPTICAL_DUPLICATES PERCENT_DUPLICATION ESTIMATED_LIBRARY_SIZE".split()
+    cells = ["unpaired_examined", "pairs_examined", "secondary_or_supplementary", "unmapped", "unpaired_duplicates", "pair_duplicates"]
+    line = F.concat_ws("\t", "library", *[F.col(c).cast("string") for c in cells], F.lit("0"), F.format_string("%.6f", "percent_duplication"), F.coalesce(F.col("library_size").cast("string"), F.lit("")))
+    top = metrics.sparkSession.createDataFrame([(0, "", "## METRICS CLASS\tpicard.sam.DuplicationMetrics"), (1, "", "\t".join(names))], "_k int, _l string, value string")
+    return top.unionByName(metrics.select(F.lit(2).alias("_k"), F.col("library").alias("_l"), line.alias("value"))).orderBy("_k", "_l").select("value")
+
+
 def vcf_lines(calls: DataFrame) -> DataFrame:
     """Calls (chrom, pos, id, db, ref, alt, qual, genotype, depth, ref_count, alt_count, fs, pl) as VCF body lines (value)."""
     from lociframe.functions import likelihood as L

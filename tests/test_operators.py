@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from lociframe.operators import intervals, overlap, reads, variants
+from lociframe.functions import cigar
+from lociframe.operators import intervals, overhangs, overlap, reads, variants
 
 IV = "contig long, start long, end long"
 
@@ -174,3 +175,47 @@ def test_candidate_intervals_when_empty(spark):
     assert rows(intervals.candidate_intervals(sites.limit(0), wanted, contigs, 4, "input"), "contig", "start", "end") == [(1, 5, 30)]
     with pytest.raises(Exception, match="no candidate interval"):
         intervals.candidate_intervals(sites.where("pos = 60"), wanted, contigs, 4).collect()
+
+
+def test_clipped_left(spark):
+    df = spark.createDataFrame([("2H3S10M", 5), ("4M2D6M", 4), ("4M1I6M", 5), ("10M2H", 3), ("3M5N7M", 2)], "cigar string, n int")
+    out = df.withColumn("c", cigar.clipped_left(cigar.ops(F.col("cigar")), F.col("n"))).select("cigar", cigar.text(F.col("c.ops")), "c.moved")
+    assert sorted(map(tuple, out.collect())) == [("10M2H", "3S7M2H", 3), ("2H3S10M", "2H5S8M", 2), ("3M5N7M", "2S1M5N7M", 2), ("4M1I6M", "5S6M", 4), ("4M2D6M", "4S6M", 6)]
+
+
+def test_overhangs(spark):
+    spliced = spark.createDataFrame([(0, "c", 10, "5M20N2D4M3N6M"), (0, "c", 10, "5M20N2D4M3N6M"), (4, "c", 1, "3M4N3M"), (256, "c", 1, "3M4N3M"), (0, "c", 1, "9M"), (0, "c", 1, "*"), (0, "c", 1, None)], "flag int, contig string, pos long, cigar string")
+    found = overhangs.splices(spliced)
+    assert rows(found, "contig", "start", "end", "reads") == [("c", 15, 36, 2), ("c", 41, 43, 2)]
+    spl = spark.createDataFrame([("c", 100, 199, "A" * 40, "G" * 40)], "contig string, start long, end long, head string, tail string")
+    reads_ = [
+        ("left", 0, "c", 195, "20M", "TTTTT" + "C" * 15), ("fits", 0, "c", 195, "20M", "GGGGG" + "C" * 15), ("one off", 0, "c", 195, "20M", "GGGGT" + "C" * 15),
+        ("right", 0, "c", 88, "15M1S", "C" * 12 + "TTT" + "C"), ("half", 0, "c", 99, "4M", "CTTT"), ("far", 0, "c", 500, "4M", "CTTT"), ("unmapped", 4, "c", 195, "20M", "T" * 20), ("none", 0, None, None, None, None), ("short seq", 0, "c", 195, "20M", "*"),
+    ]
+    df = spark.createDataFrame(reads_, "id string, flag int, contig string, pos long, cigar string, seq string")
+    got = {r["id"]: (r["pos"], r["cigar"], r["clipped"]) for r in overhangs.clip_overhangs(df, spl).collect()}
+    assert got.pop("left") == (200, "5S15M", True) and got.pop("right") == (88, "12M4S", True)
+    assert got == {r[0]: (r[3], r[4], False) for r in reads_ if r[0] in got}
+    assert overhangs.clip_overhangs(df, spl.limit(0)).where("clipped").count() == 0 and overhangs.clip_overhangs(df.limit(0), spl).count() == 0
+
+
+def test_fallback_and_clusters(spark):
+    loci = spark.createDataFrame(
+        [("c", 1, "A", 20, 10, "G", 0, None), ("c", 2, "A", 9, 9, "G", 0, None), ("c", 3, "A", 12, 0, "", 6, "INS:TT"), ("c", 4, "A", 12, 0, "", 12, "DEL:2"), ("c", 5, "A", 90, 3, "G", 0, None), ("c", 6, "N", 20, 10, "G", None, None)],
+        "contig string, pos long, ref_base string, depth long, snp_alt_count long, snp_best_alt string, indel_alt_count long, indel_best_alt string",
+    )
+    assert rows(variants.pileup_fallback(loci), "pos", "ref", "alt", "ref_count", "alt_count", "genotype") == [(1, "A", "G", 10, 10, 1), (3, "A", "ATT", 6, 6, 1), (5, "A", "G", 87, 3, 0)]
+    assert rows(variants.zero_candidate_seeds(loci), "pos") == [(5,)]
+    calls = spark.createDataFrame([("c", 10, "A", "G", 3), ("c", 10, "A", "C", 9), ("c", 20, "A", "AT", 1), ("c", 40, "A", "G", 9), ("c", 99, "A", "G", 1)], "contig string, pos long, ref string, alt string, alt_count long")
+    assert rows(variants.without_weak_snps(calls, calls.where("pos in (10, 40)")), "pos", "alt") == [(10, "C"), (20, "AT"), (40, "G"), (99, "G")]
+    held = calls.where("pos = 40")
+    # two SNPs at one position and one near it crowd each other
+    assert rows(variants.without_unsupported_snps(calls, held), "pos", "alt") == [(20, "AT"), (40, "G"), (99, "G")]
+    assert rows(variants.without_unsupported_snps(calls, held.limit(0)), "pos", "alt") == [(20, "AT"), (40, "G"), (99, "G")]
+
+
+def test_genotype_table(spark):
+    lines = ["#h", "", "c\t5\t.\tA\tC,G\t9\tPASS\tDP=4;DB\tGT:AD:DP\t0/1:1,2,3:7", "c\t6\t.\tA\tC\t9\tPASS\tDP=4;FS=1\tGT\t0/1", "c\t7\t.\tA\tC\t9\tq\t."]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = rows(variants.genotype_table(df), "pos", "alt", "gt", "dp", "ad_ref", "ad_alt", "fs", "db")
+    assert got == [(5, "C,G", "0/1", "7", "1", "2,3", "", True), (6, "C", "0/1", "4", "", "", "1", False), (7, "C", "", "", "", "", "", False)]

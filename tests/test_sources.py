@@ -51,3 +51,36 @@ def test_gtf_sam_and_vcf(spark, tmp_path):
     assert (s["pos"], s["mate_contig"], s["mate_pos"], s["qual"], s["tags"]) == (100, "chr1", 200, [40] * 4, {"RG": "a:b", "NM": "1"})
     c = spark.createDataFrame([("1", 10, None, False, "A", "G", 109, 1, 10, 5, 5, 0.0, [109, 0, 179])], "chrom string, pos long, id string, db boolean, ref string, alt string, qual int, genotype int, depth int, ref_count int, alt_count int, fs double, pl array<int>")
     assert text.vcf_lines(c).first()[0] == "1\t10\t.\tA\tG\t109\tPASS\tAC=1;AF=0.500;AN=2;DP=10;FS=0.000;QD=10.90\tGT:AD:DP:GQ:PL\t0/1:5,5:10:99:109,0,179"
+
+
+def test_read_groups(spark, tmp_path):
+    g = text.read_groups(spark, write(tmp_path, "h.sam", "@HD\tVN:1", "@RG\tID:a\tPU:u\tLB:one\tSM:", "@RG\tID:b\tSM:who", "@RG\tID:c\tPU:u", "@RG\tID:b\tLB:two"))
+    assert sorted(map(tuple, g.select("rg", "unit", "unit_idx", "library").collect())) == [("a", "u", 0, "one"), ("b", "b", 1, "two"), ("c", "u", 0, "Unknown Library")]
+    assert text.sample_name(g) == "SAMPLE" and text.sample_name(text.read_groups(spark, write(tmp_path, "s.sam", "@RG\tID:x\tSM:me"))) == "me"
+    reads = spark.createDataFrame([(1, {"RG": "a"}), (2, {"RG": "z"}), (3, {}), (4, None)], "id int, tags map<string,string>")
+    assert sorted(map(tuple, text.with_read_group(reads, g, strict=False).select("id", "unit", "library").collect())) == [(1, "u", "one"), (2, None, "Unknown Library"), (3, None, "Unknown Library"), (4, None, "Unknown Library")]
+    with pytest.raises(Exception, match="unknown read group: z"):
+        text.with_read_group(reads, g).collect()
+    with pytest.raises(Exception, match="without ID"):
+        text.read_groups(spark, write(tmp_path, "bad.sam", "@RG\tSM:x")).collect()
+
+
+def test_interval_sinks(spark, tmp_path):
+    d = text.contigs(spark, write(tmp_path, "d.dict", "@SQ\tSN:chr2\tLN:50", "@SQ\tSN:chr1\tLN:100"))
+    iv = spark.createDataFrame([(1, "chr1", 5, 9), (0, "chr2", 7, 8), (0, "chr2", 1, 3)], "shard int, contig string, start long, end long")
+    head = ["@SQ\tSN:chr2\tLN:50", "@SQ\tSN:chr1\tLN:100"]
+    assert [r[0] for r in text.interval_list_lines(iv, d).collect()] == ["@HD\tVN:1.6", *head, "chr2\t1\t3\t+\t.", "chr2\t7\t8\t+\t.", "chr1\t5\t9\t+\t."]
+    assert text.interval_list_lines(iv.limit(0), d).count() == 3
+    for _ in range(2):
+        text.write_scattered(iv, d, str(tmp_path / "shards"))
+    files = {p.parent.name: p.read_text().split("\n")[:-1] for p in (tmp_path / "shards").glob("*/part-*.txt")}
+    assert files == {"scatter=0000": [*head, "chr2\t1\t3\t+\t.", "chr2\t7\t8\t+\t."], "scatter=0001": [*head, "chr1\t5\t9\t+\t."]}
+    with pytest.raises(Exception, match="not in the dictionary"):
+        text.interval_list_lines(spark.createDataFrame([("chrX", 1, 2)], "contig string, start long, end long"), d).collect()
+
+
+def test_metrics_lines(spark):
+    cols = "library string, unpaired_examined long, pairs_examined long, secondary_or_supplementary long, unmapped long, unpaired_duplicates long, pair_duplicates long, percent_duplication double, library_size long"
+    lines = [r[0] for r in text.metrics_lines(spark.createDataFrame([("b", 1, 2, 0, 0, 0, 1, 0.4, 7), ("a", 1, 0, 0, 3, 0, 0, 0.0, None)], cols)).collect()]
+    assert lines[0].startswith("## METRICS CLASS") and lines[1].startswith("LIBRARY\t")
+    assert lines[2:] == ["a\t1\t0\t0\t3\t0\t0\t0\t0.000000\t", "b\t1\t2\t0\t0\t0\t1\t0\t0.400000\t7"]
