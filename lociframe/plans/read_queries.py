@@ -12,6 +12,7 @@ from lociframe.operators import bqsr, intervals, overhangs, pair_hmm, reads
 from lociframe.plans.interval_queries import merge_sql
 from lociframe.plans.registry import query
 from lociframe.session import read_table
+from lociframe.sources import report
 
 READS_SQL = """
 SELECT CAST(l_orderkey AS VARCHAR) AS qname, CASE WHEN l_linestatus = 'O' THEN 16 ELSE 0 END + CASE WHEN l_linenumber = 7 THEN 1024 ELSE 0 END AS flag,
@@ -220,13 +221,63 @@ def bqsr_empirical_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return covariates(spark, sf_dir).select("rg", "qual", "covariate", "value", e.alias("empirical"))
 
 
-@query("bqsr_apply")
+def map_quality_sql(source: str) -> str:
+    """The most likely quality of each row of a source that has a column prior."""
+    return f"""SELECT rg, qual, covariate, value, any_value(prior) AS prior, CAST(arg_min(x, -v) AS DOUBLE) AS empirical FROM (
+  SELECT s.*, x, -pow(least(abs(trunc(x - prior)), 40), 2) / 0.5 + CASE WHEN x = 0 THEN CASE WHEN errors + 1.0 >= observations + 2.0 THEN 0.0 ELSE -1e300 END
+    ELSE (errors + 1.0) * ln(pow(10.0, -x / 10.0)) + (observations - errors + 1.0) * ln(1 - pow(10.0, -x / 10.0)) END AS v FROM ({source}) s, range(0, 61) r(x)) GROUP BY rg, qual, covariate, value"""
+
+
+APPLY_SQL = f"""
+WITH t AS MATERIALIZED ({COVARIATES_SQL}),
+g AS ({map_quality_sql("SELECT rg, 0 AS qual, '' AS covariate, '' AS value, sum(observations) AS observations, sum(errors) AS errors, CASE WHEN count(*) = 1 THEN max(qual) ELSE -10 * log10(sum(observations * pow(10.0, -qual / 10.0)) / sum(observations)) END AS prior FROM t WHERE covariate = 'Quality' GROUP BY rg")}),
+q AS ({map_quality_sql("SELECT t.*, g.empirical AS prior FROM t JOIN g ON t.rg = g.rg WHERE t.covariate = 'Quality'")}),
+s AS ({map_quality_sql("SELECT t.*, q.empirical AS prior FROM t JOIN q ON t.rg = q.rg AND t.qual = q.qual WHERE t.covariate <> 'Quality'")}),
+b AS (SELECT rg, q, CAST(CASE WHEN flag & 16 <> 0 THEN length(seq) - i ELSE i + 1 END AS VARCHAR) AS cycle,
+    CASE WHEN flag & 16 = 0 AND i >= 1 THEN substr(seq, CAST(i AS INTEGER), 2) WHEN flag & 16 <> 0 AND i + 1 < length(seq) THEN translate(reverse(substr(seq, CAST(i AS INTEGER) + 1, 2)), 'ACGT', 'TGCA') END AS context, count(*) AS n
+  FROM (SELECT *, unnest(range(length(seq))) AS i FROM ({READS_SQL})) GROUP BY ALL),
+r AS (SELECT b.rg, n, CASE WHEN b.q < 6 OR g.empirical IS NULL THEN b.q
+    ELSE greatest(1, least(93, CAST(trunc(coalesce(q.empirical, g.empirical) + coalesce(y.empirical - y.prior, 0) + coalesce(x.empirical - x.prior, 0) + 0.5) AS INTEGER))) END AS quality
+  FROM b LEFT JOIN g ON g.rg = b.rg LEFT JOIN q ON q.rg = b.rg AND q.qual = b.q
+  LEFT JOIN s y ON y.rg = b.rg AND y.qual = b.q AND y.covariate = 'Cycle' AND y.value = b.cycle LEFT JOIN s x ON x.rg = b.rg AND x.qual = b.q AND x.covariate = 'Context' AND x.value = b.context)
+SELECT rg, quality, CAST(sum(n) AS BIGINT) AS bases FROM r GROUP BY rg, quality"""
+
+
+@query("bqsr_apply", APPLY_SQL)
 def bqsr_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recalibrated qualities of all reads, as a histogram; tested on golden values."""
+    """Recalibrated qualities of all reads, as a histogram."""
     out = bqsr.recalibrate(bqsr.reportable(line_reads(spark, sf_dir)), covariates(spark, sf_dir))
     return out.select("rg", F.explode("qual").alias("quality")).groupBy("rg", "quality").agg(F.count("*").alias("bases"))
 
 
+REPORT_SQL = f"""
+WITH t AS MATERIALIZED ({COVARIATES_SQL}),
+e AS ({map_quality_sql("SELECT *, qual AS prior FROM t")}),
+p AS (SELECT rg, sum(observations) AS observations, sum(errors) AS errors, -10 * log10(sum(observations * pow(10.0, -qual / 10.0)) / sum(observations)) AS prior FROM t WHERE covariate = 'Quality' GROUP BY rg),
+g AS ({map_quality_sql("SELECT rg, 0 AS qual, '' AS covariate, '' AS value, observations, errors, prior FROM p")}),
+c AS (
+  SELECT 0 AS k, [p.rg, 'M', printf('%.4f', g.empirical), printf('%.4f', p.prior), CAST(observations AS VARCHAR), printf('%.2f', CAST(errors AS DOUBLE))] AS cells FROM p JOIN g ON p.rg = g.rg
+  UNION ALL SELECT 1, [t.rg, CAST(t.qual AS VARCHAR), 'M', printf('%.4f', empirical), CAST(observations AS VARCHAR), printf('%.2f', CAST(errors AS DOUBLE))] FROM t JOIN e USING (rg, qual, covariate, value) WHERE covariate = 'Quality'
+  UNION ALL SELECT 2, [t.rg, CAST(t.qual AS VARCHAR), value, covariate, 'M', printf('%.4f', empirical), CAST(observations AS VARCHAR), printf('%.2f', CAST(errors AS DOUBLE))] FROM t JOIN e USING (rg, qual, covariate, value) WHERE covariate <> 'Quality'),
+h AS (SELECT * FROM (VALUES (0, '%s:%s:%.4f:%.4f:%d:%.2f', ['ReadGroup', 'EventType', 'EmpiricalQuality', 'EstimatedQReported', 'Observations', 'Errors']), (1, '%s:%d:%s:%.4f:%d:%.2f', ['ReadGroup', 'QualityScore', 'EventType', 'EmpiricalQuality', 'Observations', 'Errors']),
+  (2, '%s:%d:%s:%s:%s:%.4f:%d:%.2f', ['ReadGroup', 'QualityScore', 'CovariateValue', 'CovariateName', 'EventType', 'EmpiricalQuality', 'Observations', 'Errors'])) v(k, formats, cells)),
+n AS (SELECT row_number() OVER () AS id, * FROM (SELECT k, cells, false AS head FROM c UNION ALL SELECT k, cells, true FROM h)),
+u AS (SELECT id, k, head, unnest(cells) AS cell, unnest(range(len(cells))) AS i FROM n),
+w AS (SELECT *, max(length(cell)) OVER (PARTITION BY k, i) AS w FROM u),
+l AS (SELECT k, string_agg(CASE WHEN NOT head AND try_cast(cell AS DOUBLE) IS NOT NULL THEN lpad(cell, CAST(w AS INTEGER), ' ') ELSE rpad(cell, CAST(w AS INTEGER), ' ') END, '  ' ORDER BY i) AS value FROM w GROUP BY id, k)
+SELECT 'RecalTable' || CAST(k AS VARCHAR) AS "table", value FROM l
+UNION ALL SELECT 'RecalTable' || CAST(k AS VARCHAR), '#:GATKTable:' || CAST(len(cells) AS VARCHAR) || ':' || CAST((SELECT count(*) FROM c WHERE c.k = h.k) AS VARCHAR) || ':' || formats || ':;' FROM h
+UNION ALL SELECT 'RecalTable' || CAST(k AS VARCHAR), '#:GATKTable:RecalTable' || CAST(k AS VARCHAR) || ':' FROM h
+UNION ALL SELECT 'RecalTable' || CAST(k AS VARCHAR), '' FROM h
+UNION ALL SELECT '', '#:GATKReport.v1.1:5'"""
+
+
+@query("bqsr_report", REPORT_SQL)
+def bqsr_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The covariate tables as lines of a recalibration report."""
+    return report.report_lines(covariates(spark, sf_dir))
+
+
 PAIRS_SQL = """
 WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_tax, l_linestatus, l_returnflag) - 1 AS k, count(*) OVER (PARTITION BY l_orderkey) AS n FROM lineitem),
 m AS (SELECT *, CAST(l_orderkey AS VARCHAR) || '/' || CAST(k // 2 AS VARCHAR) AS qname, k // 2 * 2 + 1 < n AS paired, min(CASE WHEN k % 2 = 0 THEN l_suppkey % 3 END) OVER t AS contig, min(CASE WHEN k % 2 = 0 THEN (l_partkey * 13) % 2000 END) OVER t AS p,
