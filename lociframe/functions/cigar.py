@@ -1,12 +1,12 @@
-"""CIGAR strings as Column expressions, plus the splitting of one CIGAR at skipped regions."""
+"""CIGAR strings as Column expressions."""
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lociframe.functions.sequence import let
+
 OP = r"(\d+)([MIDNSHP=X])"
 
 
@@ -126,55 +126,51 @@ def skips(cigar_ops: Column) -> Column:
     return walk
 
 
-def merged(parts: list[tuple[int, str]]) -> str:
-    """Adjacent equal operations joined, empty ones dropped."""
-    out: list[list] = []
-    for n, op in parts:
-        if n and out and out[-1][1] == op:
-            out[-1][0] += n
-        elif n:
-            out.append([n, op])
-    return "".join(f"{n}{op}" for n, op in out)
+def _joined(parts: Column) -> Column:
+    """Adjacent equal operations joined, empty ones dropped: array<struct<len,op>>."""
+
+    def step(s: Column, x: Column) -> Column:
+        last, rest = F.get(s, F.size(s) - 1), F.slice(s, F.lit(1), F.greatest(F.size(s) - 1, F.lit(0)))
+        more = F.struct((last["len"] + x["len"]).alias("len"), x["op"].alias("op"))
+        return F.when(x["len"] == 0, s).when(F.coalesce(last["op"] == x["op"], F.lit(False)), F.array_append(rest, more)).otherwise(F.array_append(s, x))
+
+    return F.aggregate(parts, F.array().cast("array<struct<len:int,op:string>>"), step)
 
 
-def split_at_skips(cigar: str) -> list[tuple[str, int]]:
-    """Each exon section of a spliced alignment as (cigar, reference offset); the whole CIGAR at 0 if it is not to be split.
+def sections(cigar: Column) -> Column:
+    """array<struct<cigar,offset>>: each exon section of a spliced alignment and its reference offset; the whole CIGAR at 0 if it is not to be split.
 
-    Bases of other sections become soft clips and the outer hard clips stay; a deletion at a section's edge goes.
-    Without a section of aligned, inserted or deleted bases before some N nothing is split.
+    Bases of other sections become soft clips and the outer hard clips stay; a deletion at a section's edge goes, and a section of
+    deletions alone is an error. Without a section of aligned, inserted or deleted bases before some N nothing is split.
     """
-    parts = [(int(n), op) for n, op in re.findall(OP, cigar)]
-    sections: list[list[tuple[int, str]]] = [[]]
-    starts, at = [0], 0
-    for n, op in parts:
-        at += n if op in "MDN=X" else 0
-        if op == "N":
-            sections.append([])
-            starts.append(at)
-        else:
-            sections[-1].append((n, op))
-    real = [any(op in "M=XID" for _, op in s) for s in sections]
-    if not any(real[:-1]):
-        return [(cigar, 0)]
-    in_read = [sum(n for n, op in s if op in "MIS=X") for s in sections]
-    head = parts[0][0] if parts[0][1] == "H" else 0
-    tail = parts[-1][0] if parts[-1][1] == "H" and len(parts) > 1 else 0
-    out = []
-    for k, section in enumerate(sections):
-        if not real[k]:
-            continue
-        body = [x for x in section if x[1] != "H"]
-        offset = starts[k]
-        lead = next(i for i, x in enumerate(body) if x[1] != "S")
-        end = len(body) - next(i for i, x in enumerate(reversed(body)) if x[1] != "S")
-        if all(op == "D" for _, op in body[lead:end]):
-            raise ValueError(f"section {k} of {cigar} holds deletions only")
-        while body[lead][1] == "D":
-            offset += body.pop(lead)[0]
-            end -= 1
-        while body[end - 1][1] == "D":
-            end -= 1
-            body.pop(end)
-        before, after = sum(in_read[:k]), sum(in_read[k + 1 :])
-        out.append((merged([(head, "H"), (before, "S"), *body, (after, "S"), (tail, "H")]), offset))
-    return out
+    whole = F.array(F.struct(cigar.alias("cigar"), F.lit(0).alias("offset")))
+    real = lambda items: F.exists(items, lambda x: x["op"].isin(*"M=XID"))
+    of = lambda n, op: F.struct(n.cast("int").alias("len"), F.lit(op).alias("op"))
+
+    def walked(segs: Column) -> Column:
+        skipped = F.filter(F.transform(segs, lambda x, i: F.when(x["op"] == "N", i)), lambda i: i.isNotNull())
+        edges = F.concat(F.array(F.lit(-1)), skipped, F.array(F.size(segs)))
+        return F.transform(F.slice(edges, F.lit(2), F.size(edges)), lambda stop, k: F.slice(segs, F.get(edges, k) + 2, stop - F.get(edges, k) - 1))
+
+    def split(x: Column) -> Column:
+        segs, parts = x["segs"], x["parts"]
+        first, last = F.get(segs, F.lit(0)), F.get(segs, F.size(segs) - 1)
+        head = F.when(first["op"] == "H", first["len"]).otherwise(0)
+        tail = F.when((last["op"] == "H") & (F.size(segs) > 1), last["len"]).otherwise(0)
+
+        def one(items: Column) -> Column:
+            core = F.filter(items, lambda y: ~y["op"].isin(*"SDH"))
+            begin, final = F.get(core, F.lit(0)), F.get(core, F.size(core) - 1)
+            stop = final["r0"] + F.when(final["op"].isin(*"M=X"), final["len"]).otherwise(0)
+            kept = F.filter(items, lambda y: (y["op"] != "H") & ((y["op"] != "D") | ((y["r0"] >= begin["r0"]) & (y["r0"] < stop))))
+            body = F.transform(kept, lambda y: F.struct(y["len"].alias("len"), y["op"].alias("op")))
+            end = F.get(items, F.size(items) - 1)
+            after = read_length(segs) - end["q0"] - F.when(end["op"].isin(*"MIS=X"), end["len"]).otherwise(0)
+            parts = F.concat(F.array(of(head, "H"), of(F.get(items, F.lit(0))["q0"], "S")), body, F.array(of(after, "S"), of(tail, "H")))
+            bad = F.raise_error(F.concat(F.lit("a section holds deletions only: "), cigar))
+            return F.struct(F.when(F.size(core) == 0, bad.cast("string")).otherwise(text(_joined(parts))).alias("cigar"), begin["r0"].alias("offset"))
+
+        good = F.exists(F.slice(parts, F.lit(1), F.greatest(F.size(parts) - 1, F.lit(0))), real)
+        return F.when(good, F.transform(F.filter(parts, real), one)).otherwise(whole)
+
+    return let(let(segments(ops(cigar)), lambda s: F.struct(s.alias("segs"), walked(s).alias("parts"))), split)

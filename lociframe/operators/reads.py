@@ -10,7 +10,6 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lociframe.functions import cigar as C
 from lociframe.functions import likelihood as L
@@ -250,18 +249,9 @@ def split_reads(reads: DataFrame) -> DataFrame:
     Parts after the first get the supplementary flag; tags that no longer hold are dropped from the parts of split reads.
     Unmapped and secondary records stay whole.
     """
-    plan = T.ArrayType(T.StructType([T.StructField("cigar", T.StringType()), T.StructField("offset", T.IntegerType())]))
-
-    @F.udf(plan, useArrow=True)
-    def sections(cigar: str | None):
-        return C.split_at_skips(cigar) if cigar else [(cigar, 0)]
-
     whole = F.array(F.struct(F.col("cigar"), F.lit(0).alias("offset")))
     can = F.col("cigar").contains("N") & Q.flag_clear(F.col("flag"), Q.UNMAPPED | Q.SECONDARY)
-    # only spliced reads pass through Python
-    spliced = reads.where(F.coalesce(can, F.lit(False))).withColumn("_plan", sections("cigar"))
-    rest = reads.where(~F.coalesce(can, F.lit(False))).withColumn("_plan", whole)
-    parts = spliced.unionByName(rest).select("*", F.posexplode("_plan").alias("_k", "_p"))
+    parts = reads.withColumn("_plan", F.when(can, C.sections(F.col("cigar"))).otherwise(whole)).select("*", F.posexplode("_plan").alias("_k", "_p"))
     cut = F.size("_plan") > 1
     stale = ("NM", "MD", "NH", "MC", "SA")
     changed = {

@@ -1,6 +1,7 @@
 """Golden values of column functions and kernels."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from lociframe.functions import likelihood as L
 from lociframe.functions import sequence as Q
 from lociframe.functions import vcf as V
 from lociframe.operators import bqsr, intervals, reads
+from split_reference import split_at_skips
 
 
 @pytest.mark.parametrize(
@@ -22,8 +24,29 @@ from lociframe.operators import bqsr, intervals, reads
         ("1S3N2M4H", [("1S3N2M4H", 0)]),
     ],
 )
-def test_split_at_skips(cigar, parts):
-    assert C.split_at_skips(cigar) == parts
+def test_split_at_skips(spark, cigar, parts):
+    assert split_at_skips(cigar) == parts
+    got = spark.createDataFrame([(cigar,)], "c string").select(C.sections(F.col("c"))).first()[0]
+    assert [tuple(x) for x in got] == parts
+
+
+def test_sections_against_reference(spark):
+    rng, cigars, bad = random.Random(5), [], []
+    for _ in range(1500):
+        body = [(rng.choice([0, 1, 2, 7]), rng.choice("MMMIDDNNP=X")) for _ in range(rng.randint(1, 9))]
+        ends = [[(3, "H")] * rng.randint(0, 1) + [(2, "S")] * rng.randint(0, 1), [(4, "S")] * rng.randint(0, 1) + [(1, "H")] * rng.randint(0, 1)]
+        cigar = "".join(f"{n}{op}" for n, op in [*ends[0], *body, *ends[1]])
+        try:
+            cigars.append((cigar, split_at_skips(cigar)))
+        except ValueError:
+            bad.append(cigar)
+    rows = spark.createDataFrame([(c,) for c, _ in cigars], "c string").select("c", C.sections(F.col("c")).alias("s")).collect()
+    got = {r["c"]: [tuple(x) for x in r["s"]] for r in rows}
+    assert len(bad) > 10 and sum(len(p) > 1 for _, p in cigars) > 300
+    assert [(c, p, got[c]) for c, p in cigars if got[c] != p] == []
+    for c in bad[:3]:
+        with pytest.raises(Exception, match="deletions only"):
+            spark.createDataFrame([(c,)], "c string").select(C.sections(F.col("c"))).collect()
 
 
 def test_cigar_lengths_and_ends(spark):
