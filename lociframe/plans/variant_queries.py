@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lociframe.functions import likelihood as L
 from lociframe.functions import vcf as V
 from lociframe.operators import kmers, variants
-from lociframe.plans.registry import query
+from lociframe.plans.registry import ORACLES, query
 from lociframe.session import read_table
+from lociframe.sources import text as lines_of
 
 CALLS_SQL = """
 SELECT 'chr' || CAST(o_custkey % 5 AS VARCHAR) AS chrom, (o_orderkey * 37) % 200000 AS pos, substr('ACGT', CAST(1 + o_orderkey % 4 AS INTEGER), 1) AS ref, CASE WHEN o_custkey % 9 = 0 THEN 'AC' ELSE substr('CGTA', CAST(1 + o_orderkey % 4 AS INTEGER), 1) END AS alt,
@@ -76,6 +79,19 @@ def region_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.select_regions(compared(spark, sf_dir))
 
 
+@query("region_files", f"""
+WITH r AS ({ORACLES["region_selection"]})
+SELECT 'manifest' AS file, concat_ws(chr(9), category, chrom, CAST("start" AS VARCHAR), CAST("end" AS VARCHAR), CAST(pos AS VARCHAR), ref, alt, type, coalesce(a_gt, ''), coalesce(b_gt, '')) AS value FROM r
+UNION ALL SELECT 'manifest', concat_ws(chr(9), 'category', 'chrom', 'start', 'end', 'pos', 'ref', 'alt', 'type', 'a_gt', 'b_gt')
+UNION ALL SELECT 'bed', concat_ws(chr(9), chrom, CAST(greatest("start" - 1, 0) AS VARCHAR), CAST("end" AS VARCHAR), category || '_' || chrom || ':' || CAST(pos AS VARCHAR) || ':' || ref || '>' || alt) FROM r
+UNION ALL SELECT 'interval_list', concat_ws(chr(9), chrom, CAST("start" AS VARCHAR), CAST("end" AS VARCHAR), '+', category) FROM r""")
+def region_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the three files of selected regions."""
+    picked = variants.select_regions(compared(spark, sf_dir))
+    files = {"manifest": lines_of.region_manifest_lines, "bed": lines_of.region_bed_lines, "interval_list": lines_of.region_interval_lines}
+    return functools.reduce(DataFrame.unionAll, [lines(picked).select(F.lit(name).alias("file"), "value") for name, lines in files.items()])
+
+
 @query("stage_diff", """
 WITH a AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, coalesce(o_orderstatus, '') AS status, CAST(o_custkey AS VARCHAR) AS cust FROM orders WHERE o_orderkey % 11 <> 0),
 b AS (SELECT CAST(o_orderkey AS VARCHAR) AS id, coalesce(o_orderstatus, '') AS status, CAST(CASE WHEN o_orderkey % 5 = 0 THEN o_custkey + 1 WHEN o_orderkey % 7 = 0 THEN o_custkey + 9 ELSE o_custkey END AS VARCHAR) AS cust FROM orders WHERE o_orderkey % 13 <> 0)

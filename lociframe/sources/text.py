@@ -156,3 +156,27 @@ def vcf_lines(calls: DataFrame) -> DataFrame:
     info = F.concat(F.lit("AC="), ac.cast("string"), F.lit(";AF="), F.format_string("%.3f", ac / 2), F.lit(";AN=2;DP="), F.col("depth").cast("string"), F.when(F.col("db"), ";DB").otherwise(""), F.lit(";FS="), F.format_string("%.3f", F.abs("fs")), F.lit(";QD="), F.format_string("%.2f", qd))
     sample = F.concat_ws(":", V.gt(ac), F.concat_ws(",", F.col("ref_count").cast("string"), F.col("alt_count").cast("string")), F.col("depth").cast("string"), L.genotype_quality(F.col("pl"), ac).cast("string"), F.array_join(F.col("pl").cast("array<string>"), ","))
     return calls.select(F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.coalesce("id", F.lit(".")), "ref", "alt", F.col("qual").cast("string"), F.lit("PASS"), info, F.lit("GT:AD:DP:GQ:PL"), sample).alias("value"))
+
+
+def _regions_in_order(regions: DataFrame, value: Column) -> DataFrame:
+    return regions.select("category", "chrom", "pos", "ref", "alt", value.alias("value")).orderBy("category", "chrom", "pos", "ref", "alt").select("value")
+
+
+def region_manifest_lines(regions: DataFrame) -> DataFrame:
+    """select_regions() as the lines (value) of a table under its header, by category and key; a missing genotype is ''."""
+    names = ["category", "chrom", "start", "end", "pos", "ref", "alt", "type", "a_gt", "b_gt"]
+    body = regions.withColumn("value", F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in names])).select(F.lit(1).alias("_k"), "category", "chrom", "pos", "ref", "alt", "value")
+    top = regions.sparkSession.range(1).select(F.lit(0).alias("_k"), F.lit("\t".join(names)).alias("value"))
+    return body.unionByName(top, allowMissingColumns=True).orderBy("_k", "category", "chrom", "pos", "ref", "alt").select("value")
+
+
+def region_bed_lines(regions: DataFrame) -> DataFrame:
+    """The same as BED lines, named category_chrom:pos:ref>alt."""
+    name = F.concat("category", F.lit("_"), "chrom", F.lit(":"), F.col("pos").cast("string"), F.lit(":"), "ref", F.lit(">"), "alt")
+    start = F.greatest(F.col("start") - 1, F.lit(0)).cast("string")
+    return _regions_in_order(regions, F.concat_ws("\t", "chrom", start, F.col("end").cast("string"), name))
+
+
+def region_interval_lines(regions: DataFrame) -> DataFrame:
+    """The same as the body lines of an interval list, named by category."""
+    return _regions_in_order(regions, F.concat_ws("\t", "chrom", F.col("start").cast("string"), F.col("end").cast("string"), F.lit("+"), "category"))

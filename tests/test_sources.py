@@ -84,3 +84,14 @@ def test_metrics_lines(spark):
     lines = [r[0] for r in text.metrics_lines(spark.createDataFrame([("b", 1, 2, 0, 0, 0, 1, 0.4, 7), ("a", 1, 0, 0, 3, 0, 0, 0.0, None)], cols)).collect()]
     assert lines[0].startswith("## METRICS CLASS") and lines[1].startswith("LIBRARY\t")
     assert lines[2:] == ["a\t1\t0\t0\t3\t0\t0\t0\t0.000000\t", "b\t1\t2\t0\t0\t0\t1\t0\t0.400000\t7"]
+
+
+def test_region_lines(spark):
+    rows = [("b_private_snp", "2", 1, 110, 10, "A", "T", "SNP", None, "0/1"), ("a_private_indel", "1", 50, 260, 150, "AC", "A", "INDEL_OR_COMPLEX", "1/1", None)]
+    df = spark.createDataFrame(rows, "category string, chrom string, start long, end long, pos long, ref string, alt string, type string, a_gt string, b_gt string")
+    lines = lambda f: [r["value"] for r in f(df).collect()]
+    assert lines(text.region_manifest_lines)[0].split("\t") == ["category", "chrom", "start", "end", "pos", "ref", "alt", "type", "a_gt", "b_gt"]
+    assert lines(text.region_manifest_lines)[2] == "b_private_snp\t2\t1\t110\t10\tA\tT\tSNP\t\t0/1"
+    assert lines(text.region_bed_lines) == ["1\t49\t260\ta_private_indel_1:150:AC>A", "2\t0\t110\tb_private_snp_2:10:A>T"]
+    assert lines(text.region_interval_lines) == ["1\t50\t260\t+\ta_private_indel", "2\t1\t110\t+\tb_private_snp"]
+    assert lines(lambda _: text.region_manifest_lines(df.limit(0))) == ["category\tchrom\tstart\tend\tpos\tref\talt\ttype\ta_gt\tb_gt"]
