@@ -107,23 +107,23 @@ def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(starts), np.concatenate(hashes)) if starts else (np.empty(0, np.int64), np.empty(0, np.uint64))
 
 
-def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Number of the text, and hash, of each shingle of each text, and the number of shingles of each text."""
     ends = np.cumsum([len(t) + 1 for t in texts])
     starts, h = word_hashes(np.frombuffer(b"\n".join(texts), np.uint8))
     doc = np.searchsorted(ends, starts, side="right")
     n = np.bincount(doc, minlength=len(texts)) if len(texts) else np.empty(0, np.int64)
     first = np.cumsum(n) - n
-    whole = np.zeros(max(0, len(h) - WORDS + 1), dtype=np.uint64)
-    for j in range(WORDS if len(whole) else 0):
+    whole = np.zeros(max(0, len(h) - words + 1), dtype=np.uint64)
+    for j in range(words if len(whole) else 0):
         whole = whole * np.uint64(_PRIME) + h[j : j + len(whole)]
-    fits = np.flatnonzero(doc[: len(whole)] == doc[WORDS - 1 :]) if len(whole) else np.empty(0, np.int64)
-    short = np.flatnonzero((n > 0) & (n < WORDS))
+    fits = np.flatnonzero(doc[: len(whole)] == doc[words - 1 :]) if len(whole) else np.empty(0, np.int64)
+    short = np.flatnonzero((n > 0) & (n < words))
     single = np.zeros(len(short), dtype=np.uint64)
-    for j in range(WORDS - 1):
+    for j in range(words - 1):
         more = n[short] > j
         single[more] = single[more] * np.uint64(_PRIME) + h[first[short[more]] + j]
-    return np.concatenate([doc[fits], short]), np.concatenate([_mix(whole[fits]), _mix(single + n[short].astype(np.uint64) * _C)]), np.where(n >= WORDS, n - WORDS + 1, np.minimum(n, 1))
+    return np.concatenate([doc[fits], short]), np.concatenate([_mix(whole[fits]), _mix(single + n[short].astype(np.uint64) * _C)]), np.where(n >= words, n - words + 1, np.minimum(n, 1))
 
 
 def _spread(x: np.ndarray, n: int) -> np.ndarray:

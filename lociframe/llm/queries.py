@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import functools
+import re
 import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociframe.llm import chat, line_dedup, near_dup, packing, pieces, pii, quality_rules, shared, topk, url_filter, warc
+from lociframe.llm import centroids, chat, line_dedup, merkle, near_dup, ngram_join, packing, pieces, pii, quality_rules, shared, topk, url_filter, warc
 from lociframe.session import ship
 
 QUERIES, ORACLES = {}, {}
@@ -139,3 +140,79 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested for round properties: coreference, distinctness, format; SQL has no keyed permutation."""
     return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.query_key(spark))
+
+
+OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, text, lang, n_chars,
+    sha256(concat(H(doc_id), H(source), H(lang), H(n_chars), H(text))) AS leaf,
+    sha256(concat(H(doc_id), H(source), H(lang), H(n_chars), H(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')))) AS low,
+    list_reduce(list_prepend(4294967295, flatten([[ascii(CAST(c AS VARCHAR)), 0, 0, 0, 0, 0, 0, 0] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])),
+      lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1))) AS crc FROM documents),
+p AS (
+  SELECT *, coalesce('1' || source, '0') AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, row_number() OVER () AS id,
+    CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN low ELSE leaf END AS changed FROM d),
+a AS (
+  SELECT tree, 0 AS level, pos AS idx, leaf AS digest, count(*) OVER (PARTITION BY tree) AS m FROM p
+  UNION ALL
+  SELECT tree, level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (max(m) + 15) // 16 FROM a WHERE m > 1 GROUP BY tree, level, idx // 16),
+s AS (SELECT tree, level AS height, digest AS subroot, row_number() OVER (ORDER BY tree) - 1 AS pos FROM a WHERE m = 1),
+b AS (
+  SELECT 0 AS level, pos AS idx, subroot AS digest, count(*) OVER () AS m FROM s
+  UNION ALL
+  SELECT level + 1, idx // 16, sha256(string_agg(digest, '' ORDER BY idx)), (max(m) + 15) // 16 FROM b WHERE m > 1 GROUP BY level, idx // 16),
+n AS (SELECT tree, level, idx, digest FROM a WHERE m > 1 UNION ALL SELECT '', level, idx, digest FROM b WHERE m > 1),
+k AS (
+  SELECT tree, level, idx,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, level, idx // 16 ORDER BY idx ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(digest, '') OVER (PARTITION BY tree, level, idx // 16 ORDER BY idx ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM n),
+f AS (
+  SELECT id, tree, 0 AS level, pos AS idx, changed AS digest, '' AS proof FROM p
+  UNION ALL
+  SELECT id, f.tree, f.level + 1, f.idx // 16, sha256(l || digest || r), proof || l || r FROM f JOIN k ON k.tree = f.tree AND k.level = f.level AND k.idx = f.idx),
+g AS (
+  SELECT f.id, 0 AS level, s.pos AS idx, f.digest, f.proof FROM f JOIN s ON s.tree = f.tree AND s.height = f.level
+  UNION ALL
+  SELECT id, g.level + 1, g.idx // 16, sha256(l || digest || r), proof || l || r FROM g JOIN k ON k.tree = '' AND k.level = g.level AND k.idx = g.idx)
+SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(g.proof) AS proof_sha256, g.digest AS folded_root, g.digest = t.digest AS verified
+FROM p JOIN s ON s.tree = p.tree JOIN b t ON t.m = 1 JOIN g ON g.id = p.id AND g.level = t.level"""
+OP11_SQL = re.sub(r"\bH\((\w+)\)", r"coalesce(strlen(CAST(\1 AS VARCHAR)) || ':' || CAST(\1 AS VARCHAR), '-')", OP11_SQL)
+OP11_SQL = re.sub(r"\bH\((translate\([^)]*\))\)", r"coalesce(strlen(\1) || ':' || \1, '-')", OP11_SQL)
+
+
+@query("op11_merkle_manifest", OP11_SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def op12_sql(k: int = centroids.K, rounds: int = centroids.ROUNDS) -> str:
+    """Each round as two common table expressions: the nearest centroid of each vector, and the centroids that follow."""
+    out = ["""
+WITH v0 AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v, row_number() OVER () AS id FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), v) - 1 AS c, v AS m FROM v0 WHERE vec_id IS NOT NULL
+  QUALIFY c < """ + f"{k})"]
+    for r in range(rounds + 1):
+        out.append(f"""a{r} AS MATERIALIZED (
+  SELECT id, vec_id, v, CAST(list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d, c FROM v0 CROSS JOIN c{r}
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY d, c) = 1)""")
+        if r < rounds:
+            out.append(f"""s{r} AS (SELECT c, i, CAST(floor(CAST(sum(v[i]) AS DOUBLE) / count(*)) AS BIGINT) AS x FROM a{r} CROSS JOIN range(1, 65) t(i) GROUP BY c, i),
+c{r + 1} AS MATERIALIZED (SELECT c{r}.c, coalesce(n.m, c{r}.m) AS m FROM c{r} LEFT JOIN (SELECT c, list(x ORDER BY i) AS m FROM s{r} GROUP BY c) n ON n.c = c{r}.c)""")
+    return ",\n".join(out) + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.c = a.c"""
+
+
+@query("op12_centroid_clustering", op12_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark, centroids.whole_numbers(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_ngram_join")
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tested against all pairs: the components of SQL would need a recursive join over all pairs."""
+    return ngram_join.components(table(spark, sf_dir, "documents"))
