@@ -119,7 +119,7 @@ def start(vectors: DataFrame, k: int = K) -> np.ndarray:
     """The k vectors with the smallest digests of their ids, in that order: k rows, by a top-k of each task."""
     key = F.sha2(F.concat(F.lit("1:"), F.col("vec_id").cast("string")), 256)
     rows = vectors.where(F.col("vec_id").isNotNull()).select("v", key.alias("key")).orderBy("key", "v").limit(k).collect()
-    return np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), -1)
+    return np.array([r["v"] for r in rows], dtype=np.int64).reshape(len(rows), len(rows[0]["v"]) if rows else WIDTH)
 
 
 def totals(vectors: DataFrame, tree: VantageTree) -> DataFrame:
