@@ -7,17 +7,20 @@ Rules written by hand (host and path prefix, longest wins) stand above the mined
 
 Defined cases: a null url, or one without `://`, has empty host and path and no tokens, so no mined rule
 fits it; labels go by doc_id = page_id; equal urls get equal verdicts and keep their rows; labels without a row among the urls are ignored, null
-labels count as good; with no labelled url at all nothing is mined and every url is allowed; other columns pass unread.
+labels count as good; a url that repeats among labelled rows counts as often, and its tokens, however many, are one class; with no labelled url at all nothing is mined and every url is allowed; other columns pass unread.
 """
 
 from __future__ import annotations
 
+import math
 import string
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lociframe.llm import shared
+
 BLOCK_ITEM = "label=block"
 #: (verdict, host, path)
 HAND_RULES = (
@@ -55,30 +58,49 @@ def tokens(url: Column) -> Column:
     )
 
 
-def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.5, min_rows: int = 5) -> DataFrame:
-    """(items array, blocked boolean) -> rules (antecedent array, index_token, confidence, support), minimal ones only.
-
-    A combination counts from min_rows rows on, however few rows there are, so a single long url does not bring all subsets of its tokens.
+def mine(labelled: DataFrame, min_support: float = 0.002, min_confidence: float = 0.5, min_rows: int = 5) -> tuple[DataFrame, DataFrame]:
+    """(items array, blocked boolean) -> rules (antecedent array, index_token, confidence, support), minimal ones only, and classes (token, item).
 
-    A rule is dropped if a rule on a subset of its tokens is there already: whatever it fits, the shorter one fits.
+    A combination counts from min_rows rows on, however few rows there are. Tokens that lie in the very same rows are one
+    class, and rules name each class by its least token: a rule stands for all choices of one token of each of its
+    classes. So a long url that comes again and again is one item, not all subsets of its tokens. Classes that are rules by themselves
+    are not mined further, as a rule is dropped if there is one on a subset of its classes: whatever it fits, the shorter one fits.
     """
-    items = F.when(F.col("blocked"), F.array_append("items", BLOCK_ITEM)).otherwise(F.col("items"))
-    support = min(1.0, max(min_support, min_rows / max(1, labelled.count())))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(labelled.select(items.alias("items")))
-    rules = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK_ITEM))).select(F.array_sort("antecedent").alias("antecedent"), "confidence", "support")
-    shorter = rules.select(F.col("antecedent").alias("less"), F.explode("antecedent").alias("t"))
-    longer = rules.select("antecedent", F.explode("antecedent").alias("t"))
-    covered = longer.join(shorter, "t").where((F.size("less") < F.size("antecedent")) & (F.size(F.array_except("less", "antecedent")) == 0)).select("antecedent").distinct()
+    rows = shared.cut(labelled.select("items", "blocked").withColumn("row", F.monotonically_increasing_id()), "url-rows")
+    total = rows.count()
+    support = min(1.0, max(min_support, min_rows / max(1, total)))
+    least = max(1, math.ceil(support * total))
+    one = rows.select("row", "blocked", F.explode("items").alias("token"))
+    marks = (F.sum(F.xxhash64("row").cast("decimal(38,0)")).alias("sum"), F.bit_xor(F.xxhash64("row", F.lit(1))).alias("mix"))
+    seen = one.groupBy("token").agg(F.count("*").alias("freq"), F.sum(F.col("blocked").cast("long")).alias("bad"), *marks).where(F.col("bad") >= least)
+    named = seen.groupBy("freq", "bad", "sum", "mix").agg(F.min("token").alias("item"), F.collect_list("token").alias("token"))
+    sure = F.col("bad") >= min_confidence * F.col("freq")
+    classes = shared.cut(named.select(F.explode("token").alias("token"), "item", "freq", "bad", sure.alias("sure")), "url-classes")
+    items = classes.where("token = item")
+    # a class that is sure, or too rare to matter, leaves the rows
+    mixed = one.join(classes.where("token = item and not sure").select("token"), "token").groupBy("row", "blocked").agg(F.collect_list("token").alias("items"))
+    marked = mixed.select(F.when(F.col("blocked"), F.array_append("items", BLOCK_ITEM)).otherwise(F.col("items")).alias("items"))
+    n_mixed = max(1, mixed.count())
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / n_mixed), minConfidence=min_confidence).fit(marked)
+    found = model.associationRules.where(F.col("consequent") == F.array(F.lit(BLOCK_ITEM)))
+    found = found.select(F.array_sort("antecedent").alias("antecedent"), "confidence", (F.col("support") * n_mixed / total).alias("support"))
+    single = items.where("sure").select(F.array("item").alias("antecedent"), (F.col("bad") / F.col("freq")).alias("confidence"), (F.col("bad") / total).alias("support"))
+    rules = shared.cut(found.where(F.size("antecedent") > 0).unionAll(single), "url-rules")
+    # all proper subsets of a rule, by the bits of a number; FP-growth has listed as many sets already
+    bits = F.expr("sequence(1L, shiftleft(1L, size(antecedent)) - 2)")
+    parts = rules.where(F.size("antecedent") > 1).select(F.col("antecedent").alias("whole"), F.explode(bits).alias("bits"))
+    parts = parts.select("whole", F.expr("filter(whole, (x, i) -> getbit(bits, i) = 1)").alias("antecedent"))
+    covered = parts.join(rules.select("antecedent"), "antecedent").select(F.col("whole").alias("antecedent")).distinct()
     minimal = rules.join(covered, "antecedent", "left_anti")
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("t"), "freq")
-    rarest = minimal.select("antecedent", F.explode("antecedent").alias("t")).join(single, "t").groupBy("antecedent").agg(F.min_by("t", F.struct("freq", "t")).alias("index_token"))
-    return minimal.join(rarest, "antecedent")
+    rarest = minimal.select("antecedent", F.explode("antecedent").alias("item")).join(items.select("item", "freq"), "item").groupBy("antecedent").agg(F.min_by("item", F.struct("freq", "item")).alias("index_token"))
+    return minimal.join(rarest, "antecedent"), classes.select("token", "item")
 
 
-def matched_urls(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def matched_urls(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
     """Distinct urls that some mined rule fits."""
-    probes = urls.where(F.col("url").isNotNull()).select("url").distinct().select("url", tokens(F.col("url")).alias("tokens")).select("url", "tokens", F.explode("tokens").alias("index_token"))
-    hits = probes.join(rules.select("index_token", "antecedent"), "index_token").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    one = urls.where(F.col("url").isNotNull()).select("url").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
+    probes = one.join(classes, "token").groupBy("url").agg(F.collect_set("item").alias("items")).select("url", "items", F.explode("items").alias("index_token"))
+    hits = probes.join(rules.select("index_token", "antecedent"), "index_token").where(F.size(F.array_except("antecedent", "items")) == 0)
     return hits.select("url").distinct()
 
 
@@ -92,7 +114,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules=HAND_RULES, min_support: fl
     """pages (page_id, url), labels (doc_id, quality, toxic) -> page_id, host, path, rule, verdict, mined."""
     bad = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(F.coalesce((F.col("quality") == 0) | (F.col("toxic") == 1), F.lit(False))).alias("blocked"))
     labelled = pages.select("page_id", "url").join(bad, "page_id").select(tokens(F.col("url")).alias("items"), "blocked").where(F.size("items") > 0)
-    mined = matched_urls(pages, mine(labelled, min_support, min_confidence)).withColumn("mined", F.lit(True))
+    mined = matched_urls(pages, *mine(labelled, min_support, min_confidence)).withColumn("mined", F.lit(True))
     host, path = url_parts(F.col("url"))
     best = hand_rule(F.col("host"), F.col("path"), rules)
     out = pages.select("page_id", "url", host.alias("host"), path.alias("path")).join(mined, "url", "left")

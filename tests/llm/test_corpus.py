@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import math
 import random
 import sys
@@ -73,8 +74,54 @@ def test_url_rules_and_mining(spark):
     assert got[9001]["verdict"] == "allow" and got[9003]["rule"] == "www.example.com/en/" and got[9004]["verdict"] == "block" and got[9005]["rule"] == "net/es/"
     assert {r["verdict"] for r in url_filter.judge(pages, labels.limit(0), rules=()).collect()} == {"allow"}
     assert url_filter.judge(pages.limit(0), labels).count() == 0
-    long = spark.createDataFrame([(1, "http://a.b.c/?" + "&".join(f"n{i}=1" for i in range(60))), (2, "http://x.y/")], "page_id long, url string")
-    assert url_filter.judge(long, spark.createDataFrame([(1, 0, 1), (2, 1, 0)], "doc_id long, quality int, toxic int")).count() == 2
+
+
+def brute_rules(rows, least, confidence):
+    """All minimal sets of tokens with enough blocked rows and confidence."""
+    n, found = len(rows), {}
+    names = sorted({t for items, _ in rows for t in items})
+    for size in range(1, 5):
+        for chosen in itertools.combinations(names, size):
+            hit = [bad for items, bad in rows if set(chosen) <= set(items)]
+            if sum(hit) >= least and sum(hit) >= confidence * len(hit) and not any(set(k) < set(chosen) for k in found):
+                found[chosen] = (sum(hit) / len(hit), sum(hit) / n)
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_url_rules_against_a_brute_miner(spark, seed):
+    rng = random.Random(seed)
+    names = [f"t{i}" for i in range(7)]
+    rows = []
+    for _ in range(60):
+        items = [t for t in names if rng.random() < 0.45]
+        items += ["twin"] if "t0" in items else []
+        bad = len({"t1", "t2"} & set(items)) == 2 or "t3" in items and rng.random() < 0.6 or rng.random() < 0.15
+        rows.append((items, bad))
+    df = spark.createDataFrame([r for r in rows if r[0]], "items array<string>, blocked boolean")
+    rules, classes = url_filter.mine(df, 0.05, 0.6, 3)
+    members = {}
+    for r in classes.collect():
+        members.setdefault(r["item"], []).append(r["token"])
+    n = sum(1 for r in rows if r[0])
+    got = {}
+    for r in rules.collect():
+        for chosen in itertools.product(*(members[t] for t in r["antecedent"])):
+            got[tuple(sorted(chosen))] = (round(r["confidence"], 9), round(r["support"], 9))
+    expected = brute_rules([r for r in rows if r[0]], max(3, math.ceil(0.05 * n)), 0.6)
+    assert {k for k in got if len(k) < 5} == set(expected) and expected
+    assert got == {k: (round(c, 9), round(s, 9)) for k, (c, s) in expected.items()} | {k: v for k, v in got.items() if len(k) > 4}
+
+
+def test_repeated_long_urls_end(spark):
+    """Labelled rows that share one url with 60 names, and others with parts of it; repeated ids and clashing columns."""
+    name = lambda ks: "http://a.b.c/x?" + "&".join(f"n{k}=1" for k in ks)
+    urls = [name(range(60))] * 6 + [name(range(0, 60, 2))] * 6 + [f"http://ok{i}.org/y" for i in range(20)] + ["http://new.com/?n7=2", "http://new.com/?n8=2&n9=3"]
+    pages = spark.createDataFrame([(i, u, True, "clash") for i, u in enumerate(urls)] + [(0, "http://other.org/", None, None)], "page_id long, url string, mined boolean, items string")
+    labels = spark.createDataFrame([(i, 1, int(i < 6)) for i in range(32)], "doc_id long, quality int, toxic int")
+    got = url_filter.judge(pages, labels, rules=(), min_confidence=0.6).collect()
+    # odd names are in bad urls alone; even ones are in as many good ones
+    assert sorted(r["page_id"] for r in got if r["verdict"] == "block") == [*range(6), 32, 33] and len(got) == 35
 
 
 # packing
