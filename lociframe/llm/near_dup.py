@@ -19,9 +19,10 @@
    in which it differs, as many as a prefix filter needs, and only members that meet there with enough left to share are tried.
 5. Classes are the connected components of the links, contracted in tables of the shared folder; nothing is collected.
 
-Defined cases: a null text, or one without words, is a class of its own; equal texts are one class; rows that repeat a doc_id
-are taken together as one document (result: one row per doc_id); rows with a null doc_id take no part, and keep_one() keeps
-them; a document under five words has one shingle; empty tables give no rows; keep_one() keeps all columns.
+Defined cases: a null text, or one without words, is a class of its own; equal texts are one class; rows that repeat a doc_id and
+its text are one document, and rows that repeat a doc_id with other texts are documents of their own (result: one row for each,
+told apart by text_hash); rows with a null doc_id take no part, and keep_one() keeps them; a document under five words has one shingle; empty tables give
+no rows; keep_one() keeps all columns.
 """
 
 from __future__ import annotations
@@ -465,10 +466,35 @@ def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold:
     return out.select(F.col("doc_id").alias("a"), F.col("other").alias("b")).distinct()
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, text) -> one row per doc_id: doc_id, class_id, the least doc_id of its class."""
-    spark = documents.sparkSession
+    """(doc_id, text) -> one row per document: doc_id, class_id, the least doc_id of its class.
+
+    Where some doc_id has several texts there are two more columns: text_hash, null for all others, and class_key, as several
+    classes may then have the same least doc_id. Such documents go by numbers of their own in between.
+    """
     documents = documents.select("doc_id", "text").where(F.col("doc_id").isNotNull())
+    by_id = documents.groupBy("doc_id").agg(F.min(text_hash()).alias("x"), F.max(text_hash()).alias("y"))
+    several = shared.cut(by_id.where("x <> y").select("doc_id"), "several-texts")
+    if several.isEmpty():
+        return _classes(documents, threshold)
+    beyond = documents.agg(F.max("doc_id").alias("m")).first()["m"] + 1
+    texts = documents.withColumn("text_hash", text_hash())
+    own = texts.join(several, "doc_id").select("doc_id", "text_hash").distinct().withColumn("number", F.monotonically_increasing_id() + beyond)
+    own = shared.cut(own, "own-numbers")
+    numbered = texts.join(own, ["doc_id", "text_hash"], "left").select(F.coalesce("number", "doc_id").alias("doc_id"), "text")
+    found = _classes(numbered, threshold).withColumnRenamed("doc_id", "number").join(own, "number", "left")
+    found = shared.cut(found.select(F.coalesce("doc_id", "number").alias("doc_id"), "text_hash", "class_id"), "found")
+    least = found.groupBy("class_id").agg(F.min("doc_id").alias("least"))
+    return found.join(least, "class_id").select("doc_id", F.col("least").alias("class_id"), "text_hash", F.col("class_id").alias("class_key"))
+
+
+def _classes(documents: DataFrame, threshold: float) -> DataFrame:
+    """The same where each doc_id has one text."""
+    spark = documents.sparkSession
     size = documents.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     n_parts = max(shared.partitions(spark), -(-(size["b"] or 0) // 6 // BUCKET_SHINGLES))
     sent = documents.mapInArrow(_send(n_parts), BLOCKS)
@@ -515,10 +541,17 @@ def classes(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 
 def keep_one(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents without those whose class holds a smaller doc_id; of rows that repeat a doc_id, one stays."""
-    gone = found.where("class_id <> doc_id").select("doc_id")
-    kept = documents.join(gone, "doc_id", "left_anti").select(*documents.columns)
-    counts = documents.agg(F.count("doc_id").alias("n"), F.countDistinct("doc_id").alias("d")).first()
-    if counts["n"] == counts["d"]:
-        return kept
-    return kept.where("doc_id is null").unionAll(kept.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    """Of each class in found the document with the least doc_id, and the least text_hash under it; rows that repeat doc_id and text are one."""
+    if "text_hash" not in found.columns:
+        found = found.withColumns({"text_hash": F.lit(None).cast("long"), "class_key": F.col("class_id")})
+    first = found.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
+    other = (F.col("doc_id") != F.col("first.doc_id")) | ~F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
+    gone = found.join(first, "class_key").where(other).select(F.col("doc_id").alias("gone_id"), "text_hash")
+    hashed = documents.withColumn("near_dup_hash", text_hash())
+    same = (F.col("doc_id") == F.col("gone_id")) & (F.col("text_hash").isNull() | (F.col("text_hash") == F.col("near_dup_hash")))
+    kept = hashed.join(gone, same, "left_anti")
+    repeats = documents.where("doc_id is not null").groupBy("doc_id", text_hash().alias("near_dup_hash")).count().where("count > 1")
+    if repeats.isEmpty():
+        return kept.select(*documents.columns)
+    once = kept.where("doc_id is not null").dropDuplicates(["doc_id", "near_dup_hash"])
+    return kept.where("doc_id is null").unionAll(once).select(*documents.columns)

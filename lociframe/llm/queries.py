@@ -104,7 +104,7 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_near_dedup")
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tested against brute force over all pairs: the classes of SQL would need a recursive join."""
-    return near_dup.classes(table(spark, sf_dir, "documents"))
+    return near_dup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 OP7_SQL = f"""

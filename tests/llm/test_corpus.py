@@ -295,6 +295,20 @@ def test_near_dup_empty_and_null_ids(spark):
     assert near_dup.keep_one(df, near_dup.classes(df)).count() == 2
 
 
+def test_near_dup_different_texts_under_one_id(spark):
+    near = "the quick brown fox jumps over the lazy dog and runs away into the deep dark wood beyond the old stone bridge by the mill " * 2
+    rows = [(1, "a b c d e f g h", "p"), (1, "completely different text of some length here", "q"), (1, "a b c d e f g h", "r"), (1, None, "s"), (2, "a b c d e f g h", "t")]
+    rows += [(3, near + "x y", "u"), (3, near, "v"), (4, near, "w"), (5, "only one", "x"), (None, near, "y"), (None, None, "z")]
+    df = spark.createDataFrame(rows, DOC).repartition(4)
+    found = near_dup.classes(df)
+    assert sorted((r["doc_id"], r["class_id"]) for r in found.collect()) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 3), (3, 3), (4, 3), (5, 5)]
+    kept = near_dup.keep_one(df, found)
+    assert kept.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    assert [g for g in got if g[0] in (1, 2)] == sorted([(1, "a b c d e f g h"), (1, "completely different text of some length here"), (1, None)], key=str)
+    assert len([g for g in got if g[0] in (3, 4)]) == 1 and (5, "only one") in got and len([g for g in got if g[0] is None]) == 2
+
+
 @pytest.mark.parametrize("parts", [1, 3, 8])
 def test_texts_without_words_are_classes_of_their_own(spark, parts):
     texts = [None, None, "", "", " ", " ", " \n", " \n", "x", "x"] * 3
