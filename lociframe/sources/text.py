@@ -9,6 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lociframe.operators.variants import parse_vcf
+from lociframe.sources.blocks import read_lines
+
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).where(F.trim("value") != "")
@@ -100,6 +103,11 @@ def with_read_group(reads: DataFrame, groups: DataFrame, strict: bool = True) ->
     return rows.withColumn("library", F.coalesce("library", F.lit("Unknown Library"))).drop("_rg")
 
 
+def vcf(spark: SparkSession, path: str, split: int = 64 << 20) -> DataFrame:
+    """A VCF file or folder, plain, gzip or block-compressed (cut into ranges), as `variants.parse_vcf` has it."""
+    return parse_vcf(read_lines(spark, path, split).select("value"))
+
+
 def stage_table(spark: SparkSession, path: str) -> DataFrame:
     """TSV with a header, all text, null as ''."""
     return spark.read.csv(path, sep="\t", header=True, inferSchema=False).fillna("")
