@@ -46,7 +46,9 @@ BANDS, ROWS = 40, 6
 PIVOT_ROUNDS = 1
 #: Open buckets with more members are split by what their members differ in from the pivot.
 SPLIT = 128
-BUCKET_SHINGLES = 1_000_000
+BUCKET_SHINGLES = 2_000_000
+#: Documents up to this number are sent to the tasks that read features; more meet them by shuffle.
+SENT_IDS = 500_000
 RUN_BYTES = 4 << 20
 CHUNK = 1 << 20
 #: A shingle is hot in a run if that many of its documents, and this share of them, have it.
@@ -370,8 +372,15 @@ def jaccard(h1: np.ndarray, w1: np.ndarray, t1: float, h2: np.ndarray, w2: np.nd
     return common / (t1 + t2 - common)
 
 
+def _named_in(pairs: DataFrame, state: DataFrame) -> DataFrame:
+    """The documents of pairs: while they are few, the others' features are left out before any shuffle."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    return state.join(F.broadcast(ids), "doc_id", "left_semi") if ids.count() <= SENT_IDS else state
+
+
 def verify(pairs: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (a, b) of at least the threshold."""
+    """Pairs (a, b), a written table, of at least the threshold."""
+    state = _named_in(pairs, state)
     side = lambda x: state.select(F.col("doc_id").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("total", "hs", "ws")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -505,7 +514,8 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
     pending = counted.where(F.col("kind") == PENDING).select("h", "block").join(hot, "h").mapInArrow(_resolve(n_parts), BLOCKS)
     homes = counted.where(F.col("kind").isin(ENTRIES, DIRECTORY)).unionAll(pending)
     state = shared.cut(homes.groupBy("part").applyInArrow(_gather(size["n"], threshold), STATE), "state")
-    del homes, pending
+    del homes, pending, hot
+    shared.forget(counted)
     shared.free_shuffles(spark)
 
     equal = state.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
@@ -518,8 +528,9 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
     shared_keys = by_key.where("least <> last").select("key", (-F.col("top.col2")).alias("pivot"))
     members = shared.cut(members.join(shared_keys, "key").select("key", "band", "doc_id", "pivot"), "members")
     first = members.where("doc_id <> pivot").select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")).distinct()
-    links = shared.cut(verify(first, state, threshold), "links")
     tried = shared.cut(first, "tried")
+    links = shared.cut(verify(tried, state, threshold), "links")
+    shared.free_shuffles(spark)
 
     for turn in range(PIVOT_ROUNDS + 1):
         labels = shared.components(links)
@@ -533,8 +544,11 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
             largest = by_class.groupBy("key").agg(F.max_by(F.struct("pivot", "label"), F.struct("n", "label")).alias("p"))
             pairs = _cross(named, largest.select("key", F.col("p.pivot").alias("pivot"), F.col("p.label").alias("pivot_label")))
         pairs = shared.cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-        links = shared.cut(links.unionAll(verify(pairs, state, threshold)), "links")
-        tried = shared.cut(tried.unionAll(pairs), "tried")
+        # what was written before is read along with the new part, not written again
+        links = links.unionAll(shared.cut(verify(pairs, state, threshold), "links"))
+        tried = tried.unionAll(pairs)
+        shared.forget(named)
+        shared.free_shuffles(spark)
 
     labels = shared.components(links.unionAll(alike).unionAll(equal)).toDF("doc_id", "label")
     return state.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
