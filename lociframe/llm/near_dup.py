@@ -392,7 +392,8 @@ def verify(pairs: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
                 keep.append(jaccard(*sets) >= threshold - 1e-9)
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "a long, b long")
+    # merge joins at every size: features are shuffled alike whether pairs are few or many
+    return pairs.join(side("a").hint("merge"), "a").join(side("b").hint("merge"), "b").mapInArrow(run, "a long, b long")
 
 
 def _cross(members: DataFrame, pivots: DataFrame) -> DataFrame:
@@ -468,7 +469,7 @@ def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold:
         features = state.select("doc_id", "hs", "ws")
         # large buckets around one pivot, as the bands of one group of copies give, are one: each member is filed once
         large = able.join(size.where("large"), "key").join(pivots, "key").where("doc_id <> pivot").select(F.col("pivot").alias("key"), "doc_id", "label", "total", "pivot").distinct()
-        large = large.join(features, "doc_id").join(state.select(F.col("doc_id").alias("pivot"), *(F.col(c).alias(f"pivot_{c}") for c in ("total", "hs", "ws"))), "pivot")
+        large = large.join(features.hint("merge"), "doc_id").join(state.select(F.col("doc_id").alias("pivot"), *(F.col(c).alias(f"pivot_{c}") for c in ("total", "hs", "ws"))).hint("merge"), "pivot")
         filed = shared.cut(large.drop("pivot").mapInArrow(_differences(threshold), "key long, doc_id long, label long, slack double, rest double"), "filed")
         met = filed.join(_other(filed), "key").where(apart & (F.least("rest", "other_rest") >= (F.col("slack") + F.col("other_slack")) / 2 - 1e-6 * F.greatest("rest", "other_rest")))
         out = pairs.unionAll(met.select("doc_id", "other"))
