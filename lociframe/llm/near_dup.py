@@ -19,6 +19,8 @@
    in which it differs, as many as a prefix filter needs, and only members that meet there with enough left to share are tried.
 5. Classes are the connected components of the links, contracted in tables of the shared folder; nothing is collected.
 
+Joins of members, labels and features are merge joins at every size, so that a plan measured on small tables is the plan of large ones.
+
 Defined cases: a null text, or one without words, is a class of its own; equal texts are one class; rows that repeat a doc_id and
 its text are one document, and rows that repeat a doc_id with other texts are documents of their own (result: one row for each,
 told apart by text_hash); rows with a null doc_id take no part, and keep_one() keeps them; a document under five words has one shingle; empty tables give
@@ -398,7 +400,7 @@ def verify(pairs: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
 
 def _cross(members: DataFrame, pivots: DataFrame) -> DataFrame:
     """Distinct pairs of members with their bucket's pivot in another class."""
-    joined = members.join(pivots, "key").where((F.col("label") != F.col("pivot_label")) & (F.col("doc_id") != F.col("pivot")))
+    joined = members.join(pivots.hint("merge"), "key").where((F.col("label") != F.col("pivot_label")) & (F.col("doc_id") != F.col("pivot")))
     return joined.select(F.least("doc_id", "pivot").alias("a"), F.greatest("doc_id", "pivot").alias("b")).distinct()
 
 
@@ -452,14 +454,14 @@ def _other(rows: DataFrame) -> DataFrame:
 
 def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold: float) -> DataFrame:
     """Pairs of members of a bucket in different classes that may reach the threshold. pivots: (key, pivot), with which all members of a bucket were tried."""
-    sized = members.join(state.select("doc_id", "total", "inside", "keys"), "doc_id")
+    sized = members.join(state.select("doc_id", "total", "inside", "keys").hint("merge"), "doc_id")
     # a member that could not even reach the threshold with the lightest one has no partner here
     lightest = sized.groupBy("key").agg(F.min("total").alias("other_total"))
-    able = shared.cut(sized.join(lightest, "key").withColumn("other_inside", F.col("inside")).where(_can_reach(threshold)).drop("other_total", "other_inside"), "able")
+    able = shared.cut(sized.join(lightest.hint("merge"), "key").withColumn("other_inside", F.col("inside")).where(_can_reach(threshold)).drop("other_total", "other_inside"), "able")
     size = able.groupBy("key").agg(F.count("*").alias("n"), F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key", (F.col("n") > SPLIT).alias("large"))
     size = shared.cut(size, "sizes")
     apart = (F.col("doc_id") < F.col("other")) & (F.col("label") != F.col("other_label"))
-    small = able.join(size.where("not large"), "key").select("key", "band", "doc_id", "label", "total", "inside", "keys")
+    small = able.join(size.where("not large").hint("merge"), "key").select("key", "band", "doc_id", "label", "total", "inside", "keys")
     # each pair from the first band alone that holds both
     earlier = F.arrays_zip(F.slice("keys", F.lit(1), F.col("band")).alias("x"), F.slice("other_keys", F.lit(1), F.col("band")).alias("y"))
     pairs = small.join(_other(small), "key").where(apart & _can_reach(threshold) & ~F.exists(earlier, lambda z: z["x"] == z["y"])).select("doc_id", "other")
@@ -468,7 +470,7 @@ def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold:
     else:
         features = state.select("doc_id", "hs", "ws")
         # large buckets around one pivot, as the bands of one group of copies give, are one: each member is filed once
-        large = able.join(size.where("large"), "key").join(pivots, "key").where("doc_id <> pivot").select(F.col("pivot").alias("key"), "doc_id", "label", "total", "pivot").distinct()
+        large = able.join(size.where("large").hint("merge"), "key").join(pivots.hint("merge"), "key").where("doc_id <> pivot").select(F.col("pivot").alias("key"), "doc_id", "label", "total", "pivot").distinct()
         large = large.join(features.hint("merge"), "doc_id").join(state.select(F.col("doc_id").alias("pivot"), *(F.col(c).alias(f"pivot_{c}") for c in ("total", "hs", "ws"))).hint("merge"), "pivot")
         filed = shared.cut(large.drop("pivot").mapInArrow(_differences(threshold), "key long, doc_id long, label long, slack double, rest double"), "filed")
         met = filed.join(_other(filed), "key").where(apart & (F.least("rest", "other_rest") >= (F.col("slack") + F.col("other_slack")) / 2 - 1e-6 * F.greatest("rest", "other_rest")))
@@ -522,12 +524,12 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
     equal = state.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
     full = state.where("digest is not null").select("doc_id", "digest")
     alike = shared.cut(full.join(full.groupBy("digest").agg(F.min("doc_id").alias("b")), "digest").where("doc_id <> b").select(F.col("doc_id").alias("a"), "b"), "alike")
-    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")), "doc_id", "left_anti")
+    members = state.where("keys is not null").join(alike.select(F.col("a").alias("doc_id")).hint("merge"), "doc_id", "left_anti")
     members = members.select("doc_id", "typical", F.posexplode("keys").alias("band", "key"))
     # buckets of two members or more
     by_key = members.groupBy("key").agg(F.max(F.struct("typical", -F.col("doc_id"))).alias("top"), F.min("doc_id").alias("least"), F.max("doc_id").alias("last"))
     shared_keys = by_key.where("least <> last").select("key", (-F.col("top.col2")).alias("pivot"))
-    members = shared.cut(members.join(shared_keys, "key").select("key", "band", "doc_id", "pivot"), "members")
+    members = shared.cut(members.join(shared_keys.hint("merge"), "key").select("key", "band", "doc_id", "pivot"), "members")
     first = members.where("doc_id <> pivot").select(F.least("pivot", "doc_id").alias("a"), F.greatest("pivot", "doc_id").alias("b")).distinct()
     tried = shared.cut(first, "tried")
     links = shared.cut(verify(tried, state, threshold), "links")
@@ -535,16 +537,16 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
 
     for turn in range(PIVOT_ROUNDS + 1):
         labels = shared.components(links)
-        named = members.select("key", "band", "doc_id").join(labels.toDF("doc_id", "label"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+        named = members.select("key", "band", "doc_id").join(labels.toDF("doc_id", "label").hint("merge"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
         open_keys = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-        named = shared.cut(named.join(open_keys, "key"), "open")
+        named = shared.cut(named.join(open_keys.hint("merge"), "key"), "open")
         if turn == PIVOT_ROUNDS:
             pairs = _across(named, members.where("doc_id = pivot").select("key", "pivot"), state, threshold)
         else:
             by_class = named.groupBy("key", "label").agg(F.count("*").alias("n"), F.min_by("doc_id", F.xxhash64("doc_id", "key", F.lit(turn))).alias("pivot"))
             largest = by_class.groupBy("key").agg(F.max_by(F.struct("pivot", "label"), F.struct("n", "label")).alias("p"))
             pairs = _cross(named, largest.select("key", F.col("p.pivot").alias("pivot"), F.col("p.label").alias("pivot_label")))
-        pairs = shared.cut(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = shared.cut(pairs.join(tried.hint("merge"), ["a", "b"], "left_anti"), "pairs")
         # what was written before is read along with the new part, not written again
         links = links.unionAll(shared.cut(verify(pairs, state, threshold), "links"))
         tried = tried.unionAll(pairs)
@@ -552,7 +554,7 @@ def _classes(documents: DataFrame, threshold: float) -> DataFrame:
         shared.free_shuffles(spark)
 
     labels = shared.components(links.unionAll(alike).unionAll(equal)).toDF("doc_id", "label")
-    return state.select("doc_id").join(labels, "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
+    return state.select("doc_id").join(labels.hint("merge"), "doc_id", "left").select("doc_id", F.coalesce("label", "doc_id").alias("class_id"))
 
 
 def keep_one(documents: DataFrame, found: DataFrame) -> DataFrame:
