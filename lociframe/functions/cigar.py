@@ -62,19 +62,22 @@ def unclipped_five_prime(pos0: Column, cigar_ops: Column, reverse: Column) -> Co
 
 def segments(cigar_ops: Column) -> Column:
     """Walk: array<struct<op,len,q0,r0,next_op,next_len>>, q0 and r0 the read and reference offsets where the operation starts."""
-    empty = F.array().cast("array<struct<op:string,len:int,q0:int,r0:int>>")
-    walked = F.aggregate(
-        cigar_ops,
-        F.struct(empty.alias("out"), F.lit(0).alias("q"), F.lit(0).alias("r")),
-        lambda s, x: F.struct(
-            F.array_append(s["out"], F.struct(x["op"].alias("op"), x["len"].alias("len"), s["q"].alias("q0"), s["r"].alias("r0"))).alias("out"),
+    return let(cigar_ops, _walk)
+
+
+def _walk(cigar_ops: Column) -> Column:
+    empty = F.array().cast("array<struct<op:string,len:int,q0:int,r0:int,next_op:string,next_len:int>>")
+
+    def step(s: Column, x: Column) -> Column:
+        after = F.get(cigar_ops, F.size(s["out"]) + 1)
+        row = F.struct(x["op"].alias("op"), x["len"].alias("len"), s["q"].alias("q0"), s["r"].alias("r0"), after["op"].alias("next_op"), after["len"].alias("next_len"))
+        return F.struct(
+            F.array_append(s["out"], row).alias("out"),
             (s["q"] + F.when(x["op"].isin(*"MIS=X"), x["len"]).otherwise(0)).alias("q"),
             (s["r"] + F.when(x["op"].isin(*"MDN=X"), x["len"]).otherwise(0)).alias("r"),
-        ),
-        lambda s: s["out"],
-    )
-    onward = lambda i, f: F.get(cigar_ops, i + 1)[f]
-    return F.transform(walked, lambda x, i: F.struct(x["op"].alias("op"), x["len"].alias("len"), x["q0"].alias("q0"), x["r0"].alias("r0"), onward(i, "op").alias("next_op"), onward(i, "len").alias("next_len")))
+        )
+
+    return F.aggregate(cigar_ops, F.struct(empty.alias("out"), F.lit(0).alias("q"), F.lit(0).alias("r")), step, lambda s: s["out"])
 
 
 def text(cigar_ops: Column) -> Column:

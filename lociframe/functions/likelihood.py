@@ -24,11 +24,11 @@ def phred(p: Column) -> Column:
 
 def quality_of(log10_ref: Column) -> Column:
     """QUAL from the log10 posterior of the reference genotype."""
-    return F.when(log10_ref <= -999.9, 9999).otherwise(F.greatest(F.lit(0), F.least(F.lit(9999), F.round(-10 * log10_ref).cast("int"))))
+    return F.when(log10_ref <= -999.9, 9999).otherwise(F.greatest(F.lit(0), F.least(F.lit(9999.0), F.round(-10 * log10_ref)).cast("int")))
 
 
 def pl(x: Column, best: Column) -> Column:
-    return F.greatest(F.lit(0), F.least(F.lit(999), F.round(-10 * (x - best)).cast("int")))
+    return F.greatest(F.lit(0), F.least(F.lit(999.0), F.round(-10 * (x - best))).cast("int"))
 
 
 def log10_sum_exp(values: Column) -> Column:

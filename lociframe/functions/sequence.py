@@ -59,6 +59,24 @@ def contexts(bases: Column, quals: Column, reverse: Column, k: int = 2, low: int
     return F.when(n > 0, let(strand, found)).otherwise(F.array().cast("array<string>"))
 
 
+def masked_bases(bases: Column, quals: Column, low: int = 2) -> Column:
+    """The bases with N in both low-quality tails (quality <= low); as contexts() takes them."""
+    n = F.length(bases)
+    first = F.array_position(F.transform(quals, lambda q: q > low), True) - 1
+    last = F.size(quals) - F.array_position(F.transform(F.reverse(quals), lambda q: q > low), True)
+    good = first >= 0
+    middle = F.substring(F.upper(bases), F.when(good, first + 1).otherwise(1).cast("int"), F.when(good, last - first + 1).otherwise(0).cast("int"))
+    return F.concat(F.repeat(F.lit("N"), F.when(good, first).otherwise(n).cast("int")), middle, F.repeat(F.lit("N"), F.when(good, n - 1 - last).otherwise(0).cast("int")))
+
+
+def context_at(masked: Column, offset: Column, reverse: Column, k: int = 2) -> Column:
+    """One item of contexts(), from masked_bases(): the k bases that end at this offset in order of sequencing, null where one is not regular or missing."""
+    first = F.when(reverse, offset).otherwise(offset - (k - 1))
+    word = F.when(first >= 0, F.substring(masked, first + 1, F.lit(k)))
+    regular = (F.length(word) == k) & (F.translate(word, "ACGT", "") == "")
+    return F.when(regular, F.when(reverse, F.reverse(F.translate(word, "ACGT", "TGCA"))).otherwise(word))
+
+
 def original_qualities(oq: Column) -> Column:
     """Text qualities to numbers."""
     return F.transform(F.split(oq, ""), lambda c: F.greatest(F.lit(0), F.ascii(c) - 33))

@@ -49,35 +49,65 @@ def has_reference_base(cigar: Column) -> Column:
     return C.has_op(C.ops(cigar), "MDN=X")
 
 
+def pieces(reads: DataFrame, *keep: str, arrays: tuple[str, ...] = ()) -> DataFrame:
+    """One row per operation that covers reference columns: keep columns, start 1-based, q0, len, is_del, indel, inserted, letters, quals.
+
+    Bases and qualities are the operation's own, as are the items of `arrays` (columns with an item for each base of the
+    read), so a read's sequence is not repeated. Skipped regions give no row; an indel hangs on the operation before it.
+    """
+    parts = F.filter(C.segments(C.ops(F.col("cigar"))), lambda s: s["op"].isin("M", "=", "X", "D"))
+    rows = reads.select(*keep, *arrays, F.col("pos").alias("_pos"), F.col("qual").alias("_qual"), F.upper("seq").alias("_seq"), F.explode(parts).alias("_s"))
+    s, is_del = F.col("_s"), F.col("_s.op") == "D"
+    own = lambda c: F.when(~is_del, F.slice(c, s["q0"] + 1, s["len"]))
+    inserts = ~is_del & (s["next_op"] == "I")
+    return rows.select(
+        *keep, *(own(F.col(a)).alias(a) for a in arrays), (F.col("_pos") + s["r0"] + 1).alias("start"), s["q0"].alias("q0"), s["len"].alias("len"), is_del.alias("is_del"),
+        F.when(inserts, s["next_len"]).when(~is_del & (s["next_op"] == "D"), -s["next_len"]).otherwise(0).alias("indel"),
+        F.when(inserts, F.substring("_seq", s["q0"] + s["len"] + 1, s["next_len"])).alias("inserted"),
+        F.when(~is_del, F.substring("_seq", s["q0"] + 1, s["len"])).alias("letters"), own(F.col("_qual")).alias("quals"),
+    )
+
+
+def bases_of(pieces: DataFrame, *keep: str, arrays: tuple[str, ...] = ()) -> DataFrame:
+    """One row per reference column of pieces(): keep columns, pos, qpos, base, qual, is_del, indel, inserted, and the base's item of each of `arrays`.
+
+    Places come from a generated sequence and all else by place, which is code that Spark generates for the whole stage.
+    """
+    at, last = F.col("_i"), F.col("_i") == F.col("len") - 1
+    rows = pieces.select("*", F.explode(F.sequence(F.lit(0), F.col("len") - 1)).alias("_i"))
+    return rows.select(
+        *keep, *(F.get(a, at).alias(a) for a in arrays), (F.col("start") + at).alias("pos"), (F.col("q0") + F.when(F.col("is_del"), 0).otherwise(at)).alias("qpos"),
+        F.nullif(F.substring("letters", at + 1, F.lit(1)), F.lit("")).alias("base"), F.get("quals", at).alias("qual"), "is_del",
+        F.when(last, F.col("indel")).otherwise(0).alias("indel"), F.when(last, F.col("inserted")).alias("inserted"),
+    )
+
+
 def aligned(reads: DataFrame, *keep: str) -> DataFrame:
     """One row per reference column that a read covers: keep columns, pos 1-based, qpos, base, qual, is_del, indel (+n, -n or 0), inserted bases.
 
-    Skipped regions give no row; an indel hangs on the last aligned base before it. The columns of a read are built in
-    one array, so only the kept columns are repeated for each base, not the sequence and qualities.
+    Skipped regions give no row; an indel hangs on the last aligned base before it.
     """
-    parts = F.filter(C.segments(C.ops(F.col("cigar"))), lambda s: s["op"].isin("M", "=", "X", "D"))
-    rows = reads.select(*keep, F.col("pos").alias("_pos"), F.col("qual").alias("_qual"), F.split(F.upper("seq"), "").alias("_letters"), parts.alias("_parts"))
-
-    def columns(s: Column) -> Column:
-        is_del = s["op"] == "D"
-
-        def cell(i: Column) -> Column:
-            qpos = s["q0"] + F.when(is_del, 0).otherwise(i)
-            last = ~is_del & (i == s["len"] - 1)
-            inserts = last & (s["next_op"] == "I")
-            return F.struct(
-                (F.col("_pos") + s["r0"] + i + 1).alias("pos"),
-                qpos.alias("qpos"),
-                F.when(~is_del, F.get("_letters", qpos)).alias("base"),
-                F.when(~is_del, F.get("_qual", qpos)).alias("qual"),
-                is_del.alias("is_del"),
-                F.when(inserts, s["next_len"]).when(last & (s["next_op"] == "D"), -s["next_len"]).otherwise(0).alias("indel"),
-                F.when(inserts, F.array_join(F.slice("_letters", qpos + 2, s["next_len"]), "")).alias("inserted"),
-            )
-
-        return F.transform(F.sequence(F.lit(0), s["len"] - 1), cell)
-
-    return rows.select(*keep, F.inline(F.flatten(F.transform("_parts", columns))))
+    return bases_of(pieces(reads, *keep), *keep)
+
+
+def masked(pieces: DataFrame, known: DataFrame, size: int = 1024) -> DataFrame:
+    """Adds known_at, the known positions (contig, pos) that a piece may touch: pieces meet positions by bin, not bases by position.
+
+    A piece that lies in two bins meets both; a bin has as many positions as columns at most.
+    """
+    sites = known.groupBy("contig", F.floor(F.col("pos") / size).alias("_bin")).agg(F.collect_set("pos").alias("_sites"))
+    first, last = F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("len") - 1) / size)
+    # a long deletion or block is cut at the bins' borders
+    cut = pieces.select("*", F.explode(F.sequence(first, last)).alias("_bin"))
+    low = F.greatest(F.col("start"), F.col("_bin") * size).cast("long")
+    high = F.least(F.col("start") + F.col("len") - 1, F.col("_bin") * size + size - 1).cast("long")
+    skip, n = (low - F.col("start")).cast("int"), (high - low + 1).cast("int")
+    lists = [f.name for f in pieces.schema.fields if f.dataType.typeName() == "array"]
+    changed = {c: F.slice(c, skip + 1, n) for c in lists}
+    changed |= {"letters": F.substring("letters", skip + 1, n), "q0": F.col("q0") + F.when(F.col("is_del"), 0).otherwise(skip)}
+    changed |= {c: F.when(high == F.col("start") + F.col("len") - 1, F.col(c)).otherwise(none) for c, none in (("indel", F.lit(0)), ("inserted", F.lit(None)))}
+    changed |= {"start": low, "len": n}
+    return cut.withColumns(changed).join(sites, ["contig", "_bin"], "left").withColumnRenamed("_sites", "known_at").drop("_bin")
 
 
 def evidence(bases: DataFrame, min_base_quality: int = 10) -> DataFrame:

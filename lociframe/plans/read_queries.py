@@ -178,10 +178,13 @@ def fragment_adjusted_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def covariates(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_reads(spark, sf_dir).where(reads.recalibratable(F.col("flag"), F.col("mapq"), F.col("pos")))
     reverse = Q.flag_set(F.col("flag"), Q.REVERSE)
-    rows = rows.withColumns({"ctx": Q.contexts(F.col("seq"), F.col("qual"), reverse), "reverse": reverse, "n": F.length("seq")})
+    rows = rows.withColumns({"strand": Q.masked_bases(F.col("seq"), F.col("qual")), "reverse": reverse, "n": F.length("seq")})
     sites = read_table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 3).alias("contig"), F.explode(F.sequence((F.col("s_suppkey") * 101) % 2000, (F.col("s_suppkey") * 101) % 2000 + F.col("s_nationkey") % 4)).alias("pos"))
-    counted = bqsr.counted_bases(line_bases(rows, "contig", "rg", "ctx", "reverse", "n"), sites)
-    counted = counted.withColumns({"cycle": Q.cycle(F.col("qpos"), F.col("n"), F.col("reverse"), F.lit(False)), "context": F.get("ctx", F.col("qpos"))})
+    keep = ("contig", "rg", "reverse", "n", "strand")
+    cut = reads.masked(reads.pieces(rows, *keep), sites)
+    bases = reads.bases_of(cut, *keep, "known_at").withColumn("ref_base", ref_base(F.col("pos"), F.col("contig")))
+    counted = bqsr.counted_bases(bases)
+    counted = counted.withColumns({"cycle": Q.cycle(F.col("qpos"), F.col("n"), F.col("reverse"), F.lit(False)), "context": Q.context_at(F.col("strand"), F.col("qpos"), F.col("reverse"))})
     return bqsr.covariate_tables(counted)
 
 
