@@ -468,9 +468,11 @@ def _across(members: DataFrame, pivots: DataFrame, state: DataFrame, threshold:
     if size.where("large").isEmpty():
         out = pairs
     else:
-        features = state.select("doc_id", "hs", "ws")
         # large buckets around one pivot, as the bands of one group of copies give, are one: each member is filed once
         large = able.join(size.where("large").hint("merge"), "key").join(pivots.hint("merge"), "key").where("doc_id <> pivot").select(F.col("pivot").alias("key"), "doc_id", "label", "total", "pivot").distinct()
+        large = shared.cut(large, "large")
+        state = _named_in(large.select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")), state)
+        features = state.select("doc_id", "hs", "ws")
         large = large.join(features.hint("merge"), "doc_id").join(state.select(F.col("doc_id").alias("pivot"), *(F.col(c).alias(f"pivot_{c}") for c in ("total", "hs", "ws"))).hint("merge"), "pivot")
         filed = shared.cut(large.drop("pivot").mapInArrow(_differences(threshold), "key long, doc_id long, label long, slack double, rest double"), "filed")
         met = filed.join(_other(filed), "key").where(apart & (F.least("rest", "other_rest") >= (F.col("slack") + F.col("other_slack")) / 2 - 1e-6 * F.greatest("rest", "other_rest")))
@@ -564,6 +566,9 @@ def keep_one(documents: DataFrame, found: DataFrame) -> DataFrame:
     first = found.groupBy("class_key").agg(F.min(F.struct("doc_id", "text_hash")).alias("first"))
     other = (F.col("doc_id") != F.col("first.doc_id")) | ~F.col("text_hash").eqNullSafe(F.col("first.text_hash"))
     gone = found.join(first, "class_key").where(other).select(F.col("doc_id").alias("gone_id"), "text_hash")
+    gone = shared.cut(gone, "gone")
+    # ids of bounded number go to the documents; more of them are met by shuffle
+    gone = F.broadcast(gone) if gone.count() <= SENT_IDS else gone
     hashed = documents.withColumn("near_dup_hash", text_hash())
     same = (F.col("doc_id") == F.col("gone_id")) & (F.col("text_hash").isNull() | (F.col("text_hash") == F.col("near_dup_hash")))
     kept = hashed.join(gone, same, "left_anti")
