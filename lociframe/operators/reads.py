@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -167,6 +167,18 @@ def active_loci(snp: DataFrame, indel: DataFrame, least: int = 4) -> DataFrame:
     return both.groupBy("contig", "pos").agg(F.max("qual").alias("qual")).where(F.col("qual") >= least)
 
 
+def region_stats(loci: DataFrame, regions: DataFrame) -> DataFrame:
+    """Per region (region, contig, start, end): observed_loci, active_loci, max and mean alternative fraction of its loci (contig, pos, depth, alt_count, active).
+
+    A region without loci has zeros.
+    """
+    share = F.when(F.col("depth") > 0, F.col("alt_count") / F.nullif(F.col("depth"), F.lit(0))).otherwise(0.0)
+    at = loci.select("contig", F.col("pos").alias("start"), F.col("pos").alias("end"), share.alias("share"), "active")
+    met = overlap_join(at, regions).groupBy(F.col("r_region").alias("region")).agg(F.count("*").alias("n"), F.sum(F.col("active").cast("long")).alias("k"), F.max("share").alias("top"), F.avg("share").alias("mean"))
+    none = lambda c, x: F.coalesce(c, F.lit(x))
+    return regions.join(met, "region", "left").select(*regions.columns, none("n", 0).alias("observed_loci"), none("k", 0).alias("active_loci"), none("top", 0.0).alias("max_alt_fraction"), none("mean", 0.0).alias("mean_alt_fraction"))
+
+
 def split_regions(regions: DataFrame, loci: DataFrame, longest: int = 300, margin: int = 50) -> DataFrame:
     """Regions (contig, start, end) cut while longer than `longest`, at the least active place between start + margin and start + longest or end - margin.
 
@@ -273,15 +285,18 @@ def library_size(pairs: Column, unique: Column, steps: int = 40) -> Column:
 # splitting at skipped regions
 
 
-def split_reads(reads: DataFrame) -> DataFrame:
+def split_reads(reads: DataFrame, counters: Observation | None = None) -> DataFrame:
     """Reads with N operations become one record per exon section; mapping quality 255 becomes 60.
 
-    Parts after the first get the supplementary flag; tags that no longer hold are dropped from the parts of split reads.
+    counters, an Observation, gets input, output, split and mapq_changed from the same pass when the result is computed. Parts after the first get the supplementary flag; tags that no longer hold are dropped from the parts of split reads.
     Unmapped and secondary records stay whole.
     """
     whole = F.array(F.struct(F.col("cigar"), F.lit(0).alias("offset")))
     can = F.col("cigar").contains("N") & Q.flag_clear(F.col("flag"), Q.UNMAPPED | Q.SECONDARY)
     parts = reads.withColumn("_plan", F.when(can, C.sections(F.col("cigar"))).otherwise(whole)).select("*", F.posexplode("_plan").alias("_k", "_p"))
+    if counters is not None:
+        n, first = lambda c: F.coalesce(F.sum(c.cast("long")), F.lit(0)), F.col("_k") == 0
+        parts = parts.observe(counters, n(first).alias("input"), F.count("*").alias("output"), n(first & (F.size("_plan") > 1)).alias("split"), n(first & (F.col("mapq") == 255)).alias("mapq_changed"))
     cut = F.size("_plan") > 1
     stale = ("NM", "MD", "NH", "MC", "SA")
     changed = {

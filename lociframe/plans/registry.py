@@ -30,4 +30,4 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-from lociframe.plans import interval_queries, read_queries, region_queries, variant_queries  # noqa: E402, F401
+from lociframe.plans import interval_queries, read_queries, region_queries, report_queries, variant_queries  # noqa: E402, F401

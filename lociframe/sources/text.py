@@ -109,8 +109,17 @@ def vcf(spark: SparkSession, path: str, split: int = 64 << 20) -> DataFrame:
 
 
 def stage_table(spark: SparkSession, path: str) -> DataFrame:
-    """TSV with a header, all text, null as ''."""
-    return spark.read.csv(path, sep="\t", header=True, inferSchema=False).fillna("")
+    """A stage table, all text, null and missing as '': JSON lines if the first sign of the first line that is not blank is {, else TSV with a header.
+
+    JSON rows need no schema: columns are all keys that occur, in order of name; a nested value is its compact JSON.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "")
+    first = lines.first()
+    if first is None or not first["value"].lstrip().startswith("{"):
+        return spark.read.csv(path, sep="\t", header=True, inferSchema=False).fillna("")
+    rows = lines.select(F.from_json("value", "map<string,string>", {"mode": "FAILFAST"}).alias("row"))
+    names = [r["k"] for r in rows.select(F.explode(F.map_keys("row")).alias("k")).distinct().orderBy("k").collect()]  # as many as columns
+    return rows.select(*(F.coalesce(F.try_element_at("row", F.lit(k)), F.lit("")).alias(k) for k in names))
 
 
 def write_bed(df: DataFrame, path: str) -> None:
