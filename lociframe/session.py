@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import zipfile
 from pathlib import Path
@@ -28,6 +29,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df written to the checkpoint folder and read from there, so that what follows does not compute it again.
+
+    The folder is the one that spark.checkpoint.dir names; a temporary one only where that is unset and Spark runs on this machine alone.
+    """
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        found = context.getConf().get("spark.checkpoint.dir", None)
+        if not found and not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        context.setCheckpointDir(found or tempfile.mkdtemp(prefix="lociframe-checkpoint-"))
+    return df.checkpoint()
+
+
 _shipped: set[str] = set()
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lociframe.functions import cigar as C
 from lociframe.operators import mates, reads, variants
-from lociframe.sources import comparison, text
+from lociframe.sources import blocks, comparison, debug_text, text
 
 
 def test_stage_tables_in_both_formats(spark, tmp_path):
@@ -88,3 +88,68 @@ def test_region_stats(spark):
     areas = spark.createDataFrame([(1, "c", 1, 10), (2, "c", 20, 30), (3, "c", 6, 60)], "region int, contig string, start long, end long")
     got = {r["region"]: tuple(r)[4:] for r in reads.region_stats(loci, areas).collect()}
     assert got == {1: (2, 1, 0.5, 0.25), 2: (0, 0, 0.0, 0.0), 3: (2, 1, 0.25, 0.125)}
+
+
+DEBUG = """calling for region: c:1-50
+Unclipped Haplotypes(2):
+[1-50] k=10 len 50 50Mref
+ACGT
+[2-49] k=25 len 48 20M2D28M
+calling for region: c:1-60
+TTTT
+[broken k=
+not bases
+Clipped Haplotypes(1):
+[3-9] k=5 len 7 7M
+GG
+
+read 3: r a cigar: 10M mapQ: 60 loc: c:5-14 unclippedloc: c:4-14 length:11
+[30, 2]
+read 4: b cigar: 5M mapQ: 7 loc: x unclippedloc: y
+,-1.5,,-2.5
+read 5: lost cigar: 5M mapQ: 7 loc: x unclippedloc: y
+
+,-9
+Allele: early Haps: none
+Event at: [VC z @ c:100 Q. type=SNP alleles=[A*, C] more
+Allele: A* Haps: [0, 1]
+Allele: C
+Read-allele matrix:
+A* C
+read: 0 b -1.0 -2.0 -9
+read: x b -1.0
+read: 1 b -1.0 -2.0
+Normalized Read-Allele matrix:
+
+read: 2 b 0
+Normalized Read-Allele matrix:
+G
+read: 3 d -4
+Event at: nothing
+"""
+
+
+def test_genotyper_debug_text(spark, tmp_path):
+    path = tmp_path / "debug.txt"
+    path.write_text(DEBUG + "\n" * 70_000 + DEBUG)
+    rows = {}
+    for split in (1 << 20, 30_000):
+        tables = debug_text.genotyper(blocks.read_lines(spark, str(path), split))
+        rows[split] = {n: sorted(map(tuple, df.collect()), key=str) for n, df in tables.items()}
+    assert rows[30_000] == rows[1 << 20]
+    got = {n: sorted(set(x), key=str) for n, x in rows[30_000].items()}
+    twice = lambda n, *want: (got[n] == sorted(want, key=str)) and len(rows[30_000][n]) == 2 * len(want)
+    assert twice("haplotypes", ("c:1-50", "unclipped", 0, "1", "50", "10", "50", "50M", True, "ACGT"), ("c:1-60", "unclipped", 1, "2", "49", "25", "48", "20M2D28M", False, "TTTT"), ("c:1-60", "clipped", 0, "3", "9", "5", "7", "7M", False, "GG")), got["haplotypes"]
+    assert twice("read_qualities", ("c:1-60", "r a", 3, "10M", "60", "c:5-14", "c:4-14", "11", "[30, 2]"))
+    assert twice("pairhmm", *(("c:1-60", "b", 4, "5M", "7", "x", "y", "", k, s) for k, s in enumerate(("-1.5", "-2.5"))))
+    event = "c:100:SNP:A*,C"
+    assert twice("events", ("c:1-60", event, "c", "100", "SNP", "A*, C", "[VC z @ c:100 Q. type=SNP alleles=[A*, C] more"), ("c:1-60", ":::", "", "", "", "", "nothing"))
+    assert set(got["event_alleles"]) == {("c:1-60", event, "A*", "[0, 1]"), ("c:1-60", event, "C", ""), ("c:1-60", ":::", "early", "none")}
+    assert set(got["allele_likelihoods"]) == {("c:1-60", event, "raw", "b", 0, a, s) for a, s in (("A*", "-1.0"), ("C", "-2.0"), ("2", "-9"))} | {("c:1-60", event, "normalized", "d", 3, "G", "-4")}
+
+
+def test_assembly_state(spark, tmp_path):
+    path = tmp_path / "state.txt"
+    path.write_text("c:1-9\nNumber of reads in region: 2\nr1 flags more\nr2\nr3 f\n\nskipped a\nThere were 2 haplotypes\nAC\n GT \nc:20-30\nThere were 1 x\nTT\nNumber of reads in region:\n\n")
+    got = {n: sorted(map(tuple, df.collect()), key=str) for n, df in debug_text.assembly_state(blocks.read_lines(spark, str(path), 20)).items()}
+    assert got == {"regions": [("c:1-9", "haplotypes", "2"), ("c:1-9", "reads", "2"), ("c:20-30", "haplotypes", "1")], "reads": [("c:1-9", "r1", "flags"), ("c:1-9", "r3", "f")], "haplotypes": [("c:1-9", 0, "AC"), ("c:1-9", 1, "GT"), ("c:20-30", 0, "TT"), ("c:20-30", 1, "Number of reads in region:")]}
