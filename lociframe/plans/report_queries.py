@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from lociframe.plans.registry import ORACLES, query
 from lociframe.plans.variant_queries import SIDES_SQL, compared
 from lociframe.session import read_table
 from lociframe.sources import comparison as K
+from lociframe.sources import debug_text
 
 TAB = "chr(9)"
 
@@ -180,3 +183,46 @@ def split_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = Observation("split")
     reads.split_reads(paired_spliced(spark, sf_dir), seen).write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([tuple(seen.get[c] for c in ("input", "output", "split", "mapq_changed"))], "input long, output long, split long, mapq_changed long")
+
+
+# Debug text of one block for each supplier: (line of the block, text), with the supplier's numbers in it.
+BLOCK = (
+    "calling for region: c{k}:{a}-{b}", "Unclipped Haplotypes(2):", "[{a}-{b}] k=10 len 50 {a}Mref", "ACGT", "[{a}-{b}] k=25 len 48 {a}M2D3M", "GGTT", "",
+    "read 0: r{k} cigar: {a}M mapQ: 60 loc: c:{a} unclippedloc: c:{b} length:{a}", "[30, {a}]", "read 1: s{k} cigar: {b}M mapQ: 7 loc: c:{a} unclippedloc: c:{b} length:{b}", ",-{a}.5,-{b}.25", "",
+    "Event at: [VC x @ c{k}:{a} Q. type=SNP alleles=[A*, C] z", "Allele: A* Haps: [0]", "Allele: C Haps: [{k}]", "Read-allele matrix:", "A* C", "read: 0 r{k} -{a}.0 -2.0", "read: 1 s{k} -3.0 -{b}.5", "",
+    "Normalized Read-Allele matrix:", "A* C", "read: 0 r{k} 0 -{b}", "that is all",
+)
+FILLED = {"{k}": "s_suppkey", "{a}": "s_suppkey % 90 + 1", "{b}": "s_suppkey % 90 + 40"}
+
+
+def _filled(line: str) -> list[str]:
+    """The line as SQL terms to be joined."""
+    out = [line]
+    for mark in FILLED:
+        out = [piece for x in out for piece in ([x] if x in FILLED else [y for part in x.split(mark) for y in (mark, part)][1:])]
+    return [f"CAST({FILLED[x]} AS VARCHAR)" if x in FILLED else f"'{x}'" for x in out if x]
+
+
+def _debug_sql() -> str:
+    k, a, b = (f"CAST({FILLED[x]} AS VARCHAR)" for x in ("{k}", "{a}", "{b}"))
+    region, event = f"'c' || {k} || ':' || {a} || '-' || {b}", f"'c' || {k} || ':' || {a} || ':SNP:A*,C'"
+    rows = [
+        ("haplotypes", ["'unclipped'", "'0'", a, b, "'10'", "'50'", f"{a} || 'M'", "'true'", "'ACGT'"]), ("haplotypes", ["'unclipped'", "'1'", a, b, "'25'", "'48'", f"{a} || 'M2D3M'", "'false'", "'GGTT'"]),
+        ("read_qualities", [f"'r' || {k}", "'0'", f"{a} || 'M'", "'60'", f"'c:' || {a}", f"'c:' || {b}", a, f"'[30, ' || {a} || ']'"]),
+        *(("pairhmm", [f"'s' || {k}", "'1'", f"{b} || 'M'", "'7'", f"'c:' || {a}", f"'c:' || {b}", b, f"'{i}'", s]) for i, s in enumerate((f"'-' || {a} || '.5'", f"'-' || {b} || '.25'"))),
+        ("events", [event, f"'c' || {k}", a, "'SNP'", "'A*, C'", f"'[VC x @ c' || {k} || ':' || {a} || ' Q. type=SNP alleles=[A*, C] z'"]),
+        ("event_alleles", [event, "'A*'", "'[0]'"]), ("event_alleles", [event, "'C'", f"'[' || {k} || ']'"]),
+        *(("allele_likelihoods", [event, "'raw'", r, f"'{i}'", f"'{x}'", s]) for i, r, x, s in ((0, f"'r' || {k}", "A*", f"'-' || {a} || '.0'"), (0, f"'r' || {k}", "C", "'-2.0'"), (1, f"'s' || {k}", "A*", "'-3.0'"), (1, f"'s' || {k}", "C", f"'-' || {b} || '.5'"))),
+        *(("allele_likelihoods", [event, "'normalized'", f"'r' || {k}", "'0'", f"'{x}'", s]) for x, s in (("A*", "'0'"), ("C", f"'-' || {b}"))),
+    ]
+    return " UNION ALL ".join(f"SELECT '{name}' AS \"table\", concat_ws(chr(9), {region}, {', '.join(cells)}) AS value FROM supplier" for name, cells in rows)
+
+
+@query("genotyper_debug_tables", _debug_sql())
+def genotyper_debug_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six tables of a debug text that has one block of lines for each supplier, rows as tab-separated text."""
+    texts = F.array(*(F.concat(*(F.expr(x.replace("VARCHAR", "STRING")) for x in _filled(line))) if line else F.lit("") for line in BLOCK))
+    lines = read_table(spark, sf_dir, "supplier").select(F.lit("debug").alias("path"), "s_suppkey", F.posexplode(texts).alias("k", "value"))
+    tables = debug_text.genotyper(lines.select("path", (F.col("s_suppkey") * 1000 + F.col("k") * 20).alias("offset"), "value"))
+    as_text = lambda df: F.concat_ws("\t", *(F.col(c).cast("string") for c in df.columns))
+    return functools.reduce(DataFrame.unionAll, [df.select(F.lit(name).alias("table"), as_text(df).alias("value")) for name, df in tables.items()])
