@@ -292,13 +292,22 @@ d AS (SELECT *, row_number() OVER (PARTITION BY paired, library, ends ORDER BY s
 SELECT library, paired, CAST(sum(n) AS BIGINT) AS reads, CAST(sum(CASE WHEN dup THEN n ELSE 0 END) AS BIGINT) AS duplicates FROM d GROUP BY library, paired"""
 
 
-@query("mark_duplicates", PAIRS_SQL)
-def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def marked_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of lineitem takes part: each two consecutive rows of an order are a pair, the second read near the first; an odd last row is a fragment."""
     order = W.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_linestatus", "l_returnflag")
-    marked = reads.mark_duplicates(paired_reads(line_reads(spark, sf_dir, k=F.row_number().over(order) - 1, n=F.count("*").over(W.partitionBy("l_orderkey")), step=F.col("l_suppkey") % 4)))
+    return reads.mark_duplicates(paired_reads(line_reads(spark, sf_dir, k=F.row_number().over(order) - 1, n=F.count("*").over(W.partitionBy("l_orderkey")), step=F.col("l_suppkey") % 4)))
+
+
+@query("mark_duplicates", PAIRS_SQL)
+def mark_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     paired = Q.flag_set(F.col("flag"), Q.PAIRED)
-    return marked.groupBy("library", paired.alias("paired")).agg(F.count("*").alias("reads"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
+    return marked_pairs(spark, sf_dir).groupBy("library", paired.alias("paired")).agg(F.count("*").alias("reads"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
+
+
+@query("duplicate_records", PAIRS_SQL[: PAIRS_SQL.rindex("SELECT library")] + "SELECT qname, n AS reads, CASE WHEN dup THEN n ELSE 0 END AS duplicates FROM d")
+def duplicate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records of each name and how many of them are flagged: which template of a group wins, not only how many lose."""
+    return marked_pairs(spark, sf_dir).groupBy("qname").agg(F.count("*").alias("reads"), F.sum(Q.flag_set(F.col("flag"), Q.DUPLICATE).cast("long")).alias("duplicates"))
 
 
 @query("cigar_lengths", f"""SELECT CAST(a AS VARCHAR) || 'M' || CASE WHEN d > 0 THEN CAST(d AS VARCHAR) || 'D' ELSE '' END || CAST(c AS VARCHAR) || 'M' AS cigar, count(*) AS reads, CAST(sum(a + c) AS BIGINT) AS read_bases, CAST(sum(a + d + c) AS BIGINT) AS ref_bases FROM ({READS_SQL}) GROUP BY 1""")
