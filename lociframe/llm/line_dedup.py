@@ -48,6 +48,8 @@ DEPTH = 3
 #: So many ids of lines at most go to all tasks to fetch their texts; beyond that the texts are joined by merging.
 SENT_IDS = 1_000_000
 SLICE_CHARS = 1 << 20
+#: Lines of a slice are hashed in runs of so many code points, one line at least, which stay in a core's cache.
+HASHED_CHARS = 262144
 
 _PRIME = 0x9E3779B97F4A7C15
 _B, _C = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -59,6 +61,33 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: What the first code points add to a hash; others are mixed as they come.
+with np.errstate(over="ignore"):
+    _MIXED = _mix(np.arange(1, 0x3001, dtype=np.uint64))
+
+
+@functools.cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _made_powers(2 * HASHED_CHARS)
+
+
+def _made_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    out = []
+    for base in (_PRIME, pow(_PRIME, -1, 2**64)):
+        x = np.full(n + 1, base, dtype=np.uint64)
+        x[0] = 1
+        out.append(np.cumprod(x, out=x))
+    return out[0], out[1]
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of the hash's base and of its inverse."""
+    if n > 2 * HASHED_CHARS:
+        return _made_powers(n)
+    factors, back = _kept_powers()
+    return factors[: n + 1], back[: n + 1]
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Edit distance in code points, or most + 1 if it is greater: a band of 2 * most + 1 diagonals held in the bits of one word."""
     if len(a) < len(b):
@@ -104,21 +133,20 @@ class Hashed:
     """Hashes of any substrings of a batch of lines."""
 
     def __init__(self, lines: list[str]):
-        points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-        factors = np.full(len(points) + 1, _PRIME, dtype=np.uint64)
-        factors[0] = 1
-        self.back = np.full(len(points) + 1, pow(_PRIME, -1, 2**64), dtype=np.uint64)
-        self.back[0] = 1
-        np.cumprod(self.back, out=self.back)
+        points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
+        factors, self.back = _powers(len(points))
         self.sums = np.zeros(len(points) + 1, dtype=np.uint64)
-        np.cumsum(_mix(points + np.uint64(1)) * np.cumprod(factors)[:-1], out=self.sums[1:])
+        terms = _MIXED[np.minimum(points, len(_MIXED) - 1)]
+        far = np.flatnonzero(points >= len(_MIXED))
+        terms[far] = _mix(points[far].astype(np.uint64) + np.uint64(1))
+        np.cumsum(np.multiply(terms, factors[:-1], out=terms), out=self.sums[1:])
         self.points = points
         self.length = np.array([len(x) for x in lines])
         self.start = np.cumsum(self.length) - self.length
 
     def bags(self) -> np.ndarray:
         """Parity of the number of code points in each of 32 groups: an edit flips two bits at most."""
-        return np.bitwise_xor.reduceat(np.uint32(1) << (self.points % np.uint64(32)).astype(np.uint32), self.start).view(np.int32)
+        return np.bitwise_xor.reduceat(np.uint32(1) << (self.points & np.uint32(31)), self.start).view(np.int32)
 
     def keys(self, at: np.ndarray, size: np.ndarray, length: np.ndarray, segment: int) -> np.ndarray:
         h = (self.sums[at + size] - self.sums[at]) * self.back[at]
@@ -199,21 +227,27 @@ def _keyed(lines: DataFrame, edits: int, probes: bool) -> DataFrame:
         chars = 0
         with np.errstate(over="ignore"):
 
-            def out() -> pa.RecordBatch:
-                ids, h = np.fromiter(own.values(), np.int64, len(own)), Hashed(list(own))
-                who, keys, *_ = _all_keys(h, edits, probes)
-                return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[who]), pa.array(h.bags()[who])], names=["key", "id", "bag"])
+            def out() -> Iterator[pa.RecordBatch]:
+                texts, ids = list(own), np.fromiter(own.values(), np.int64, len(own))
+                ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)))
+                at = 0
+                while at < len(texts):
+                    to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + HASHED_CHARS, side="right")))
+                    h = Hashed(texts[at:to])
+                    who, keys, *_ = _all_keys(h, edits, probes)
+                    yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(ids[at:to][who]), pa.array(h.bags()[who])], names=["key", "id", "bag"])
+                    at = to
 
             for b in batches:
-                for i, line in zip(b.column("id").to_pylist(), b.column("line").to_pylist(), strict=True):
+                for i, line in zip(b.column("id").to_numpy().tolist(), b.column("line").to_numpy(zero_copy_only=False).tolist(), strict=True):
                     if line not in own:
                         own[line] = i
                         chars += len(line)
                         if chars >= SLICE_CHARS:
-                            yield out()
+                            yield from out()
                             own, chars = {}, 0
             if own:
-                yield out()
+                yield from out()
 
     return lines.mapInArrow(run, "key long, id long, bag int").repartition("key").dropDuplicates(["key", "id", "bag"])
 
