@@ -58,3 +58,10 @@ def test_words_of_letters_go_to_the_merges_alone():
     got = encoder.encode([" ".join(words)])
     assert counted.seen < 20
     assert got == [np.array(counted.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4").tobytes()]
+
+
+def test_table_of_words_is_bounded():
+    encoder = packing.Encoder(WORDS)
+    for part in range(60):
+        encoder.encode([" ".join(f"{'abcdefghij'[part % 10]}{'klmnop'[part // 10]}{''.join('qrstuvwxyz'[int(d)] for d in str(i))}" for i in range(5000))])
+    assert sum(len(x) for x in vars(encoder).values() if isinstance(x, dict)) <= 2 * 100_000 + 10_000
