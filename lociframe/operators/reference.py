@@ -22,7 +22,9 @@ def placed(lines: DataFrame) -> DataFrame:
     """
     name = F.regexp_extract("value", r"^>\s*(\S*)", 1)
     mark = F.when(F.col("value").startswith(">"), F.struct(F.col("offset").alias("at"), name.alias("contig")))
-    marked = running(lines.select("path", "offset", "value"), ("path",), ("offset",), mark, F.max, "mark")
+    # a header comes before bases that are said to lie at its very offset
+    rows = lines.select("path", "offset", "value", (~F.col("value").startswith(">")).alias("_body"))
+    marked = running(rows, ("path",), ("offset", "_body"), mark, F.max, "mark")
     body = marked.where(~F.col("value").startswith(">")).select("path", "offset", "mark", F.upper(F.regexp_replace("value", r"\s", "")).alias("bases")).where("bases <> ''")
     at = F.coalesce("mark.at", F.raise_error(F.concat(F.lit("bases before a header: "), "path")).cast("long"))
     body = body.select("path", F.col("mark.contig").alias("contig"), at.alias("contig_at"), "offset", "bases")

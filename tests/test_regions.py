@@ -39,6 +39,15 @@ def test_bins_and_index(spark, tmp_path):
         reference.bins(blocks.read_lines(spark, str(tmp_path / "bad.fa"))).collect()
 
 
+def test_header_at_the_offset_of_its_first_line(spark):
+    """As reference lines made of orders have it for key 0."""
+    rows = [(10**12 * c + 64 * i, v) for c in range(2) for i, v in [(0, "ACGT"), (1, "TT"), (0, f">c{c}")]]
+    for order in (rows, rows[::-1]):
+        lines = spark.createDataFrame([("p", *r) for r in order], "path string, offset long, value string").coalesce(1)
+        assert sorted((r["contig"], r["bases"]) for r in reference.bins(lines).collect()) == [("c0", "ACGTTT"), ("c1", "ACGTTT")]
+        assert sorted(tuple(r) for r in reference.index(lines).collect()) == [("c0", 0, 6, 0, 4), ("c1", 10**12, 6, 10**12, 4)]
+
+
 def test_lookups(spark, tmp_path):
     path, seqs = fasta(tmp_path)
     table = reference.bins(blocks.read_lines(spark, path), 500, 64)
