@@ -65,18 +65,19 @@ def with_prefix(df: DataFrame, order: str = "contig") -> DataFrame:
     return running(sized, (order,), ("start", "end"), F.col("len"), F.sum, "_sum").join(before.select(order, "before"), order).withColumn("prefix", F.col("before") + F.col("_sum")).drop("_sum", "before")
 
 
-def scatter(df: DataFrame, n: int) -> DataFrame:
+def scatter(df: DataFrame, n: int, filled: bool = True) -> DataFrame:
     """Adds shard 0..n-1: whole intervals in genome order, cut where the running length is nearest to total * i / n.
 
-    The i-th target is floor((total * i + n // 2) / n); of two cuts as near the earlier wins, and each shard gets an interval.
+    The i-th target is floor((total * i + n // 2) / n); of two cuts as near the earlier wins. filled: each shard gets an interval, so there are
+    as many shards as intervals at most; else there are always n, and those between equal cuts stay empty.
     """
     rows = running(with_prefix(df), ("contig",), ("start", "end"), F.lit(1), F.sum, "_k")
     counts = df.groupBy("contig").agg(F.count("*").alias("c"))
     first = counts.withColumn("skip", F.coalesce(F.sum("c").over(W.orderBy("contig").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.join(first.select("contig", "skip"), "contig").withColumn("rank", F.col("_k") + F.col("skip")).drop("skip", "_k")
     size = rows.agg(F.sum("len").alias("total"), F.count("*").alias("k")).first()
-    n = min(n, size["k"])
-    if n <= 1:
+    n = min(n, size["k"]) if filled else n
+    if n <= 1 or not size["k"]:
         return rows.withColumn("shard", F.lit(0))
     targets = [(size["total"] * i + n // 2) // n for i in range(1, n)]
     # the candidates around each target: the last prefix below it and the first not below it, found in one pass
@@ -88,7 +89,7 @@ def scatter(df: DataFrame, n: int) -> DataFrame:
     for i, t in enumerate(targets):
         lo, hi = found[f"b{i}"], found[f"a{i}"]
         best = lo if lo is not None and (hi is None or t - lo["prefix"] <= hi["prefix"] - t) else hi
-        last = min(max(best["rank"], last + 1), size["k"] - (n - 1 - i))
+        last = min(max(best["rank"], last + 1), size["k"] - (n - 1 - i)) if filled else best["rank"]
         cuts.append(last)
     shard = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("rank")))
     return rows.withColumn("shard", shard)

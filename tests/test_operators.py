@@ -31,6 +31,17 @@ def test_scatter(spark):
     assert [r[0] for r in intervals.scatter(spark.createDataFrame(out, IV), 3).groupBy("shard").agg(F.sum("len")).orderBy("shard").select("sum(len)").collect()] == [105, 15, 80]
 
 
+def test_scatter_to_more_shards_than_intervals(spark):
+    """With filled=False each cut is the nearest one alone, as the SQL of interval_scatter has it."""
+    lengths = (200, 190, 210, 205, 3)
+    df = spark.createDataFrame([(c, 1, n) for c, n in enumerate(lengths)], IV)
+    prefix = [sum(lengths[: i + 1]) for i in range(5)]
+    cuts = [min(range(5), key=lambda r: (abs(prefix[r] - (sum(lengths) * i + 3) // 7) * 2 + (prefix[r] >= (sum(lengths) * i + 3) // 7))) for i in range(1, 7)]
+    assert rows(intervals.scatter(df, 7, filled=False), "contig", "shard") == [(r, sum(c < r for c in cuts)) for r in range(5)]
+    assert rows(intervals.scatter(df, 7), "contig", "shard") == [(r, r) for r in range(5)]
+    assert intervals.scatter(df.limit(0), 7, filled=False).count() == 0
+
+
 def test_pad_and_intersect(spark):
     contigs = spark.createDataFrame([(1, 20)], "contig long, length long")
     df = spark.createDataFrame([(1, 3, 3), (1, 18, 18)], IV)
