@@ -129,13 +129,15 @@ def coalesce_windows(df: DataFrame, gap: int = 1000, longest: int = 2_000_000) -
 def candidate_intervals(sites: DataFrame, requested: DataFrame, contigs: DataFrame, pad: int = 100, when_empty: str = "error") -> DataFrame:
     """Candidate sites (contig, pos) -> padded, clamped and merged intervals inside the requested ones.
 
-    Without any candidate the merged requested intervals are the result (when_empty="input") or an error is raised ("error").
+    Without any candidate the merged requested intervals are the result (when_empty="input"), no rows ("none"), or an error is raised ("error").
     """
     wanted = merge(requested)
     points = sites.select("contig", F.col("pos").alias("start"), F.col("pos").alias("end"))
     found = merge(intersect(merge(pad_clamp(points, contigs, pad)), wanted))
-    if when_empty not in ("input", "error"):
-        raise ValueError("when_empty: input or error")
+    if when_empty not in ("input", "none", "error"):
+        raise ValueError("when_empty: input, none or error")
+    if when_empty == "none":
+        return found
     none = found.agg(F.count("*").alias("_n")).where("_n = 0").drop("_n")
     if when_empty == "input":
         return found.unionByName(wanted.join(none, how="left_semi"))

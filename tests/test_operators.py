@@ -230,3 +230,11 @@ def test_genotype_table(spark):
     df = spark.createDataFrame([(x,) for x in lines], "value string")
     got = rows(variants.genotype_table(df), "pos", "alt", "gt", "dp", "ad_ref", "ad_alt", "fs", "db")
     assert got == [(5, "C,G", "0/1", "7", "1", "2,3", "", True), (6, "C", "0/1", "4", "", "", "1", False), (7, "C", "", "", "", "", "", False)]
+
+
+def test_candidate_intervals_without_any_may_be_none(spark):
+    """The query's SQL has no rows then."""
+    sites, wanted = spark.createDataFrame([(1, 8), (1, 60)], "contig long, pos long"), spark.createDataFrame([(1, 5, 30)], IV)
+    contigs = spark.createDataFrame([(1, 100)], "contig long, length long")
+    assert rows(intervals.candidate_intervals(sites.where("pos = 60"), wanted, contigs, 4, "none"), "contig", "start", "end") == []
+    assert rows(intervals.candidate_intervals(sites, wanted, contigs, 4, "none"), "contig", "start", "end") == [(1, 5, 12)]
