@@ -52,7 +52,7 @@ def contexts(bases: Column, quals: Column, reverse: Column, k: int = 2, low: int
 
     def found(strand: Column) -> Column:
         words = F.transform(at, lambda i: F.when(i >= k - 1, F.substr(strand, i - (k - 2), F.lit(k))))
-        kept = F.transform(words, lambda x: F.when(is_regular(x), x))
+        kept = F.transform(words, lambda x: F.when((x != "") & (F.translate(x, "ACGT", "") == ""), x))
         return F.when(reverse, F.reverse(kept)).otherwise(kept)
 
     strand = let(let(bounds, masked), lambda m: F.when(reverse, reverse_complement(m)).otherwise(m))
